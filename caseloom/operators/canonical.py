@@ -9,12 +9,8 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.similarity import best_choice, exact_choice
 from caseloom.functions.text import strip
-from caseloom.operators.joins import SLICE_ROWS, hot_keys, sliced_join
-from caseloom.session import shared_folder
-
-#: Up to this many distinct variants the scored table is broadcast.
-MAX_BROADCAST_VARIANTS = 100_000
-_MAX_BROADCAST_CHARS = 64 << 20
+from caseloom.operators.joins import SLICE_ROWS, lookup_join
+from caseloom.session import scratch_path
 
 
 def score_variants(values: DataFrame, column: str, choices: Sequence[str],
@@ -29,37 +25,29 @@ def score_variants(values: DataFrame, column: str, choices: Sequence[str],
 
 
 def canonicalise(df: DataFrame, column: str, choices: Sequence[str], threshold: float = 80.0,
-                 default: str = "Unknown", slice_rows: int = SLICE_ROWS,
-                 max_broadcast: int = MAX_BROADCAST_VARIANTS) -> DataFrame:
+                 default: str = "Unknown", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Replace each value by the most similar reference entry, or by the default.
 
     Reference entries resolve by a constant map, without a join. All other distinct values
-    are scored once and written as a checkpoint, whose size decides how they join back: by
-    broadcast if small, else by a shuffle that slices hot values.
+    are scored once and written to the shared folder; the size of that table decides how it
+    joins back: broadcast if small, else by a shuffle that slices hot values.
     """
     spark = df.sparkSession
-    shared_folder(spark)
-    scored = score_variants(df, column, choices, threshold).checkpoint()
-    size = scored.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(column)), F.lit(0)).alias("chars")
-    ).first()
+    path = scratch_path(spark, "variants")
+    scored = score_variants(df, column, choices, threshold)
+    scored.write.parquet(path)
+    lookup = spark.read.schema(scored.schema).parquet(path)
 
     entries = F.create_map(*[F.lit(x) for pair in exact_choice(choices).items() for x in pair])
     value = F.col(column)
     is_entry = F.coalesce(value.isin(list(choices)), F.lit(False))
     # Entries and blanks need no lookup. They get a null key, and those join nothing.
-    keyed = df.withColumn(
-        "__variant", F.when(~is_entry & (F.length(strip(value)) > 0), value)
+    variant = F.when(~is_entry & (F.length(strip(value)) > 0), value).alias("__variant")
+    joined = lookup_join(
+        df.select("*", variant), lookup.withColumnRenamed(column, "__variant"), "__variant",
+        "left", slice_rows,
     )
-    lookup = scored.withColumnRenamed(column, "__variant")
-    if size["n"] == 0:
-        joined = df.withColumn("__choice", F.lit(None).cast("string"))
-    elif size["n"] <= max_broadcast and size["chars"] <= _MAX_BROADCAST_CHARS:
-        joined = keyed.join(F.broadcast(lookup), "__variant", "left")
-    else:
-        hot = hot_keys(keyed, "__variant", slice_rows)
-        joined = sliced_join(keyed, lookup, "__variant", "left", hot, slice_rows)
     resolved = F.coalesce(
         F.when(is_entry, F.try_element_at(entries, value)), F.col("__choice"), F.lit(default)
     )
-    return joined.withColumn(column, resolved).select(*df.columns)
+    return joined.select(*[resolved.alias(c) if c == column else c for c in df.columns])

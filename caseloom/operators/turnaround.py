@@ -43,7 +43,12 @@ def fill_missing(df: DataFrame, start: str = "logDate", end: str = "resolutionDa
 
 def validate_turnaround(df: DataFrame, start: str = "logDate", end: str = "resolutionDate",
                         days: str = "turnaroundTime") -> DataFrame:
-    """The three repairs in order, the later ones on the swapped dates."""
-    for repair in (swap_reversed_dates, recompute_negative, fill_missing):
-        df = repair(df, start, end, days)
-    return df
+    """All repairs: the swap, then the other two on the swapped dates.
+
+    These two exclude each other, so one projection does both.
+    """
+    a, b, t = F.col(start), F.col(end), F.col(days)
+    unusable = _holds((t.isNull() | (t < 0)) & (b >= a))
+    return swap_reversed_dates(df, start, end, days).withColumn(
+        days, F.when(unusable, F.datediff(b, a)).otherwise(t)
+    )

@@ -5,17 +5,19 @@ All columns are read as text: sheets disagree about types, and cleaning decides
 
 from __future__ import annotations
 
-from collections import defaultdict
+import csv
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseloom.session import shared_folder
+from caseloom.sources.files import first_line, partition_folders, path_exists
+
 POSITION = "row_idx"
 # An empty cell is null, a quoted empty one is the empty string.
 _CSV_OPTIONS = {"header": "true", "nullValue": "\\N", "emptyValue": ""}
@@ -40,22 +42,11 @@ def _text_partitions(spark: SparkSession) -> Iterator[None]:
 
 
 def list_sheets(spark: SparkSession, root: str, exclude: Sequence[str] = ()) -> dict[str, str]:
-    """Sheet name -> its folder, without the excluded sheets. Lists files, reads none."""
-    try:
-        with _text_partitions(spark):
-            files = spark.read.format("binaryFile").load(root)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no source folder at {root}") from error
-        raise
-    if "sheet" not in files.columns:
-        raise FileNotFoundError(f"no sheet=NAME folders in {root}")
-    folders = (
-        files.filter(~F.col("sheet").isin(list(exclude)))
-        .groupBy("sheet")
-        .agg(F.min(F.regexp_replace("path", "/[^/]*$", "")).alias("folder"))
-    )
-    return {row["sheet"]: row["folder"] for row in folders.collect()}
+    """Sheet name -> its folder, without the excluded sheets. Opens no file."""
+    if not path_exists(spark, root):
+        raise FileNotFoundError(f"no source folder at {root}")
+    folders = partition_folders(spark, root, "sheet")
+    return {s: folders[s] for s in sorted(folders) if s not in set(exclude)}
 
 
 def _reader(spark: SparkSession, fmt: str, root: str):
@@ -63,16 +54,43 @@ def _reader(spark: SparkSession, fmt: str, root: str):
     return reader.options(escape='"', **_CSV_OPTIONS) if fmt == "csv" else reader
 
 
-def _schemas(spark: SparkSession, fmt: str, root: str,
-             folders: Sequence[str]) -> list[T.StructType]:
-    """Schema of each sheet from its header or footer: metadata only, several at a time."""
+def _without_sheet(schema: T.StructType) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name != "sheet"])
 
-    def schema(folder: str) -> T.StructType:
-        found = _reader(spark, fmt, root).load(folder).schema
-        return T.StructType([f for f in found.fields if f.name != "sheet"])
 
-    with ThreadPoolExecutor(8) as pool:
-        return list(pool.map(schema, folders))
+def _text_schema(header: str) -> T.StructType:
+    names = next(csv.reader([header.removeprefix("\ufeff")]))
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def _scans(spark: SparkSession, fmt: str, root: str, folders: Sequence[str]) -> list[DataFrame]:
+    """As few file scans as the sheets' headers allow. Reads metadata only."""
+    if fmt == "csv":
+        with ThreadPoolExecutor(8) as pool:
+            headers = list(pool.map(lambda f: first_line(spark, f), folders))
+        schemas = [None if h is None else _text_schema(h) for h in headers]
+    else:
+        try:
+            return [_reader(spark, fmt, root).option("mergeSchema", "true").load(list(folders))]
+        except Exception as error:
+            # The conflict comes out of a Spark job, and not always as the same class.
+            if "CANNOT_MERGE" not in str(error):
+                raise
+        with ThreadPoolExecutor(8) as pool:
+            schemas = list(
+                pool.map(lambda f: _without_sheet(_reader(spark, fmt, root).load(f).schema),
+                         folders)
+            )
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for folder, schema in zip(folders, schemas):
+        if schema is not None:
+            groups.setdefault(schema.json(), (schema, []))[1].append(folder)
+    return [
+        _reader(spark, fmt, root)
+        .schema(T.StructType([*schema.fields, T.StructField("sheet", T.StringType())]))
+        .load(group)
+        for schema, group in groups.values()
+    ]
 
 
 def with_row_position(df: DataFrame, fmt: str) -> DataFrame:
@@ -82,6 +100,7 @@ def with_row_position(df: DataFrame, fmt: str) -> DataFrame:
     name), plus its place in its split. The result does not depend on how Spark splits the
     files. ``df`` must be a file scan with the partition column ``sheet``.
     """
+    shared_folder(df.sparkSession)
     columns = df.columns
     if fmt == "parquet":
         local = F.col("_metadata.row_index")
@@ -133,27 +152,13 @@ def scan_sheets(spark: SparkSession, root: str, fmt: str = "parquet",
     are null. Excluded sheets are not even opened. ``position`` names a source column that
     already holds the row position.
     """
-    from caseloom.session import shared_folder
-
-    shared_folder(spark)
     sheets = list_sheets(spark, root, exclude)
     if only is not None:
         sheets = {s: f for s, f in sheets.items() if s in set(only)}
     if not sheets:
         raise FileNotFoundError(f"no sheet left to read in {root}")
-    folders = [sheets[s] for s in sorted(sheets)]
-    by_schema: dict[str, list[str]] = defaultdict(list)
-    parsed: dict[str, T.StructType] = {}
     with _text_partitions(spark):
-        for folder, schema in zip(folders, _schemas(spark, fmt, root, folders)):
-            parsed[schema.json()] = schema
-            by_schema[schema.json()].append(folder)
-        scans = [
-            _reader(spark, fmt, root)
-            .schema(T.StructType([*parsed[key].fields, T.StructField("sheet", T.StringType())]))
-            .load(group)
-            for key, group in by_schema.items()
-        ]
+        scans = _scans(spark, fmt, root, list(sheets.values()))
     frames = []
     for scan in scans:
         if position is None:

@@ -11,11 +11,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseloom.sources.files import path_exists
+
 _LOG_SCHEMA = T.StructType([
     T.StructField("commit_id", T.LongType()),
     T.StructField("table", T.StringType()),
@@ -25,31 +26,29 @@ _LOG_SCHEMA = T.StructType([
 
 
 def _read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
 class TableStore:
-    """Tables under one root folder."""
+    """Tables under one root folder. The log is read once; as the only writer, an instance
+    knows what it has committed since."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-
-    def _log(self) -> DataFrame:
-        found = _read_if_present(self.spark, f"{self.root}/_commits", _LOG_SCHEMA)
-        return self.spark.createDataFrame([], _LOG_SCHEMA) if found is None else found
+        self._entries: dict[str, Row] | None = None
+        self._schemas: dict[str, T.StructType] = {}
 
     def current(self) -> dict[str, Row]:
         """Latest entry of each table: one small row per table name."""
-        latest = self._log().groupBy("table").agg(
-            F.max(F.struct("commit_id", "path", "rows")).alias("entry")
-        )
-        return {row["table"]: row["entry"] for row in latest.collect()}
+        if self._entries is None:
+            log = _read_if_present(self.spark, f"{self.root}/_commits", _LOG_SCHEMA)
+            latest = [] if log is None else (
+                log.groupBy("table").agg(F.max(F.struct("commit_id", "path", "rows")).alias("e"))
+                .collect()
+            )
+            self._entries = {row["table"]: row["e"] for row in latest}
+        return self._entries
 
     def exists(self, table: str) -> bool:
         return table in self.current()
@@ -58,23 +57,28 @@ class TableStore:
         entry = self.current().get(table)
         if entry is None:
             raise FileNotFoundError(f"table {table} has never been written in {self.root}")
-        return self.spark.read.parquet(entry["path"])
+        reader = self.spark.read
+        if entry["path"] in self._schemas:
+            reader = reader.schema(self._schemas[entry["path"]])
+        return reader.parquet(entry["path"])
 
     def replace(self, tables: Mapping[str, DataFrame]) -> dict[str, int]:
         """Write all tables, then make them current together. Returns their row counts,
         taken while writing."""
-        written = {}
+        commit_id = 1 + max((e["commit_id"] for e in self.current().values()), default=0)
+        entries = {}
         for table, df in tables.items():
             path = f"{self.root}/{table}/{uuid.uuid4().hex}"
             seen = Observation()
             df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-            written[table] = (path, seen.get["rows"])
-        commit_id = 1 + max((e["commit_id"] for e in self.current().values()), default=0)
-        entries = [(commit_id, table, path, rows) for table, (path, rows) in written.items()]
-        self.spark.createDataFrame(entries, _LOG_SCHEMA).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/_commits")
-        return {table: rows for table, (_, rows) in written.items()}
+            entries[table] = Row(commit_id=commit_id, path=path, rows=seen.get["rows"])
+            self._schemas[path] = df.schema
+        log = [(e["commit_id"], table, e["path"], e["rows"]) for table, e in entries.items()]
+        self.spark.createDataFrame(log, _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/_commits"
+        )
+        self.current().update(entries)
+        return {table: e["rows"] for table, e in entries.items()}
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows to an append-only table."""

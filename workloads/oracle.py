@@ -27,7 +27,8 @@ def _strip(x: str) -> str:
 def _title(x: str) -> str:
     return (
         rf"array_to_string(list_transform(regexp_extract_all(lower({x}), "
-        rf"'[\p{{L}}]+|[^\p{{L}}]+'), lambda p: upper(p[1]) || p[2:]), '')"
+        rf"'[\p{{L}}]+|[^\p{{L}}]+'), "
+        rf"lambda p: case p[1] when 'ß' then 'Ss' else upper(p[1]) end || p[2:]), '')"
     )
 
 
