@@ -17,8 +17,11 @@ MISSING_NAMES = ("nan", "none", "null", "")
 
 # Letters that have a case. A word starts at each of these that follows anything else.
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
-_WORD_START = f"(?<=[^{_CASED}])(?=[{_CASED}])"
-_WORD_START_AFTER_NON_SPACE = f"[^ {_CASED}][{_CASED}]"
+_WORD_START_AFTER_NON_SPACE = f"([^ {_CASED}])(?=[{_CASED}])"
+# Cheap to test, and true wherever the former occurs.
+_MAYBE_WORD_START = r"[^ A-Za-z][A-Za-z\x{80}-\x{10FFFF}]"
+# A code point that Unicode reserves for internal use, and the space that starts a word.
+_BREAK = "\ufdd0 "
 
 
 def strip(text: Column) -> Column:
@@ -29,14 +32,15 @@ def strip(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Upper-case every letter that follows a non-letter, lower-case the others.
 
-    ``initcap`` starts words after spaces only. That is the same thing for most values, so it
-    serves as the code-generated path; only values such as ``walk-in`` or ``3rd`` are cut at
-    their word starts first.
+    ``initcap`` starts words after spaces only, which is enough for most values. In the others,
+    such as ``walk-in`` or ``3rd``, a break is put before the other word starts first, and
+    taken out afterwards. Everything is code-generated. ``text`` is used twice, so project a
+    costly expression to a column of its own before.
     """
-    pieces = F.split(text, _WORD_START)
+    broken = F.regexp_replace(text, _WORD_START_AFTER_NON_SPACE, f"$1{_BREAK}")
     return F.when(
-        text.rlike(_WORD_START_AFTER_NON_SPACE),
-        F.array_join(F.transform(pieces, F.initcap), ""),
+        text.rlike(_MAYBE_WORD_START),
+        F.replace(F.initcap(broken), F.lit(_BREAK), F.lit("")),
     ).otherwise(F.initcap(text))
 
 

@@ -28,27 +28,32 @@ def rename_headers(df: DataFrame, lineage: Sequence[str] = LINEAGE) -> DataFrame
 def standardise_values(df: DataFrame, lineage: Sequence[str] = LINEAGE,
                        case_kept: Sequence[str] = CASE_KEPT,
                        date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Row-wise cleaning of a frame with standard headers, as one projection.
+    """Row-wise cleaning of a frame with standard headers.
 
-    Columns that are absent are skipped; columns that are typed already only pass through.
+    Two projections: the second uses its inputs more than once, so what they cost is paid in
+    the first. Columns that are absent are skipped; those typed already only pass through.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
+    text = {
+        f.name for f in df.schema.fields
+        if isinstance(f.dataType, T.StringType) and f.name not in lineage
+    }
 
-    def cleaned(name: str) -> Column:
+    def trimmed(name: str) -> Column:
         value = F.col(name)
-        if name in lineage or not isinstance(types[name], T.StringType):
+        if name not in text:
             return value
+        if name == "name":
+            return default_name(value)
         if name == "turnaroundTime":
             return to_int(value)
         if name in DATE_COLUMNS:
             return to_calendar_date(value, date_formats)
-        if name == "name":
-            return title_case(default_name(value))
-        if name == "number":
-            return e164(value)
-        return strip(value) if name in case_kept else title_case(strip(value))
+        return e164(value) if name == "number" else strip(value)
 
-    return df.select(*[cleaned(c).alias(c) for c in df.columns])
+    titled = text - {"turnaroundTime", *DATE_COLUMNS, *case_kept}
+    return df.select(*[trimmed(c).alias(c) for c in df.columns]).select(
+        *[title_case(F.col(c)).alias(c) if c in titled else F.col(c) for c in df.columns]
+    )
 
 
 def clean(df: DataFrame, lineage: Sequence[str] = LINEAGE,

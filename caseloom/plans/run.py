@@ -19,9 +19,9 @@ from caseloom.plans.resolve import (
     resolved_customers,
 )
 from caseloom.plans.schema import (
-    ALWAYS_FILLED, IDENTITY_MAP, INGESTION_LOG,
+    ALWAYS_FILLED, IDENTITY_MAP, INGESTION_LOG, LINEAGE,
 )
-from caseloom.sources.sheets import read_bronze, scan_sheets, write_sheets
+from caseloom.sources.sheets import read_bronze, scan_sheets, spread_scan, write_sheets
 from caseloom.sources.store import TableStore
 
 EXCLUDED_SHEETS = ("Unresolved",)
@@ -81,7 +81,7 @@ def run(spark: SparkSession, source: str, warehouse: str, client: DataFrame,
     )
 
     landed = read_bronze(spark, bronze)
-    silver_rows = store.replace({"silver": to_silver(landed)})["silver"]
+    silver_rows = store.replace({"silver": to_silver(spread_scan(landed, *LINEAGE))})["silver"]
     silver = store.read("silver")
     findings = [quality.row_drop(landed, silver, "silver"),
                 quality.unexpected_nulls(silver, "silver", ALWAYS_FILLED)]

@@ -189,3 +189,10 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """All landed sheets, columns aligned by name, absent ones null."""
     with _text_partitions(spark):
         return spark.read.option("mergeSchema", "true").parquet(root)
+
+
+def spread_scan(scan: DataFrame, *keys: str) -> DataFrame:
+    """A file scan with fewer splits than the session has cores, spread over all of them by
+    hash of the keys. Any larger scan stays as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseloom.operators.joins import lookup_join
 from caseloom.plans.schema import REGIONS
+from caseloom.sources.sheets import spread_scan
 
 # The same expression text serves Spark and the check engine; only identifier quotes differ.
 SHEET = """'S' || cast(year(o_orderdate)*100+month(o_orderdate) as varchar(6))"""
@@ -74,7 +75,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets as delivered: typed dates, messy text, exact copies and a blank row per sheet."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_scan(table(spark, sf_dir, "orders"), "o_orderkey")
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"
     )
@@ -92,7 +93,7 @@ def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.expr(text).alias(name) for name, text in COLUMNS.items()],
     ).select("sheet", (F.col("o_orderkey") + F.col("copy")).alias("row_idx"), *COLUMNS)
     sheets = lookup_join(
-        orders.select("o_custkey", "o_orderdate"), customer.select("o_custkey"),
+        table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate"), customer.select("o_custkey"),
         "o_custkey", "left_semi",
     ).select(F.expr(SHEET).alias("sheet")).distinct()
     blank = sheets.withColumn("row_idx", F.lit(-1).cast("long"))
