@@ -26,7 +26,9 @@ def to_calendar_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Col
     """Calendar date of an ISO date or timestamp text, or of any of the listed formats."""
     trimmed = strip(text)
     readings = [F.try_to_timestamp(trimmed, F.lit(f)).cast("date") for f in formats]
-    return F.coalesce(trimmed.try_cast("date"), *readings)
+    # Every failed reading is an exception inside Spark: spare texts such as "N/A" from it.
+    other = F.when(trimmed.rlike("[0-9]"), F.coalesce(*readings)) if readings else F.lit(None)
+    return F.coalesce(trimmed.try_cast("date"), other)
 
 
 def rounded_percentage(part: Column, whole: Column) -> Column:

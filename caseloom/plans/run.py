@@ -21,6 +21,7 @@ from caseloom.plans.resolve import (
 from caseloom.plans.schema import (
     ALWAYS_FILLED, IDENTITY_MAP, INGESTION_LOG, LINEAGE,
 )
+from caseloom.session import tune
 from caseloom.sources.sheets import read_bronze, scan_sheets, spread_scan, write_sheets
 from caseloom.sources.store import TableStore
 
@@ -66,7 +67,7 @@ def run(spark: SparkSession, source: str, warehouse: str, client: DataFrame,
     replaces its output or adds only what is absent.
     """
     run_millis = int(time.time() * 1000) if run_millis is None else run_millis
-    store = TableStore(spark, warehouse)
+    store = TableStore(tune(spark), warehouse)
     source_file = source.rstrip("/").rsplit("/", 1)[-1]
     bronze = f"{store.root}/bronze"
     log = store.read_appended(INGESTION_LOG.name, INGESTION_LOG.schema)

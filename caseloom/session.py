@@ -8,6 +8,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 _TARGET_PARTITION_BYTES = 128 << 20
+_RUNTIME_CONF = {
+    # The JVM never compiles methods over 8000 bytes of code. Wide cleaning projections exceed
+    # that when fused; beyond the limit Spark evaluates them in small functions instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings that a running session still takes. Results do not depend on them."""
+    for key, value in _RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def build_session(app_name: str, master: str | None = None, input_bytes: int | None = None,
@@ -29,7 +41,7 @@ def build_session(app_name: str, master: str | None = None, input_bytes: int | N
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def shared_folder(spark: SparkSession) -> str:

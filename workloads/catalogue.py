@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ from caseloom.plans.schema import (
     ALWAYS_FILLED, CLIENT, COMPLAINTS, CUSTOMERS, IDENTITY_MAP, LINEAGE, REGION_THRESHOLD,
     REGIONS,
 )
-from caseloom.session import scratch_path
+from caseloom.session import scratch_path, tune
 from caseloom.sources.sheets import read_bronze, scan_sheets, stringify, write_sheets
 from caseloom.sources.store import TableStore
 from workloads.fixture import client, raw_complaints, table
@@ -51,7 +52,11 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    @wraps(function)
+    def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(tune(spark), sf_dir)
+
+    QUERIES[function.__name__] = tuned
     return function
 
 
@@ -61,6 +66,11 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stringify(raw_complaints(spark, sf_dir), keep=("row_idx",))
 
 
+def deliver(rows: DataFrame, root: str, fmt: str = "parquet") -> None:
+    """Write sheets as a source would: few files each, a large sheet in several."""
+    write_sheets(rows.repartitionByRange("sheet", "row_idx"), root, fmt)
+
+
 def new_store(spark: SparkSession, name: str) -> TableStore:
     return TableStore(spark, scratch_path(spark, name))
 
@@ -111,14 +121,14 @@ def two_loads(spark: SparkSession, sf_dir: str) -> tuple[TableStore, tuple[int,
 @query
 def scan_csv_sheets(spark, sf_dir):
     root = scratch_path(spark, SOURCE_FILE)
-    write_sheets(bronze(spark, sf_dir), root, "csv")
+    deliver(bronze(spark, sf_dir), root, "csv")
     return scan_sheets(spark, root, "csv", position="row_idx")
 
 
 @query
 def exclude_sheets(spark, sf_dir):
     root = scratch_path(spark, SOURCE_FILE)
-    write_sheets(raw_complaints(spark, sf_dir), root)
+    deliver(raw_complaints(spark, sf_dir), root)
     return scan_sheets(spark, root, exclude=[EXCLUDED_SHEET], position="row_idx")
 
 
@@ -132,8 +142,8 @@ def land_bronze(spark, sf_dir):
     """Landing the later sheets again replaces these and leaves the earlier ones."""
     root = scratch_path(spark, "bronze")
     rows = bronze(spark, sf_dir)
-    write_sheets(rows, root)
-    write_sheets(rows.filter(~is_earlier()).withColumn("UPDATES", F.lit("revised")), root)
+    deliver(rows, root)
+    deliver(rows.filter(~is_earlier()).withColumn("UPDATES", F.lit("revised")), root)
     return read_bronze(spark, root)
 
 
@@ -142,8 +152,8 @@ def union_by_name(spark, sf_dir):
     """Earlier and later sheets with different columns, in one folder."""
     root = scratch_path(spark, "bronze")
     rows = bronze(spark, sf_dir)
-    write_sheets(rows.filter(is_earlier()).drop("NUMBER2", "DOB"), root)
-    write_sheets(rows.filter(~is_earlier()).drop("UPDATES"), root)
+    deliver(rows.filter(is_earlier()).drop("NUMBER2", "DOB"), root)
+    deliver(rows.filter(~is_earlier()).drop("UPDATES"), root)
     return read_bronze(spark, root)
 
 
@@ -252,7 +262,7 @@ def unchanged_run(spark, sf_dir):
     """Two complete runs over the same sheets: the log has one entry per sheet, and the second
     run finds nothing to do."""
     source = scratch_path(spark, SOURCE_FILE)
-    write_sheets(raw_complaints(spark, sf_dir), source)
+    deliver(raw_complaints(spark, sf_dir), source)
     warehouse = scratch_path(spark, "warehouse")
     people = client(spark, sf_dir)
     run(spark, source, warehouse, people, position="row_idx", run_millis=RUN_MILLIS)
