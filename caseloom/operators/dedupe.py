@@ -8,20 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def distinct_rows(df: DataFrame, lineage: Sequence[str] = ()) -> DataFrame:
+def distinct_rows(df: DataFrame, lineage: Sequence[str] = (),
+                  having: Column | None = None) -> DataFrame:
     """Distinct rows over all columns but the lineage, which is that of the first copy.
 
-    Null equals null. Copies combine before the shuffle, however many there are.
+    Null equals null. Copies combine before the shuffle, however many there are. ``having``
+    keeps the distinct rows for which it is true. It is tied to the aggregate's result, so the
+    optimiser leaves it there: pushed below projections of many columns, a condition on all of
+    them makes its constraint propagation take exponential time.
     """
     business = [c for c in df.columns if c not in lineage]
-    if not lineage:
-        return df.select(*business).distinct()
-    first = F.min(F.struct(*lineage)).alias("__first")
-    return (
-        df.groupBy(*business)
-        .agg(first)
-        .select(*business, *[F.col(f"__first.{c}").alias(c) for c in lineage])
-    )
+    first = F.min(F.struct(*lineage)) if lineage else F.count(F.lit(1))
+    groups = df.groupBy(*business).agg(first.alias("__first"))
+    if having is not None:
+        groups = groups.filter(F.when(F.col("__first").isNotNull(), having))
+    return groups.select(*business, *[F.col(f"__first.{c}").alias(c) for c in lineage])
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -43,10 +44,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], value: str, order: str) -
     )
 
 
+def has_value(columns: Sequence[str]) -> Column:
+    """True if any of the columns has a value."""
+    return F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull()
+
+
 def drop_blank_rows(df: DataFrame, ignore: Sequence[str]) -> DataFrame:
     """Rows with a value in any column outside ``ignore``."""
-    meaningful: list[Column] = [F.col(c).cast("string") for c in df.columns if c not in ignore]
-    return df.filter(F.coalesce(*meaningful).isNotNull())
+    return df.filter(has_value([c for c in df.columns if c not in ignore]))
 
 
 def drop_unidentified(df: DataFrame, identifiers: Sequence[str]) -> DataFrame:

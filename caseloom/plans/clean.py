@@ -12,7 +12,7 @@ from caseloom.functions.coerce import DATE_FORMATS, to_calendar_date, to_int
 from caseloom.functions.phone import e164
 from caseloom.functions.text import default_name, lower_camel, strip, title_case
 from caseloom.operators.canonical import canonicalise
-from caseloom.operators.dedupe import distinct_rows, drop_blank_rows
+from caseloom.operators.dedupe import distinct_rows, has_value
 from caseloom.operators.turnaround import validate_turnaround
 from caseloom.plans.schema import (
     ALWAYS_FILLED, CASE_KEPT, DATE_COLUMNS, LINEAGE, REGION_THRESHOLD, REGIONS, RENAMES,
@@ -56,16 +56,27 @@ def standardise_values(df: DataFrame, lineage: Sequence[str] = LINEAGE,
     )
 
 
-def clean(df: DataFrame, lineage: Sequence[str] = LINEAGE,
-          regions: Sequence[str] = REGIONS, threshold: float = REGION_THRESHOLD) -> DataFrame:
-    """Headers, values, regions, then distinct rows across all sheets."""
+def clean_values(df: DataFrame, lineage: Sequence[str] = LINEAGE,
+                 regions: Sequence[str] = REGIONS,
+                 threshold: float = REGION_THRESHOLD) -> DataFrame:
+    """Headers, values and regions; as many rows as before."""
     df = standardise_values(rename_headers(df, lineage), lineage)
-    if "region" in df.columns:
-        df = canonicalise(df, "region", regions, threshold)
-    return distinct_rows(df, [c for c in lineage if c in df.columns])
+    return canonicalise(df, "region", regions, threshold) if "region" in df.columns else df
+
+
+def clean(df: DataFrame, lineage: Sequence[str] = LINEAGE) -> DataFrame:
+    """Cleaned rows, distinct across all sheets."""
+    rows = clean_values(df, lineage)
+    return distinct_rows(rows, [c for c in lineage if c in rows.columns])
+
+
+def meaningful_rows(df: DataFrame, lineage: Sequence[str] = LINEAGE) -> DataFrame:
+    """Cleaned distinct rows that hold more than defaults."""
+    rows = clean_values(df, lineage)
+    telling = [c for c in rows.columns if c not in (*ALWAYS_FILLED, *lineage)]
+    return distinct_rows(rows, [c for c in lineage if c in rows.columns], has_value(telling))
 
 
 def to_silver(bronze: DataFrame, lineage: Sequence[str] = LINEAGE) -> DataFrame:
     """Cleaned, non-blank rows with repaired turnaround times."""
-    rows = drop_blank_rows(clean(bronze, lineage), [*ALWAYS_FILLED, *lineage])
-    return validate_turnaround(rows)
+    return validate_turnaround(meaningful_rows(bronze, lineage))

@@ -18,7 +18,7 @@ from caseloom.operators.canonical import canonicalise
 from caseloom.operators.constraints import (
     Column, Table, column_violations, foreign_key_violations, unique_violations,
 )
-from caseloom.operators.dedupe import drop_blank_rows, drop_unidentified
+from caseloom.operators.dedupe import drop_unidentified
 from caseloom.operators.fingerprint import changed_sheets, last_known_hash, sheet_fingerprints
 from caseloom.operators.identity import (
     attach_profile, keep_known, mint_ids, new_keys, phone_lookup, resolution_key,
@@ -28,7 +28,9 @@ from caseloom.operators.turnaround import (
     recompute_negative, swap_reversed_dates, validate_turnaround,
 )
 from caseloom.plans import reports
-from caseloom.plans.clean import clean, rename_headers, standardise_values, to_silver
+from caseloom.plans.clean import (
+    clean, meaningful_rows, rename_headers, standardise_values, to_silver,
+)
 from caseloom.plans.gold import SUMMARY, load_gold, refresh_summary
 from caseloom.plans.resolve import (
     customers_by_number, extend_identity_map, resolve_numbers, resolved_complaints,
@@ -361,7 +363,7 @@ def distinct_cleaned_rows(spark, sf_dir):
 
 
 def _meaningful(spark, sf_dir) -> DataFrame:
-    return drop_blank_rows(clean(bronze(spark, sf_dir)), [*ALWAYS_FILLED, *LINEAGE])
+    return meaningful_rows(bronze(spark, sf_dir))
 
 
 @query
