@@ -8,11 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm.chat import format_conversations, read_trained, read_turns
+from caseloom.llm.exact_dedup import streaming_dedup
+from caseloom.llm.packing import pack
 from caseloom.llm.sharding import interleave
-from caseloom.llm.tables import table
+from caseloom.llm.tables import ascii_lower, table
+from caseloom.llm.url_filter import Rule, judge_urls
 
 SHARDS = 24
 SHARD_SEED = 17
+PACK_TOKENS = 2048
+WORDS = r"[^\x20\x09-\x0D]+"
+URL_RULES = [
+    Rule("com", "/", "allow"), Rule("example.com", "/en/", "block"),
+    Rule("www.example.com", "/en/", "allow"), Rule("net", "/es/", "block"),
+    Rule("net", "/fr/", "block"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on the URL of every page: of the longest rule, else of the trees."""
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +67,28 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays for its text."""
+    return streaming_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def with_pack_columns(docs: DataFrame) -> DataFrame:
+    """Columns that packing needs: words and an end token as length, equal texts as clusters."""
+    return docs.select(
+        "doc_id", "source",
+        (F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)) + 1).alias("length"),
+        F.md5(F.encode(ascii_lower(F.col("text")), "utf-8")).alias("cluster"),
+    )
+
+
+def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into bins of 2048 words."""
+    return pack(with_pack_columns(table(spark, sf_dir, "documents")), PACK_TOKENS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op4_sharding, op7_chat)
+    q.__name__: q for q in (op2_url_filter, op4_sharding, op7_chat, op8_exact_dedup, op9_best_fit)
 }
 
 _OP4 = f"""
@@ -116,4 +151,16 @@ select conv_id, count(*) as n_turns,
 from escaped group by conv_id
 """
 
-SQL: dict[str, str] = {"op4_sharding": _OP4, "op7_chat": _OP7}
+_OP8 = """
+with lowered as (
+  select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') as body from documents
+), grouped as (
+  select body, max(doc_id) as keep_id, count(*) as group_size from lowered group by body
+)
+select distinct doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept,
+       sha256(body) as text_sha256
+from lowered join grouped using (body)
+"""
+
+SQL: dict[str, str] = {"op4_sharding": _OP4, "op7_chat": _OP7, "op8_exact_dedup": _OP8}
