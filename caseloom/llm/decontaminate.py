@@ -78,17 +78,16 @@ def find_contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
         split.select("doc_id", F.explode(of_document(shingle_hashes)).alias("hash"))
         .join(sketches, "hash").select("doc_id", "item_id").distinct(), "candidates")
 
-    same = lambda a, b, name: a[name].eqNullSafe(b[name])
-    hit = candidates.select("doc_id").distinct()
-    near = split.join(hit, same(split, hit, "doc_id"), "left_semi") \
-        .select("doc_id", of_document(shingle_texts).alias("of_doc"))
-    paired = near.join(candidates, same(near, candidates, "doc_id")).select(
-        near["doc_id"], candidates["item_id"], "of_doc")
-    known = described.select("item_id", "texts")
+    hit = candidates.select(F.col("doc_id").alias("hit_id")).distinct()
+    pairs = candidates.select(F.col("doc_id").alias("pair_doc"), F.col("item_id").alias("pair_item"))
+    known = described.select(F.col("item_id").alias("known_item"), "texts")
+    shared = F.size(F.array_intersect("texts", "of_doc"))
     return (
-        paired.join(known, same(paired, known, "item_id"))
-        .select(paired["doc_id"], paired["item_id"],
-                F.size(F.array_intersect("texts", "of_doc")).alias("shared"),
+        split.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_semi")
+        .select("doc_id", of_document(shingle_texts).alias("of_doc"))
+        .join(pairs, F.col("doc_id").eqNullSafe(F.col("pair_doc")))
+        .join(known, F.col("pair_item").eqNullSafe(F.col("known_item")))
+        .select("doc_id", F.col("pair_item").alias("item_id"), shared.alias("shared"),
                 F.size("texts").alias("item_shingles"))
         .filter(F.col("shared") >= _needed(F.col("item_shingles"), threshold))
         .groupBy("doc_id", "item_id")

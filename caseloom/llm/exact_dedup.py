@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseloom.llm.tables import ascii_lower
+from caseloom.llm.tables import ascii_lower, stored
 from caseloom.session import scratch_path
 
 _LANDED = T.StructType([
@@ -37,6 +37,8 @@ _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Else every partition's store reserves megabytes for its log, however small it is.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -61,7 +63,7 @@ def _settings(spark: SparkSession, conf: dict[str, str]):
 
 
 def _absorb(spark: SparkSession, root: str, files_per_trigger: int | None) -> DataFrame:
-    """Run all landed files through the stream; the state as a table."""
+    """Run all landed files through the stream; the state as a stored table."""
     reader = spark.readStream.schema(_LANDED)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -73,14 +75,14 @@ def _absorb(spark: SparkSession, root: str, files_per_trigger: int | None) -> Da
             .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
         )
         stream.awaitTermination()
-    state = spark.read.format("statestore").load(f"{root}/state")
-    newest, rows = state.schema["value"].dataType.names  # the buffers of the two aggregates
-    return state.select(
-        F.col("key")["digest"].alias("digest"),
-        F.col("value")[newest]["doc_id"].alias("keep_id"),
-        F.col("value")[newest]["file"].alias("keep_file"),
-        F.col("value")[rows].alias("group_size"),
-    )
+        state = spark.read.format("statestore").load(f"{root}/state")
+        newest, rows = state.schema["value"].dataType.names  # the buffers of the two aggregates
+        return stored(state.select(
+            F.col("key")["digest"].alias("digest"),
+            F.col("value")[newest]["doc_id"].alias("keep_id"),
+            F.col("value")[newest]["file"].alias("keep_file"),
+            F.col("value")[rows].alias("group_size"),
+        ), "dedup-state")
 
 
 def streaming_dedup(docs: DataFrame, identifier: str = "doc_id", text: str = "text",
@@ -105,19 +107,13 @@ def streaming_dedup(docs: DataFrame, identifier: str = "doc_id", text: str = "te
         .groupBy("doc_id", "digest").agg(F.sum("copies").alias("copies"))
     )
     state = _absorb(spark, root, files_per_trigger)
-    table = scratch_path(spark, "dedup-state")
-    state.write.parquet(table)
-    state = spark.read.schema(state.schema).parquet(table)
-
     hits = state.filter("group_size > 1").select("digest")
     texts = (
         whole.join(hits, "digest", "left_semi").groupBy("digest", "body")
         .agg(F.max("doc_id").alias("text_keep"), F.count(F.lit(1)).alias("text_size"))
     )
-    texts_of = scratch_path(spark, "dedup-texts")
-    texts.select("digest", F.sha2("body", 256).alias("text_sha256"), "text_keep", "text_size") \
-        .write.parquet(texts_of)
-    checked = spark.read.parquet(texts_of)
+    checked = stored(texts.select(
+        "digest", F.sha2("body", 256).alias("text_sha256"), "text_keep", "text_size"), "dedup-texts")
     clashes = checked.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
     classed = rows.join(state, "digest")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm.chat import format_conversations, read_trained, read_turns
+from caseloom.llm.decontaminate import find_contained
 from caseloom.llm.exact_dedup import streaming_dedup
 from caseloom.llm.packing import pack
 from caseloom.llm.sharding import interleave
@@ -38,6 +39,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least three quarters of a benchmark item's shingles."""
+    return find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations formatted, and what reading the output back gives."""
     rows = table(spark, sf_dir, "conversations").select(
@@ -88,7 +94,7 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_url_filter, op4_sharding, op7_chat, op8_exact_dedup, op9_best_fit)
+    q.__name__: q for q in (op2_url_filter, op4_sharding, op6_decontaminate, op7_chat, op8_exact_dedup, op9_best_fit)
 }
 
 _OP4 = f"""
@@ -163,4 +169,33 @@ select distinct doc_id, keep_id, group_size, doc_id is not distinct from keep_id
 from lowered join grouped using (body)
 """
 
-SQL: dict[str, str] = {"op4_sharding": _OP4, "op7_chat": _OP7, "op8_exact_dedup": _OP8}
+_OP6 = """
+with documents_ as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'),
+    lambda x: x <> '') as w from documents
+), items as (
+  select item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'),
+    lambda x: x <> '') as w from benchmark
+), runs as (
+  select item_id, w, least(len(w), 5) as n from items where len(w) > 0
+), item_shingles as (
+  select distinct item_id, n, unnest(list_transform(range(len(w) - n + 1),
+    lambda i: array_to_string(w[i + 1:i + n], ' '))) as shingle from runs
+), doc_shingles as (
+  select distinct doc_id, n, unnest(list_transform(range(len(w) - n + 1),
+    lambda i: array_to_string(w[i + 1:i + n], ' '))) as shingle
+  from documents_, (select distinct n from runs)
+), sizes as (
+  select item_id, count(*) as item_shingles from item_shingles group by item_id
+), shared as (
+  select doc_id, item_id, count(*) as shared
+  from item_shingles join doc_shingles using (n, shingle) group by doc_id, item_id
+)
+select doc_id, item_id, shared::int as shared, item_shingles::int as item_shingles
+from shared join sizes using (item_id) where 4 * shared >= 3 * item_shingles
+"""
+
+SQL: dict[str, str] = {"op4_sharding": _OP4, "op6_decontaminate": _OP6, "op7_chat": _OP7,
+                        "op8_exact_dedup": _OP8}
