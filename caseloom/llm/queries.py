@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from caseloom.llm.chat import format_conversations, read_trained, read_turns
 from caseloom.llm.decontaminate import find_contained
 from caseloom.llm.exact_dedup import streaming_dedup
+from caseloom.llm.language import language_of, train
 from caseloom.llm.packing import pack
 from caseloom.llm.sharding import interleave
-from caseloom.llm.tables import ascii_lower, table
+from caseloom.llm.tables import ascii_lower, small_batches, table
 from caseloom.llm.url_filter import Rule, judge_urls
 
 SHARDS = 24
 SHARD_SEED = 17
 PACK_TOKENS = 2048
 WORDS = r"[^\x20\x09-\x0D]+"
+#: Documents held out from language training.
+HELD_OUT = "coalesce(crc32(cast(doc_id as string)) % 4 = 2, false)"
 URL_RULES = [
     Rule("com", "/", "allow"), Rule("example.com", "/en/", "block"),
     Rule("www.example.com", "/en/", "allow"), Rule("net", "/es/", "block"),
@@ -26,6 +29,23 @@ URL_RULES = [
 ]
 
 
+def language_labels(docs: DataFrame) -> DataFrame:
+    """Rows that may be learned from."""
+    return docs.filter(f"NOT {HELD_OUT}")
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of the labelled ones."""
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = train(language_labels(docs))
+    return docs.select(
+        "doc_id", F.expr(HELD_OUT).alias("held_out"),
+        language_of(spark, model, F.col("text")).alias("found"),
+    ).select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score",
+             "found.bits")
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on the URL of every page: of the longest rule, else of the trees."""
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
@@ -94,7 +114,7 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_url_filter, op4_sharding, op6_decontaminate, op7_chat, op8_exact_dedup, op9_best_fit)
+    q.__name__: q for q in (op1_language, op2_url_filter, op4_sharding, op6_decontaminate, op7_chat, op8_exact_dedup, op9_best_fit)
 }
 
 _OP4 = f"""

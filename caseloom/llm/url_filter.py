@@ -132,7 +132,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], identifier: str = "page_id",
     path_of = scratch_path(spark, "url-sample")
     described.filter("found is not null").filter(drawn).withColumn(
         "label", (F.col("found.verdict") == "block").cast("double")
-    ).drop("found").coalesce(1).write.parquet(path_of)
+    ).drop("found").repartition(1).write.parquet(path_of)
     sample = spark.read.parquet(path_of)
     shares = sample.select(F.explode(F.array_distinct(F.array("tld", "site"))).alias("suffix"),
                            "label").groupBy("suffix").agg(
