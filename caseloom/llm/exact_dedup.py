@@ -19,13 +19,12 @@ rows. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseloom.llm.tables import ascii_lower, stored
+from caseloom.llm.tables import ascii_lower, settings, stored
 from caseloom.session import scratch_path
 
 _LANDED = T.StructType([
@@ -50,18 +49,6 @@ def sha256(body: Column) -> Column:
     return F.sha2(body, 256)
 
 
-@contextmanager
-def _settings(spark: SparkSession, conf: dict[str, str]):
-    before = {key: spark.conf.get(key, None) for key in conf}
-    for key, value in conf.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
-
-
 def _absorb(spark: SparkSession, root: str, files_per_trigger: int | None) -> DataFrame:
     """Run all landed files through the stream; the state as a stored table."""
     reader = spark.readStream.schema(_LANDED)
@@ -69,7 +56,7 @@ def _absorb(spark: SparkSession, root: str, files_per_trigger: int | None) -> Da
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     keyed = reader.parquet(f"{root}/landed/*").groupBy("digest").agg(
         F.max(F.struct("doc_id", "file")).alias("newest"), F.sum("copies").alias("rows"))
-    with _settings(spark, _STATE_CONF):
+    with settings(spark, _STATE_CONF):
         stream = (
             keyed.writeStream.outputMode("update").format("noop")
             .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()

@@ -15,6 +15,8 @@ from caseloom.llm.packing import pack
 from caseloom.llm.sharding import interleave
 from caseloom.llm.tables import ascii_lower, small_batches, table
 from caseloom.llm.url_filter import Rule, judge_urls
+from caseloom.llm.warc import merge_histories, read_index, write_archives
+from caseloom.session import scratch_path
 
 SHARDS = 24
 SHARD_SEED = 17
@@ -51,6 +53,14 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives; what the merged index of the archives says of each."""
+    root = scratch_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), root)
+    return merge_histories(read_index(spark, root)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 24 shards of equal row counts and equal mixture."""
     return interleave(table(spark, sf_dir, "documents"), SHARDS, SHARD_SEED).select(
@@ -114,9 +124,23 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_language, op2_url_filter, op4_sharding, op6_decontaminate, op7_chat, op8_exact_dedup, op9_best_fit)
+    q.__name__: q for q in (op1_language, op2_url_filter, op3_warc, op4_sharding, op6_decontaminate, op7_chat, op8_exact_dedup, op9_best_fit)
 }
 
+_OP3 = """
+with sized as (
+  select page_id, sha256(coalesce(html, '')) as payload_digest,
+         octet_length(encode(coalesce(html, ''))) as payload_bytes from pages
+), firsts as (
+  select payload_digest, min(page_id) as first_id from sized
+  where payload_bytes >= 100 group by payload_digest
+)
+select page_id, payload_bytes, payload_digest,
+       case when page_id > first_id then 'revisit' else 'response' end as record_type,
+       case when page_id > first_id then first_id end as refers_to
+from sized left join firsts using (payload_digest)
+"""
+
 _OP4 = f"""
 with bytes as (
   select doc_id, coalesce(text, '') as text, source,
@@ -217,5 +241,5 @@ select doc_id, item_id, shared::int as shared, item_shingles::int as item_shingl
 from shared join sizes using (item_id) where 4 * shared >= 3 * item_shingles
 """
 
-SQL: dict[str, str] = {"op4_sharding": _OP4, "op6_decontaminate": _OP6, "op7_chat": _OP7,
+SQL: dict[str, str] = {"op3_warc": _OP3, "op4_sharding": _OP4, "op6_decontaminate": _OP6, "op7_chat": _OP7,
                         "op8_exact_dedup": _OP8}
