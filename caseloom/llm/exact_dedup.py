@@ -89,10 +89,9 @@ def streaming_dedup(docs: DataFrame, identifier: str = "doc_id", text: str = "te
                  F.input_file_name().alias("file"))
      .groupBy("doc_id", "digest", "file").agg(F.count(F.lit(1)).alias("copies"))
      .select("doc_id", "digest", "copies", "file").write.parquet(f"{root}/landed/{landing}"))
-    rows = (
+    rows = stored(
         spark.read.schema(_LANDED).parquet(f"{root}/landed/{landing}")
-        .groupBy("doc_id", "digest").agg(F.sum("copies").alias("copies"))
-    )
+        .groupBy("doc_id", "digest").agg(F.sum("copies").alias("copies")), "dedup-rows")
     state = _absorb(spark, root, files_per_trigger)
     hits = state.filter("group_size > 1").select("digest")
     texts = (
