@@ -14,6 +14,7 @@ from caseloom.llm.language import language_of, train
 from caseloom.llm.packing import pack
 from caseloom.llm.sharding import interleave
 from caseloom.llm.tables import ascii_lower, small_batches, table
+from caseloom.llm.token_store import read_documents, write_tokens
 from caseloom.llm.url_filter import Rule, judge_urls
 from caseloom.llm.warc import merge_histories, read_index, write_archives
 from caseloom.session import scratch_path
@@ -69,6 +70,16 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written in Re-Pair blocks and read back."""
+    import public_tokenizers
+
+    small_batches(spark)
+    blocks = write_tokens(table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("word_bpe_49k.json"))
+    return read_documents(blocks)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold at least three quarters of a benchmark item's shingles."""
     return find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -124,7 +135,10 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_language, op2_url_filter, op3_warc, op4_sharding, op6_decontaminate, op7_chat, op8_exact_dedup, op9_best_fit)
+    q.__name__: q for q in (
+        op1_language, op2_url_filter, op3_warc, op4_sharding, op5_token_store, op6_decontaminate,
+        op7_chat, op8_exact_dedup, op9_best_fit,
+    )
 }
 
 _OP3 = """
