@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from caseloom.llm.chat import format_conversations, read_trained, read_turns
 from caseloom.llm.decontaminate import find_contained
 from caseloom.llm.exact_dedup import streaming_dedup
+from caseloom.llm.jaccard_join import jaccard_components
 from caseloom.llm.language import language_of, train
 from caseloom.llm.packing import pack
 from caseloom.llm.sharding import interleave
@@ -134,10 +135,16 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(with_pack_columns(table(spark, sf_dir, "documents")), PACK_TOKENS)
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component that links of similar shingle sets make."""
+    small_batches(spark)
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_language, op2_url_filter, op3_warc, op4_sharding, op5_token_store, op6_decontaminate,
-        op7_chat, op8_exact_dedup, op9_best_fit,
+        op7_chat, op8_exact_dedup, op9_best_fit, op10_jaccard,
     )
 }
 
@@ -255,5 +262,32 @@ select doc_id, item_id, shared::int as shared, item_shingles::int as item_shingl
 from shared join sizes using (item_id) where 4 * shared >= 3 * item_shingles
 """
 
+_OP10 = """
+with recursive documents_ as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'),
+    lambda x: x <> '') as w from documents
+), runs as (
+  select doc_id, w, least(len(w), 5) as n from documents_ where len(w) > 0
+), shingles as (
+  select distinct doc_id, unnest(list_transform(range(len(w) - n + 1),
+    lambda i: n || ':' || array_to_string(w[i + 1:i + n], ' '))) as shingle from runs
+), sizes as (
+  select doc_id, count(*) as n_shingles from shingles group by doc_id
+), links as (
+  select a.doc_id as u, b.doc_id as v
+  from shingles a join shingles b using (shingle) where a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id
+  having 7 * count(*) >= 3 * ((select n_shingles from sizes where doc_id = a.doc_id)
+                            + (select n_shingles from sizes where doc_id = b.doc_id))
+), reached as (
+  select doc_id as u, doc_id as v from documents
+  union select r.u, l.v from reached r join links l on r.v = l.u
+)
+select d.doc_id, coalesce(n_shingles, 0) as n_shingles, component_id
+from documents d left join sizes using (doc_id)
+join (select u, min(v) as component_id from reached group by u) on u = d.doc_id
+"""
+
 SQL: dict[str, str] = {"op3_warc": _OP3, "op4_sharding": _OP4, "op6_decontaminate": _OP6, "op7_chat": _OP7,
-                        "op8_exact_dedup": _OP8}
+                        "op8_exact_dedup": _OP8, "op10_jaccard": _OP10}
