@@ -26,6 +26,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ _ROUNDS = 5
 #: Pairs of a round are at most this factor rarer than its most frequent pair.
 _SPAN = 16
 _BUCKETS = 1 << 20
-_CACHED_WORDS = 600_000
+_CACHED_WORDS = 1_000_000
 
 _BLOCKS = ("part int, block int, doc_ids binary, no_id binary, ends binary, rules binary, "
            "lengths binary, symbols binary, syncs binary, n_ids long")
@@ -146,6 +147,19 @@ def _latin(kind: str) -> str:
     return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
 
 
+class _Words(dict):
+    """Word -> its number; unknown words get the next ones and are noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, whose answers per word are kept.
 
@@ -164,7 +178,6 @@ class Encoder:
         self.pattern = re.compile(
             rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^ \t-\r{letters}{digits}]+")
         self.plain = re.compile(r"[\t-\r\x20-\x7e\xa1-įı-ɏ]*")
-        self.words: dict[str, int] = {}
         self._reset()
 
     @classmethod
@@ -175,14 +188,13 @@ class Encoder:
         return cls._shared[path]
 
     def _reset(self) -> None:
-        self.words.clear()
+        self.words = _Words()
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
-    def _learn(self, new: list[str]) -> None:
-        found = self.library.encode_batch(new, add_special_tokens=False)
-        for word in new:
-            self.words[word] = len(self.words)
+    def _learn(self) -> None:
+        found = self.library.encode_batch_fast(self.words.new, add_special_tokens=False)
+        self.words.new = []
         sizes = np.fromiter((len(e.ids) for e in found), np.int64, len(found))
         flat = np.fromiter((i for e in found for i in e.ids), np.uint32, int(sizes.sum()))
         self.ids = np.concatenate([self.ids, flat])
@@ -196,12 +208,11 @@ class Encoder:
             [t for t, f in zip(texts, fast) if not f], add_special_tokens=False)]
         if len(self.words) > _CACHED_WORDS:
             self._reset()
-        known = self.words
-        new = list(dict.fromkeys(w for words in parts for w in words if w not in known))
-        if new:
-            self._learn(new)
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        index = np.fromiter((known[w] for words in parts for w in words), np.int64, int(counts.sum()))
+        index = np.fromiter(map(self.words.__getitem__, chain.from_iterable(parts)), np.int64,
+                            int(counts.sum()))
+        if self.words.new:
+            self._learn()
         first, sizes = self.starts[index], self.starts[index + 1] - self.starts[index]
         ends = np.cumsum(sizes)
         flat = self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
