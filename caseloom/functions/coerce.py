@@ -11,6 +11,11 @@ from caseloom.functions.text import strip
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
+# A whole ISO date, or timestamp with optional fraction and zone: the cast alone would also take
+# a date that is followed by anything.
+_ISO = (r"^[+-]?[0-9]{1,6}(-[0-9]{1,2}(-[0-9]{1,2}([T ]([0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}"
+        r"(\.[0-9]*)?)?)?( ?(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2})?))?)?)?)?$")
+
 #: Tried in this order for each value, after the ISO forms.
 DATE_FORMATS = ("M/d/yyyy", "d-MMM-yyyy", "d MMM yyyy", "d MMMM yyyy", "MMMM d, yyyy")
 
@@ -28,7 +33,8 @@ def to_calendar_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Col
     readings = [F.try_to_timestamp(trimmed, F.lit(f)).cast("date") for f in formats]
     # Every failed reading is an exception inside Spark: spare texts such as "N/A" from it.
     other = F.when(trimmed.rlike("[0-9]"), F.coalesce(*readings)) if readings else F.lit(None)
-    return F.coalesce(trimmed.try_cast("date"), other)
+    iso = F.when(trimmed.rlike(_ISO), trimmed.try_cast("date"))
+    return F.coalesce(iso, other)
 
 
 def rounded_percentage(part: Column, whole: Column) -> Column:

@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Longest reference entry: positions of its characters are kept as bits of one long.
-MAX_CHOICE_LENGTH = 62
+#: Positions of so many characters are kept as bits of one long; longer texts take the slow way.
+_BITS = 62
 
 
 def words(text: Column) -> Column:
@@ -25,12 +25,31 @@ def _characters(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
 
-def longest_common_subsequence(left: Column, right: Column) -> Column:
-    """Length of the longest common subsequence; ``right`` has at most 62 characters.
+def longest_common_subsequence(left: Column, right: Column, longest: int = _BITS) -> Column:
+    """Length of the longest common subsequence; ``right`` has at most ``longest`` characters."""
+    if longest <= _BITS:
+        return _subsequence_by_bits(left, right)
+    return F.when(F.length(right) <= _BITS, _subsequence_by_bits(left, right)).otherwise(
+        _subsequence_by_rows(left, right))
 
-    One bit per character of ``right``: a step per character of ``left`` clears the bit of each
-    newly matched position, so the answer is the number of cleared bits.
-    """
+
+def _subsequence_by_rows(left: Column, right: Column) -> Column:
+    """The usual recurrence: one row of lengths per character of ``left``."""
+    def next_row(row: Column, c: Column, letters: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.size(letters)), F.array(F.lit(0)), lambda new, j:
+                           F.array_append(new, F.when(
+                               F.get(letters, j - 1) == c, F.get(row, j - 1) + 1
+                           ).otherwise(F.greatest(F.get(row, j), F.get(new, j - 1)))))
+
+    rows = F.transform(F.array(_characters(right)), lambda letters: F.aggregate(
+        _characters(left), F.array_repeat(F.lit(0), F.size(letters) + 1),
+        lambda row, c: next_row(row, c, letters)))
+    return F.element_at(F.get(rows, 0), -1)
+
+
+def _subsequence_by_bits(left: Column, right: Column) -> Column:
+    """One bit per character of ``right``: a step per character of ``left`` clears the bit of each
+    newly matched position, so the answer is the number of cleared bits."""
     right_reversed = F.reverse(_characters(right))
     zero = F.lit(0).cast("long")
     one = F.lit(1).cast("long")
@@ -53,16 +72,29 @@ def _ratio(distance: Column, total: Column) -> Column:
     return F.lit(100.0) - F.lit(100.0) * distance / total
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it stands in the result."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def token_set_ratio(
-    left_words: Column, right_words: Column, at_least: float = 0.0
+    left_words: Column, right_words: Column, at_least: float = 0.0, longest: int = _BITS
 ) -> Column:
     """Similarity 0..100 of two word sets. Scores under ``at_least`` may come out lower than
-    they are, never higher and never at or above it: that spares the subsequence search."""
-    common = F.array_join(F.array_intersect(left_words, right_words), " ")
-    a = F.array_join(F.array_sort(F.array_except(left_words, right_words)), " ")
-    b = F.array_join(F.array_sort(F.array_except(right_words, left_words)), " ")
+    they are, never higher and never at or above it: that spares the subsequence search.
+    ``longest`` bounds the characters of the right side."""
+    parts = F.struct(
+        F.array_join(F.array_intersect(left_words, right_words), " ").alias("common"),
+        F.array_join(F.array_sort(F.array_except(left_words, right_words)), " ").alias("a"),
+        F.array_join(F.array_sort(F.array_except(right_words, left_words)), " ").alias("b"),
+        ((F.size(left_words) == 0) | (F.size(right_words) == 0)).alias("empty"),
+    )
+    return _bound(parts, lambda p: _score(p, at_least, longest))
+
 
-    shared = F.length(common)
+def _score(parts: Column, at_least: float, longest: int) -> Column:
+    a, b = parts["a"], parts["b"]
+    shared = F.length(parts["common"])
     gap = F.when(shared > 0, 1).otherwise(0)
     len_a, len_b = F.length(a), F.length(b)
     total = shared + gap + len_a + shared + gap + len_b
@@ -76,10 +108,11 @@ def token_set_ratio(
     ).otherwise(F.lit(0.0))
     # An insert/delete distance is never below the edit distance, so this bounds the first ratio.
     ceiling = _ratio(F.levenshtein(a, b), total)
-    searched = _ratio(len_a + len_b - 2 * longest_common_subsequence(a, b), total)
+    subsequence = longest_common_subsequence(a, b, longest)
+    searched = _ratio(len_a + len_b - 2 * subsequence, total)
 
     return (
-        F.when((F.size(left_words) == 0) | (F.size(right_words) == 0), F.lit(0.0))
+        F.when(parts["empty"], F.lit(0.0))
         .when((shared > 0) & ((len_a == 0) | (len_b == 0)), F.lit(100.0))
         .when((ceiling <= by_length) | (ceiling < at_least), by_length)
         .otherwise(F.greatest(by_length, searched))
@@ -92,9 +125,6 @@ def best_choice(text: Column, choices: Sequence[str], threshold: float) -> Colum
     Null where no choice reaches the threshold. The list is a constant of the expression, so
     there is neither a join nor a pair of rows.
     """
-    too_long = [c for c in choices if len(c) > MAX_CHOICE_LENGTH]
-    if too_long:
-        raise ValueError(f"reference entries over {MAX_CHOICE_LENGTH} characters: {too_long}")
     entries = F.array(
         *[
             F.struct(
@@ -105,18 +135,16 @@ def best_choice(text: Column, choices: Sequence[str], threshold: float) -> Colum
             for i, c in enumerate(choices)
         ]
     )
-    text_words = words(text)
-    best = F.array_max(
-        F.transform(
-            entries,
-            lambda e: F.struct(
-                token_set_ratio(text_words, e["words"], threshold).alias("score"),
-                e["rank"].alias("rank"),
-                e["choice"].alias("choice"),
-            ),
-        )
-    )
-    return F.when(best["score"] >= threshold, best)
+    longest = max(map(len, choices), default=0)
+    scored = _bound(words(text), lambda text_words: F.transform(
+        entries,
+        lambda e: F.struct(
+            token_set_ratio(text_words, e["words"], threshold, longest).alias("score"),
+            e["rank"].alias("rank"),
+            e["choice"].alias("choice"),
+        ),
+    ))
+    return F.array_max(F.filter(scored, lambda s: s["score"] >= threshold))
 
 
 def exact_choice(choices: Sequence[str]) -> dict[str, str]:

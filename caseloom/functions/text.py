@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,8 +22,10 @@ _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _WORD_START_AFTER_NON_SPACE = f"([^ {_CASED}])(?=[{_CASED}])"
 # Cheap to test, and true wherever the former occurs.
 _MAYBE_WORD_START = r"[^ A-Za-z][A-Za-z\x{80}-\x{10FFFF}]"
-# A code point that Unicode reserves for internal use, and the space that starts a word.
-_BREAK = "\ufdd0 "
+# A code point that Unicode reserves for internal use, and the space that starts a word. Where
+# a text holds the code point itself, another one follows it meanwhile.
+_MARK, _OWN = "\ufdd0", "\ufdd0\ufdd1"
+_BREAK = _MARK + " "
 
 
 def strip(text: Column) -> Column:
@@ -37,10 +41,11 @@ def title_case(text: Column) -> Column:
     taken out afterwards. Everything is code-generated. ``text`` is used twice, so project a
     costly expression to a column of its own before.
     """
-    broken = F.regexp_replace(text, _WORD_START_AFTER_NON_SPACE, f"$1{_BREAK}")
+    own = F.replace(text, F.lit(_MARK), F.lit(_OWN))
+    broken = F.regexp_replace(own, _WORD_START_AFTER_NON_SPACE, f"$1{_BREAK}")
     return F.when(
         text.rlike(_MAYBE_WORD_START),
-        F.replace(F.initcap(broken), F.lit(_BREAK), F.lit("")),
+        F.replace(F.replace(F.initcap(broken), F.lit(_BREAK), F.lit("")), F.lit(_OWN), F.lit(_MARK)),
     ).otherwise(F.initcap(text))
 
 
@@ -52,6 +57,11 @@ def default_name(name: Column, default: str = "Unknown") -> Column:
 
 
 def lower_camel(header: str) -> str:
-    """``NATURE OF COMPLAINT`` -> ``natureOfComplaint``. Column names only, never data."""
-    first, *rest = header.strip().split(" ")
-    return (first.lower() + "".join(word.title() for word in rest)).replace(" ", "")
+    """``NATURE OF COMPLAINT`` -> ``natureOfComplaint``. Column names only, never data.
+
+    Runs of blanks count as one; the first word is lower case throughout, in every other each
+    letter that follows a non-letter is a capital.
+    """
+    words = re.findall(r"[^ ]+", header.strip())
+    tail = [word.title() for word in words[1:]]
+    return "".join([*(word.lower() for word in words[:1]), *tail])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.similarity import best_choice, exact_choice
 from caseloom.functions.text import strip
-from caseloom.operators.joins import SLICE_ROWS, lookup_join
+from caseloom.operators.joins import is_broadcastable, lookup_join
 from caseloom.session import scratch_path
 
 
@@ -25,7 +25,7 @@ def score_variants(values: DataFrame, column: str, choices: Sequence[str],
 
 
 def canonicalise(df: DataFrame, column: str, choices: Sequence[str], threshold: float = 80.0,
-                 default: str = "Unknown", slice_rows: int = SLICE_ROWS) -> DataFrame:
+                 default: str = "Unknown", slice_rows: int | None = None) -> DataFrame:
     """Replace each value by the most similar reference entry, or by the default.
 
     Reference entries resolve by a constant map, without a join. All other distinct values
@@ -43,10 +43,14 @@ def canonicalise(df: DataFrame, column: str, choices: Sequence[str], threshold:
     is_entry = F.coalesce(value.isin(list(choices)), F.lit(False))
     # Entries and blanks need no lookup. They get a null key, and those join nothing.
     variant = F.when(~is_entry & (F.length(strip(value)) > 0), value).alias("__variant")
-    joined = lookup_join(
-        df.select("*", variant), lookup.withColumnRenamed(column, "__variant"), "__variant",
-        "left", slice_rows,
-    )
+    keyed = df.select("*", variant)
+    lookup = lookup.withColumnRenamed(column, "__variant")
+    if is_broadcastable(lookup):
+        joined = keyed.join(F.broadcast(lookup), "__variant", "left")
+    else:  # only the rows that need it are moved
+        rest = keyed.filter(F.col("__variant").isNull())
+        joined = lookup_join(keyed.filter(F.col("__variant").isNotNull()), lookup, "__variant",
+                             "left", slice_rows).unionByName(rest, allowMissingColumns=True)
     resolved = F.coalesce(
         F.when(is_entry, F.try_element_at(entries, value)), F.col("__choice"), F.lit(default)
     )

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from typing import Any
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A key with more rows than this is cut into slices of about this many rows.
+from caseloom.session import scratch_path
+
+#: A key with more rows than this is cut into slices of about this many rows, fewer where rows
+#: are so wide that a slice would exceed ``SLICE_BYTES``.
 SLICE_ROWS = 1_000_000
-#: Bound on the key list that travels through the driver. Keys beyond it are only less hot
-#: than all of these, and take the ordinary shuffle join, where adaptive execution splits
-#: partitions that still come out too large.
-MAX_HOT_KEYS = 1000
+SLICE_BYTES = 256 << 20
 
-_SALT = "__slice"
+_SALT, _SLICES = "__slice", "__slices"
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -35,38 +33,40 @@ def is_broadcastable(df: DataFrame) -> bool:
     return size is not None and size <= int(limit)
 
 
-def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> dict[Any, int]:
-    """Keys (null included) with more than ``slice_rows`` rows -> their number of rows.
+def rows_per_slice(df: DataFrame) -> int:
+    """Rows that make a slice, by the optimiser's estimate of their width."""
+    size = estimated_bytes(df)
+    if size is None:
+        return SLICE_ROWS
+    width = max(1, size // max(1, df.count()))
+    return max(1, min(SLICE_ROWS, SLICE_BYTES // width))
+
+
+def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Stored table of the keys (null included) with more than ``slice_rows`` rows and the number
+    of slices of each: at most one in ``slice_rows`` of the rows.
 
     Counts combine before the shuffle, and only the key column is read. The answer steers the
     layout of a join only, never its result.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > slice_rows)
-    top = counts.orderBy(F.desc("n"), key).limit(MAX_HOT_KEYS)
-    return {row[key]: row["n"] for row in top.collect()}
-
-
-def _slices(df: DataFrame, key_name: str, hot: dict[Any, int], slice_rows: int) -> Column:
-    """Number of slices of a key: 1 for most."""
-    key, key_type = df[key_name], df.schema[key_name].dataType
-    fan = F.lit(1)
-    valued = {k: n for k, n in hot.items() if k is not None}
-    if valued:
-        table = F.create_map(
-            *[
-                column
-                for k, n in valued.items()
-                for column in (F.lit(k).cast(key_type), F.lit(-(-n // slice_rows)))
-            ]
-        )
-        fan = F.coalesce(F.try_element_at(table, key), F.lit(1))
-    if None in hot:
-        fan = F.when(key.isNull(), F.lit(-(-hot[None] // slice_rows))).otherwise(fan)
-    return fan
+    hot = counts.select(key, F.ceil(F.col("n") / slice_rows).cast("int").alias(_SLICES))
+    path = scratch_path(df.sparkSession, "hot-keys")
+    hot.write.parquet(path)
+    return df.sparkSession.read.schema(hot.schema).parquet(path)
+
+
+def _with_slices(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Adds the number of slices of each row's key: 1 for most."""
+    known = hot.select(F.col(key).alias("__hot"), _SLICES)
+    if is_broadcastable(hot):
+        known = F.broadcast(known)
+    return df.join(known, F.col(key).eqNullSafe(F.col("__hot")), "left").drop("__hot") \
+        .withColumn(_SLICES, F.coalesce(_SLICES, F.lit(1)))
 
 
 def sliced_join(left: DataFrame, right: DataFrame, key: str, how: str,
-                hot: dict[Any, int], slice_rows: int = SLICE_ROWS) -> DataFrame:
+                hot: DataFrame) -> DataFrame:
     """Equi-join that spreads the rows of each hot left key over several slices.
 
     The slice is a function of the row and of the number of its input partition: equal rows
@@ -75,19 +75,17 @@ def sliced_join(left: DataFrame, right: DataFrame, key: str, how: str,
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"sliced_join keeps left rows whole; unsupported: {how}")
-    columns = left.columns
-    row_hash = F.xxhash64(F.spark_partition_id(), *[left[c] for c in columns])
-    spread = left.withColumn(
-        _SALT, F.pmod(row_hash, _slices(left, key, hot, slice_rows)).cast("int")
-    )
-    repeated = right.withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), _slices(right, key, hot, slice_rows) - 1))
-    )
+    row_hash = F.xxhash64(F.spark_partition_id(), *[left[c] for c in left.columns])
+    drawn = left.withColumn("__draw", row_hash)
+    spread = _with_slices(drawn, key, hot).withColumn(
+        _SALT, F.pmod("__draw", F.col(_SLICES)).cast("int")).drop("__draw", _SLICES)
+    repeated = _with_slices(right, key, hot).withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), F.col(_SLICES) - 1))).drop(_SLICES)
     return spread.join(repeated, [key, _SALT], how).drop(_SALT)
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
-                slice_rows: int = SLICE_ROWS) -> DataFrame:
+                slice_rows: int | None = None) -> DataFrame:
     """Join a large frame to its lookup table on one column.
 
     A lookup of checked small size is broadcast, and left rows do not move. Otherwise hot left
@@ -95,7 +93,7 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
     """
     if is_broadcastable(right):
         return left.join(F.broadcast(right), key, how)
-    hot = hot_keys(left, key, slice_rows)
-    if not hot:
+    hot = hot_keys(left, key, slice_rows or rows_per_slice(left))
+    if hot.isEmpty():
         return left.join(right, key, how)
-    return sliced_join(left, right, key, how, hot, slice_rows)
+    return sliced_join(left, right, key, how, hot)

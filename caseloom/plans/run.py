@@ -77,9 +77,7 @@ def run(spark: SparkSession, source: str, warehouse: str, client: DataFrame,
     names = sorted(row["sheet_name"] for row in changed)
     if not names:
         return RunResult([])
-    write_sheets(
-        scan_sheets(spark, source, fmt, exclude, only=names, position=position), bronze
-    )
+    write_sheets(sheets.filter(F.col("sheet").isin(names)), bronze)
 
     landed = read_bronze(spark, bronze)
     silver_rows = store.replace({"silver": to_silver(spread_scan(landed, *LINEAGE))})["silver"]

@@ -17,6 +17,7 @@ REGIONS = (
 )
 REGION_THRESHOLD = 80.0
 
+# The short headers and their long names, and the columns and limits of the tables.
 RENAMES = {"tat": "turnaroundTime", "dob": "dateOfBirth"}
 DATE_COLUMNS = ("logDate", "resolutionDate", "dateOfBirth")
 #: Text that keeps its case.
@@ -24,13 +25,6 @@ CASE_KEPT = ("number", "number2", "branch", "customerId", "profileId")
 #: Columns that cleaning always fills, so they do not make a row meaningful.
 ALWAYS_FILLED = ("name", "region")
 
-CUSTOMER_COLUMNS = ("number", "name", "gender", "dateOfBirth", "accountType", "branch")
-COMPLAINT_COLUMNS = (
-    "number", "location", "region", "logDate", "complaintSource", "natureOfComplaint",
-    "subject", "detailsOfComplaint", "comment", "updates", "status", "turnaroundTime",
-    "resolutionDate", "reasonForReversalRequest", "assign", "nameOfCcRep",
-)
-
 CUSTOMERS = Table(
     "customers",
     (
@@ -71,6 +65,11 @@ COMPLAINTS = Table(
     ),
     foreign_keys=(ForeignKey("customerId", "customers", "customerId"),),
 )
+#: What a silver row says itself; identity resolution adds the rest.
+_RESOLVED = ("customerId", "profileId", "number2")
+CUSTOMER_COLUMNS = tuple(c for c in CUSTOMERS.column_names if c not in _RESOLVED)
+COMPLAINT_COLUMNS = tuple(c for c in COMPLAINTS.column_names if c not in _RESOLVED)
+
 CLIENT = Table(
     "client",
     (

@@ -1,4 +1,4 @@
-"""Folder listings and header lines through the session's own file system layer."""
+"""Folder listings through the session's own file system layer."""
 
 from __future__ import annotations
 
@@ -30,27 +30,11 @@ def partition_folders(spark: SparkSession, root: str, column: str) -> dict[str,
     return found
 
 
-def first_line(spark: SparkSession, folder: str) -> str | None:
-    """First line of the first data file by name; compressed files are unpacked."""
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """Files with content directly in a folder, by name, without hidden ones."""
     hadoop_path, fs = _open(spark, folder)
-    names = sorted(
+    return sorted(
         s.getPath().toString()
         for s in fs.listStatus(hadoop_path)
         if s.isFile() and s.getLen() > 0 and not s.getPath().getName().startswith(("_", "."))
     )
-    if not names:
-        return None
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(names[0])
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-        spark._jsc.hadoopConfiguration()
-    )
-    codec = codecs.getCodec(path)
-    stream = fs.open(path)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        return reader.readLine()
-    finally:
-        reader.close()

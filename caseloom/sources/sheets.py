@@ -1,6 +1,7 @@
 """Scanning a source folder with one sub-folder ``sheet=NAME`` per sheet.
 
-All columns are read as text: sheets disagree about types, and cleaning decides them.
+All columns are read as text: sheets disagree about types, and cleaning decides them. Files, not
+sheets, are grouped by their header or schema, so no file lends its columns to another.
 """
 
 from __future__ import annotations
@@ -10,23 +11,28 @@ from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseloom.session import shared_folder
-from caseloom.sources.files import first_line, partition_folders, path_exists
+from caseloom.operators.joins import lookup_join
+from caseloom.session import scratch_path
+from caseloom.sources.files import data_files, partition_folders, path_exists
 
 POSITION = "row_idx"
-# An empty cell is null, a quoted empty one is the empty string.
-_CSV_OPTIONS = {"header": "true", "nullValue": "\\N", "emptyValue": ""}
+# An empty cell is null, a quoted empty one is the empty string. Cells may hold line breaks, so
+# each file is read by one task.
+_CSV_OPTIONS = {"header": "true", "nullValue": "\\N", "emptyValue": "", "escape": '"',
+                "multiLine": "true"}
 _CSV_WRITE_OPTIONS = {
     "header": "true", "nullValue": "", "emptyValue": '""', "escape": '"',
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
-#: Above this many splits the table of split offsets is joined by shuffle, not broadcast.
-_MAX_BROADCAST_SPLITS = 500_000
+_FILE, _AT = "__file", "__at"
 
 
 @contextmanager
@@ -51,88 +57,86 @@ def list_sheets(spark: SparkSession, root: str, exclude: Sequence[str] = ()) ->
 
 def _reader(spark: SparkSession, fmt: str, root: str):
     reader = spark.read.format(fmt).option("basePath", root)
-    return reader.options(escape='"', **_CSV_OPTIONS) if fmt == "csv" else reader
+    return reader.options(**_CSV_OPTIONS) if fmt == "csv" else reader
+
+
+def _column_names(header: str, file: str) -> list[str]:
+    """Names in a header line; empty and repeated ones are told apart by their place."""
+    if header.count('"') % 2:
+        raise ValueError(f"the header of {file} goes over several lines")
+    names: list[str] = []
+    for place, name in enumerate(next(csv.reader([header.removeprefix("\ufeff")]))):
+        taken = {n.lower() for n in names}
+        names.append(name if name and name.lower() not in taken else f"{name or '_c'}{place}")
+    return names
+
+
+def _csv_scans(spark: SparkSession, root: str, files: Sequence[str]) -> list[DataFrame]:
+    """One scan for the files of each header. The headers are found by a job over the files."""
+    lines = spark.read.text(list(files)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("at"), "value").alias("line"),
+    ).filter(F.col("line.block") == 0).filter(F.length(F.trim("line.value")) > 0)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min("line")["value"].alias("header")).collect():
+        names = tuple(_column_names(row["header"], row["file"]))
+        groups.setdefault(names, []).append(unquote(row["file"]))
+    return [
+        _reader(spark, "csv", root)
+        .schema(T.StructType([T.StructField(n, T.StringType()) for n in (*names, "sheet")]))
+        .load(sorted(group))
+        for names, group in sorted(groups.items())
+    ]
 
 
-def _without_sheet(schema: T.StructType) -> T.StructType:
-    return T.StructType([f for f in schema.fields if f.name != "sheet"])
+def _typed_scans(spark: SparkSession, fmt: str, root: str,
+                 files: Sequence[str]) -> list[DataFrame]:
+    """Scans of files whose schemas merge; where some do not, each half is tried on its own."""
+    try:
+        return [_reader(spark, fmt, root).option("mergeSchema", "true").load(list(files))]
+    except (PySparkException, Py4JJavaError):
+        if len(files) == 1:
+            raise
+    half = len(files) // 2
+    with ThreadPoolExecutor(2) as pool:
+        return [scan for part in pool.map(
+            lambda f: _typed_scans(spark, fmt, root, f), (files[:half], files[half:])
+        ) for scan in part]
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _text_schema(header: str) -> T.StructType:
-    names = next(csv.reader([header.removeprefix("\ufeff")]))
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+def _with_place(scan: DataFrame, fmt: str) -> DataFrame:
+    """Text columns with the file of each row and its place in the order of the file."""
+    at = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
+    placed = scan.select("*", F.col("_metadata.file_path").alias(_FILE), at.alias(_AT))
+    return stringify(placed, keep=(_AT,))
 
 
-def _scans(spark: SparkSession, fmt: str, root: str, folders: Sequence[str]) -> list[DataFrame]:
-    """As few file scans as the sheets' headers allow. Reads metadata only."""
-    if fmt == "csv":
-        with ThreadPoolExecutor(8) as pool:
-            headers = list(pool.map(lambda f: first_line(spark, f), folders))
-        schemas = [None if h is None else _text_schema(h) for h in headers]
-    else:
-        try:
-            return [_reader(spark, fmt, root).option("mergeSchema", "true").load(list(folders))]
-        except Exception as error:
-            # The conflict comes out of a Spark job, and not always as the same class.
-            if "CANNOT_MERGE" not in str(error):
-                raise
-        with ThreadPoolExecutor(8) as pool:
-            schemas = list(
-                pool.map(lambda f: _without_sheet(_reader(spark, fmt, root).load(f).schema),
-                         folders)
-            )
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for folder, schema in zip(folders, schemas):
-        if schema is not None:
-            groups.setdefault(schema.json(), (schema, []))[1].append(folder)
-    return [
-        _reader(spark, fmt, root)
-        .schema(T.StructType([*schema.fields, T.StructField("sheet", T.StringType())]))
-        .load(group)
-        for schema, group in groups.values()
-    ]
+def _numbered(placed: DataFrame) -> DataFrame:
+    """Number the rows of each sheet in file order: rows in the files before, plus the place.
 
-
-def with_row_position(df: DataFrame, fmt: str) -> DataFrame:
-    """Number the rows of each sheet in file order, in parallel and without a sort.
-
-    A row's number is the number of rows in the splits before its own (files of a sheet go by
-    name), plus its place in its split. The result does not depend on how Spark splits the
-    files. ``df`` must be a file scan with the partition column ``sheet``.
+    ``placed`` must give the same places each time it is read.
     """
-    shared_folder(df.sparkSession)
-    columns = df.columns
-    if fmt == "parquet":
-        local = F.col("_metadata.row_index")
-        split = ["__file"]
-        placed = df.select(*df.columns, F.col("_metadata.file_path").alias("__file"),
-                           local.alias("__at"))
-        first = F.lit(0).cast("long")
-    else:
-        split = ["__file", "__block"]
-        placed = df.select(
-            *df.columns,
-            F.col("_metadata.file_path").alias("__file"),
-            F.col("_metadata.file_block_start").alias("__block"),
-            F.monotonically_increasing_id().alias("__at"),
-        )
-        first = F.min("__at")
-    splits = placed.groupBy("sheet", *split).agg(
-        F.count(F.lit(1)).alias("__rows"), first.alias("__first")
-    )
+    columns = [c for c in placed.columns if c not in (_FILE, _AT)]
+    files = placed.groupBy("sheet", _FILE).agg(
+        F.count(F.lit(1)).alias("__rows"), F.min(_AT).alias("__first"))
     earlier = (
-        Window.partitionBy("sheet").orderBy(*split)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = splits.select(
-        *split,
-        (F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"),
-    ).checkpoint()
-    if offsets.count() <= _MAX_BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
-    return placed.join(offsets, split, "inner").select(
-        *columns, (F.col("__at") + F.col("__shift")).alias(POSITION)
+        Window.partitionBy("sheet").orderBy(_FILE).rowsBetween(Window.unboundedPreceding, -1)
     )
+    shifts = files.select(_FILE, (
+        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) - F.col("__first")
+    ).alias("__shift"))
+    path = scratch_path(placed.sparkSession, "file-offsets")
+    shifts.write.parquet(path)
+    shifts = placed.sparkSession.read.schema(shifts.schema).parquet(path)
+    known = F.coalesce(F.col("__shift"), F.raise_error(F.concat(
+        F.lit("no row offset for "), F.col(_FILE))).cast("long"))
+    return lookup_join(placed, shifts, _FILE, "left").select(
+        *columns, (F.col(_AT) + known).alias(POSITION))
 
 
 def stringify(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -148,29 +152,34 @@ def scan_sheets(spark: SparkSession, root: str, fmt: str = "parquet",
                 position: str | None = None) -> DataFrame:
     """All sheets as one text frame with ``sheet`` and the row position.
 
-    Sheets with the same header share one scan; columns are aligned by name and absent ones
-    are null. Excluded sheets are not even opened. ``position`` names a source column that
-    already holds the row position.
+    Files of the same header share one scan; columns are aligned by name and absent ones are null.
+    Excluded sheets are not even opened; with nothing left, or only empty files, the frame is empty.
+    ``position`` names a source column that already holds the row position. Without it, CSV is
+    parsed once into Parquet in the shared folder, since only stored rows have a place that lasts.
     """
     sheets = list_sheets(spark, root, exclude)
     if only is not None:
         sheets = {s: f for s, f in sheets.items() if s in set(only)}
-    if not sheets:
-        raise FileNotFoundError(f"no sheet left to read in {root}")
-    with _text_partitions(spark):
-        scans = _scans(spark, fmt, root, list(sheets.values()))
-    frames = []
-    for scan in scans:
-        if position is None:
-            frames.append(stringify(with_row_position(scan, fmt), keep=(POSITION,)))
-        else:
-            named = scan.withColumnRenamed(position, POSITION)
-            frames.append(
-                stringify(named, keep=(POSITION,)).withColumn(
-                    POSITION, F.col(POSITION).cast("long")
-                )
-            )
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    with ThreadPoolExecutor(8) as pool:
+        files = [f for part in pool.map(lambda d: data_files(spark, d), sheets.values())
+                 for f in part]
+    scans: list[DataFrame] = []
+    if files:
+        with _text_partitions(spark):
+            scans = (_csv_scans(spark, root, files) if fmt == "csv"
+                     else _typed_scans(spark, fmt, root, files))
+    if not scans:
+        return spark.createDataFrame([], f"sheet string, {POSITION} long")
+    if position is not None:
+        named = [stringify(scan.withColumnRenamed(position, POSITION)) for scan in scans]
+        return _union(named).withColumn(POSITION, F.col(POSITION).cast("long"))
+    placed = _union([_with_place(scan, fmt) for scan in scans])
+    if fmt != "parquet":
+        path = scratch_path(spark, "parsed-sheets")
+        placed.write.partitionBy("sheet").parquet(path)
+        with _text_partitions(spark):
+            placed = spark.read.schema(placed.schema).parquet(path)
+    return _numbered(placed)
 
 
 def write_sheets(df: DataFrame, root: str, fmt: str = "parquet") -> None:

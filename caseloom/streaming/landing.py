@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from caseloom.plans.run import run
-from caseloom.session import shared_folder
 
 _FILES = "path string, modificationTime timestamp, length long, content binary, sheet string"
 
@@ -20,6 +19,7 @@ def follow_sheets(spark: SparkSession, source: str, warehouse: str, client: Data
                   **options) -> StreamingQuery:
     """Run once for the files present now, or with ``interval`` whenever files have arrived.
 
+    What has arrived is noted under the warehouse, unless ``checkpoint`` names another place.
     ``options`` go to the run. A file replaced under its old name is no new file for the
     stream; deliver changed sheets under new names, or run on a schedule.
     """
@@ -31,9 +31,8 @@ def follow_sheets(spark: SparkSession, source: str, warehouse: str, client: Data
         if not batch.isEmpty():
             run(spark, source, warehouse, client, **options)
 
-    name = warehouse.rstrip("/").rsplit("/", 1)[-1]
     writer = arrivals.writeStream.foreachBatch(process).option(
-        "checkpointLocation", checkpoint or f"{shared_folder(spark)}/follow-{name}"
+        "checkpointLocation", checkpoint or f"{warehouse.rstrip('/')}/_arrivals"
     )
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()

@@ -1,5 +1,6 @@
 """Identity, joins under skew, merges, constraints, quality, store and sheet scans."""
 
+import os
 import uuid
 
 import pytest
@@ -101,8 +102,8 @@ def test_sliced_join_equals_plain_join(spark, how):
         [("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), ("other", 5), (None, 6)], "k string, w int"
     )
     hot = hot_keys(left, "k", 100)
-    assert hot == {"hot": 1000, None: 286}
-    salted = sliced_join(left, right, "k", how, hot, 100)
+    assert rows(hot) == rows(spark.createDataFrame([("hot", 10), (None, 3)], "k string, n int"))
+    salted = sliced_join(left, right, "k", how, hot)
     assert rows(salted) == rows(left.join(right, "k", how))
 
 
@@ -112,7 +113,7 @@ def test_sliced_join_spreads_equal_rows(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = sliced_join(left, right, "k", "inner", hot_keys(left, "k", 100), 100)
+        joined = sliced_join(left, right, "k", "inner", hot_keys(left, "k", 100))
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -120,9 +121,22 @@ def test_sliced_join_spreads_equal_rows(spark):
     assert sum(sizes) == 4000 and len(sizes) > 2 and max(sizes) < 2500
 
 
+def test_every_hot_key_is_sliced(spark):
+    """However many there are."""
+    left = spark.range(0, 3600).select((F.col("id") % 1200).alias("k"), F.col("id").alias("v"))
+    right = spark.range(1200).select(F.col("id").alias("k"), (-F.col("id")).alias("w"))
+    hot = hot_keys(left, "k", 2)
+    assert hot.count() == 1200
+    assert rows(sliced_join(left, right, "k", "inner", hot)) == rows(left.join(right, "k"))
+
+
 def test_first_per_key(spark):
-    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 5, None)], "k string, o int, v string")
-    assert rows(first_per_key(df, "k", ["o"])) == [("a", 1, "y"), ("b", 5, None)]
+    df = spark.createDataFrame(
+        [("a", "s", 2, "x"), ("a", "s", 1, "y"), ("a", "t", 0, "z"), ("b", None, 5, None),
+         ("b", "a", -1, "w"), (None, "s", 7, "v")], "k string, s string, o long, v string")
+    first = first_per_key(df, "k", ["s", "o"])
+    assert rows(first) == [("a", "s", 1, "y"), ("b", None, 5, None), (None, "s", 7, "v")]
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
 
 
 def test_merges(spark):
@@ -177,6 +191,58 @@ def test_csv_rows_are_numbered_in_file_order(spark, root):
         assert sorted(r["row_idx"] for r in got if r["sheet"] == sheet) == list(range(400))
 
 
+def put(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w", encoding="utf-8", newline="") as file:
+        file.write(text)
+
+
+def test_csv_files_of_a_sheet_keep_their_own_columns(spark, root):
+    put(f"{root}/sheet=a", "1.csv", "NAME,NUMBER\nama,044\n")
+    put(f"{root}/sheet=a", "2.csv", "NUMBER,NAME,STATUS\n055,kofi,closed\n066,esi,open\n")
+    put(f"{root}/sheet=b", "1.csv", "\ufeffNAME,,NAME\nx,y,z\n")
+    scan = scan_sheets(spark, root, "csv")
+    assert rows(scan.select("sheet", "row_idx", "NAME", "NUMBER", "STATUS", "_c1", "NAME2")) == [
+        ("a", 0, "ama", "044", None, None, None), ("a", 1, "kofi", "055", "closed", None, None),
+        ("a", 2, "esi", "066", "open", None, None), ("b", 0, "x", None, None, "y", "z")]
+
+
+def test_line_breaks_inside_cells(spark, root):
+    values = [("s", i, f"line1\nline2, \"{i}\"\r\nline3") for i in range(50)]
+    write_sheets(spark.createDataFrame(values, "sheet string, i int, T string"), root, "csv")
+    got = scan_sheets(spark, root, "csv").collect()
+    assert {(r["sheet"], int(r["i"]), r["T"]) for r in got} == set(values)
+
+
+def test_rows_survive_another_split_size(spark, root):
+    df = spark.range(0, 3000).select(F.lit("s").alias("sheet"), F.col("id").alias("A"))
+    write_sheets(df.coalesce(2), root, "csv")
+    scan = scan_sheets(spark, root, "csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        got = scan.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r["row_idx"] for r in got) == list(range(3000))
+
+
+def test_nothing_left_is_an_empty_frame(spark, root):
+    put(f"{root}/sheet=a", "1.csv", "")
+    put(f"{root}/sheet=b", "1.csv", "A\n1\n")
+    assert scan_sheets(spark, root, "csv", exclude=["b"]).count() == 0
+    assert scan_sheets(spark, root, "csv", exclude=["a", "b"]).count() == 0
+    assert scan_sheets(spark, root, "csv").count() == 1
+
+
+def test_parquet_files_of_one_sheet_with_conflicting_types(spark, root):
+    for part in ([("a", 1)], "sheet string, TAT int"), ([("a", "n/a", "z")], "sheet string, TAT string, X string"), (
+            [("b", "q")], "sheet string, TAT string"):
+        spark.createDataFrame(*part).coalesce(1).write.mode("append").partitionBy("sheet").parquet(root)
+    scan = scan_sheets(spark, root)
+    assert rows(scan.select("sheet", "TAT", "X")) == [("a", "1", None), ("a", "n/a", "z"), ("b", "q", None)]
+    assert sorted((r["sheet"], r["row_idx"]) for r in scan.collect()) == [("a", 0), ("a", 1), ("b", 0)]
+
+
 def test_parquet_sheets_with_conflicting_types(spark, root):
     spark.createDataFrame([("a", 1)], "sheet string, TAT int").write.partitionBy("sheet").parquet(root)
     spark.createDataFrame([("b", "n/a", "z")], "sheet string, TAT string, X string").write.mode(
