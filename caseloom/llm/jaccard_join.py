@@ -46,6 +46,9 @@ from caseloom.llm.tables import stored
 
 #: Counters of hashed shingles: 4 MB, whatever the corpus. More keep the lists shorter on more data.
 COUNTERS = 1 << 20
+#: Bits of the filter that says which sets are to be fetched: 4 MB, whatever the corpus. With too few
+#: for their number more sets than needed are fetched, which changes no result.
+FILTER_BITS = 1 << 25
 _SLICES = 64
 #: Light sets are never larger: the number of subsets explodes.
 _LARGEST_LIGHT = 16
@@ -129,34 +132,52 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()),
              missing.cast(pa.int32()), missing.cast(pa.binary())], schema=schema)
-    slices = counters.astype("<u4").reshape(_SLICES, -1)
-    packed = [zlib.compress(s.tobytes(), 1) for s in slices]
     missing = pa.nulls(_SLICES)
     yield pa.RecordBatch.from_arrays(
         [missing.cast(pa.int64()), missing.cast(pa.int32()), missing.cast(pa.int64()),
-         pa.array(range(_SLICES), pa.int32()), pa.array(packed, pa.binary())], schema=schema)
+         *_sliced(np.minimum(counters, 2**32 - 1).astype("<u4"))], schema=schema)
 
 
-def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for k, data in zip(batch["slice"].to_pylist(), batch["counts"]):
-            counts = np.frombuffer(zlib.decompress(data.as_py()), "<u4").astype(np.int64)
-            total[k] = total[k] + counts if k in total else counts
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int32()),
-         pa.array([zlib.compress(np.minimum(c, 2**32 - 1).astype("<u4").tobytes(), 1)
-                   for c in total.values()], pa.binary())], names=["slice", "counts"])
+def _merged(sliced: DataFrame, kind: str, size: int, merge) -> np.ndarray:
+    """One array of ``size`` from the slices of every task's, by an operation on two arrays."""
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, data in zip(batch["slice"].to_pylist(), batch["counts"]):
+                part = np.frombuffer(zlib.decompress(data.as_py()), kind)
+                total[k] = merge(total[k], part) if k in total else part
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()),
+             pa.array([zlib.compress(c.tobytes(), 1) for c in total.values()], pa.binary())],
+            names=["slice", "counts"])
+
+    rows = sliced.select("slice", "counts").repartition("slice").mapInArrow(
+        together, "slice int, counts binary").collect()
+    parts = {r["slice"]: np.frombuffer(zlib.decompress(r["counts"]), kind) for r in rows}
+    none = np.zeros(size // _SLICES, kind)
+    return np.concatenate([parts.get(k, none) for k in range(_SLICES)])
+
+
+def _add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.minimum(a.astype(np.int64) + b, 2**32 - 1).astype("<u4")
+
 
+def _sliced(array: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    packed = [zlib.compress(s.tobytes(), 1) for s in array.reshape(_SLICES, -1)]
+    return pa.array(range(_SLICES), pa.int32()), pa.array(packed, pa.binary())
 
-def _counters(described: DataFrame) -> np.ndarray:
-    """Fixed in size: one number for each of ``COUNTERS``."""
-    added = described.filter("slice is not null").select("slice", "counts").repartition("slice") \
-        .mapInArrow(_add_counts, "slice int, counts binary").collect()
-    out = np.zeros((_SLICES, COUNTERS // _SLICES), np.uint32)
-    for row in added:
-        out[row["slice"]] = np.frombuffer(zlib.decompress(row["counts"]), "<u4")
-    return out.ravel()
+
+def _filter_places(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return classes & (FILTER_BITS - 1), (classes >> 32) & (FILTER_BITS - 1)
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Filter of the classes in this task."""
+    bits = np.zeros(FILTER_BITS, bool)
+    for batch in batches:
+        for places in _filter_places(batch["sid"].to_numpy()):
+            bits[places] = True
+    yield pa.RecordBatch.from_arrays(list(_sliced(np.packbits(bits))), names=["slice", "counts"])
 
 
 # Entries ---------------------------------------------------------------------------------------
@@ -219,13 +240,15 @@ def _entries(batches: Iterator[pa.RecordBatch], counters: np.ndarray,
                  pa.array(sizes), pa.array(others)], names=["key", "sid", "n", "other"])
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The set of each class, once per task."""
-    seen: set[int] = set()
+def _members(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The set of each class that the filter lets through, once per task."""
+    bits, seen = np.unpackbits(wanted).astype(bool), set()
     for batch in batches:
         sets = {_class_of(found): found.view(np.int64)
                 for found in shingle_sets(batch["text"].to_pylist()) if len(found)}
-        new = [sid for sid in sets if sid not in seen]
+        classes = np.fromiter(sets, np.int64, len(sets))
+        first, second = _filter_places(classes)
+        new = [sid for sid in classes[bits[first] & bits[second]].tolist() if sid not in seen]
         seen.update(new)
         yield pa.RecordBatch.from_arrays(
             [pa.array(new, pa.int64()), pa.array([sets[sid] for sid in new], pa.list_(pa.int64()))],
@@ -248,8 +271,18 @@ def _shared_entries(entries: DataFrame) -> DataFrame:
                          & ((F.col("other") == 0) | F.col("linked"))).drop("shared", "linked")
 
 
-def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) whose sets share enough, as links (u, v)."""
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose sets share enough, as links (u, v). The sets are made again from the
+    texts, of the classes in pairs only: neither texts nor other sets are shuffled."""
+    spark = pairs.sparkSession
+    pairs = stored(pairs.select("a", "b"), "pairs")
+    classes = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid")))
+    wanted = spark.sparkContext.broadcast(_merged(
+        classes.mapInArrow(_mark, "slice int, counts binary"), "u1", FILTER_BITS // 8,
+        np.bitwise_or))
+    members = stored(texts.select("text").mapInArrow(
+        lambda batches: _members(batches, wanted.value), _MEMBER
+    ).join(classes.distinct(), "sid", "left_semi").dropDuplicates(["sid"]), "set-members")
     first = members.select(F.col("sid").alias("a"), F.col("shingles").alias("of_a"))
     second = members.select(F.col("sid").alias("b"), F.col("shingles").alias("of_b"))
     overlap = F.size(F.array_intersect("of_a", "of_b"))
@@ -265,7 +298,8 @@ def jaccard_components(docs: DataFrame, identifier: str = "doc_id",
     texts = docs.select(F.col(identifier).cast("long").alias("doc_id"), F.col(text).alias("text"))
     described = stored(texts.mapInArrow(_describe, _SET), "shingle-sets")
     rows = described.filter("slice is null").select("doc_id", "n", "sid")
-    shared_counters = spark.sparkContext.broadcast(_counters(described))
+    shared_counters = spark.sparkContext.broadcast(
+        _merged(described.filter("slice is not null"), "<u4", COUNTERS, _add))
     sizes = {r["n"]: r["sets"] for r in rows.filter(
         (F.col("n") > 0) & (F.col("n") <= 2 * _LARGEST_LIGHT)).groupBy("n").agg(
         F.count(F.lit(1)).alias("sets")).collect()}
@@ -278,21 +312,13 @@ def jaccard_components(docs: DataFrame, identifier: str = "doc_id",
         F.col("sid").alias("u"), F.col("last_sid").alias("v"))
     lists = shared.filter("other = 0").select("key", "sid", "n", "last_sid", "last_n")
 
-    # Sets of the classes that have a list in common with another: by one document of each.
-    classes = lists.select("sid").distinct()
-    holders = rows.groupBy("sid").agg(F.min("doc_id").alias("holder")).join(classes, "sid") \
-        .select("holder").distinct()
-    members = stored(
-        texts.join(holders, F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi")
-        .select("text").mapInArrow(_members, _MEMBER).dropDuplicates(["sid"]), "set-members")
-
     both_light = lambda a, b: (F.col(a) <= boundary) & (F.col(b) <= boundary)
     prefix = F.col("n_b") - F.ceil(F.col("n_b") * 0.75) + 1
     chained = lists.filter("last_sid is not null and 4 * last_n >= 3 * n") \
         .filter(~both_light("n", "last_n")).groupBy(
         F.col("last_sid").alias("a"), F.col("sid").alias("b"), F.col("n").alias("n_b")).agg(
         F.count(F.lit(1)).alias("lists")).filter(8 * F.col("lists") >= prefix)
-    links = stored(_verified(chained.select("a", "b"), members).unionByName(light), "chain-links")
+    links = stored(_verified(chained, texts).unionByName(light), "chain-links")
     roots = components(links)
 
     labelled = lists.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
@@ -307,7 +333,7 @@ def jaccard_components(docs: DataFrame, identifier: str = "doc_id",
         "root_a <> root_b and (n_a < n_b or n_a = n_b and a < b) and 4 * n_a >= 3 * n_b"
     ).filter(~both_light("n_a", "n_b")).groupBy("a", "b", "n_a", "n_b").agg(
         F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= least)
-    more = _verified(across.select("a", "b"), members)
+    more = _verified(across, texts)
     closing = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)
     final = components(closing)
 
