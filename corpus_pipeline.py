@@ -31,7 +31,7 @@ from caseloom.llm.queries import PACK_TOKENS, with_pack_columns
 from caseloom.llm.tables import small_batches, stored, table
 
 #: Shorter texts are not rejected by their cost, which means little for a few letters.
-JUDGED_CHARS = 16
+JUDGED_CHARS = 200
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
