@@ -5,11 +5,12 @@ Each returns rows ``(check, table, metric, threshold, passed)``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.functions.text import strip
 from caseloom.operators.constraints import orphan_counts
 
 
@@ -75,3 +76,22 @@ def ambiguous_phones(client: DataFrame) -> DataFrame:
         shared.agg(F.count(F.lit(1)).alias("n")),
         [_finding("shared phoneNumber", "client", F.col("n"), 0)],
     )
+
+
+def shared_phones(client: DataFrame) -> DataFrame:
+    """Numbers, primary or secondary, that several clients have: each is a tie in the lookup."""
+    numbers = client.select("profileId", F.explode(F.array_distinct(
+        F.array("phoneNumber", "phoneNumber2"))).alias("number")).filter("number is not null")
+    shared = numbers.distinct().groupBy("number").agg(F.count("profileId").alias("n")) \
+        .filter(F.col("n") > 1)
+    return _findings(shared.agg(F.count(F.lit(1)).alias("n")),
+                     [_finding("shared phone number", "client", F.col("n"), 0)])
+
+
+def lost_values(df: DataFrame, table: str, column: str,
+                coerced: Callable[[Column], Column]) -> DataFrame:
+    """Values that are not blank and that coercion cannot read."""
+    value = F.col(column)
+    lost = (F.length(strip(value)) > 0) & coerced(value).isNull()
+    return _findings(df.agg(F.count_if(lost).alias("n")),
+                     [_finding(f"values lost in {column}", table, F.col("n"), 0)])

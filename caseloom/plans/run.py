@@ -9,7 +9,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.functions.coerce import to_int
 from caseloom.operators import quality
+from caseloom.operators.constraints import require_valid
 from caseloom.operators.fingerprint import changed_sheets, last_known_hash, sheet_fingerprints
 from caseloom.plans.clean import to_silver
 from caseloom.plans.gold import SUMMARY, load_gold, refresh_summary
@@ -77,6 +79,8 @@ def run(spark: SparkSession, source: str, warehouse: str, client: DataFrame,
     names = sorted(row["sheet_name"] for row in changed)
     if not names:
         return RunResult([])
+    entries = spark.createDataFrame(changed, schema=INGESTION_LOG.schema)
+    require_valid([(entries, INGESTION_LOG)], {})
     write_sheets(sheets.filter(F.col("sheet").isin(names)), bronze)
 
     landed = read_bronze(spark, bronze)
@@ -88,7 +92,9 @@ def run(spark: SparkSession, source: str, warehouse: str, client: DataFrame,
     store.replace({"numbers": resolve_numbers(customers_by_number(silver), client)})
     numbers = store.read("numbers")
     known = store.read_appended(IDENTITY_MAP.name, IDENTITY_MAP.schema)
-    store.append(IDENTITY_MAP.name, extend_identity_map(numbers, known, run_millis))
+    added = extend_identity_map(numbers, known, run_millis)
+    require_valid([(known.unionByName(added), IDENTITY_MAP)], {})
+    store.append(IDENTITY_MAP.name, added)
     crosswalk = store.read_appended(IDENTITY_MAP.name, IDENTITY_MAP.schema)
     store.replace({
         "staging_customers": resolved_customers(numbers, crosswalk),
@@ -97,7 +103,9 @@ def run(spark: SparkSession, source: str, warehouse: str, client: DataFrame,
     customers, complaints = store.read("staging_customers"), store.read("staging_complaints")
     findings += [quality.duplicate_keys(customers, "staging_customers", "customerId"),
                  quality.orphans(complaints, "staging_complaints", "customerId", customers),
-                 quality.ambiguous_phones(client)]
+                 quality.ambiguous_phones(client), quality.shared_phones(client)]
+    if "TAT" in landed.columns:
+        findings.append(quality.lost_values(landed, "bronze", "TAT", to_int))
 
     upserted, loaded = load_gold(store, customers, complaints)
     gold_customers, gold_complaints = store.read("customers"), store.read("complaints")
@@ -110,10 +118,7 @@ def run(spark: SparkSession, source: str, warehouse: str, client: DataFrame,
         report = report.unionByName(finding)
     result = RunResult(names, silver_rows, upserted, loaded, report.collect())
 
-    store.append(
-        INGESTION_LOG.name,
-        spark.createDataFrame(changed, schema=INGESTION_LOG.schema).coalesce(1),
-    )
+    store.append(INGESTION_LOG.name, entries.coalesce(1))
     return result
 
 

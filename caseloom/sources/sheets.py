@@ -28,7 +28,7 @@ POSITION = "row_idx"
 # each file is read by one task.
 _CSV_OPTIONS = {"header": "true", "nullValue": "\\N", "emptyValue": "", "escape": '"',
                 "multiLine": "true"}
-_CSV_WRITE_OPTIONS = {
+CSV_WRITE_OPTIONS = {
     "header": "true", "nullValue": "", "emptyValue": '""', "escape": '"',
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
@@ -92,17 +92,17 @@ def _csv_scans(spark: SparkSession, root: str, files: Sequence[str]) -> list[Dat
 
 def _typed_scans(spark: SparkSession, fmt: str, root: str,
                  files: Sequence[str]) -> list[DataFrame]:
-    """Scans of files whose schemas merge; where some do not, each half is tried on its own."""
+    """One scan if all schemas merge, else one for the files of each schema."""
     try:
         return [_reader(spark, fmt, root).option("mergeSchema", "true").load(list(files))]
-    except (PySparkException, Py4JJavaError):
-        if len(files) == 1:
-            raise
-    half = len(files) // 2
-    with ThreadPoolExecutor(2) as pool:
-        return [scan for part in pool.map(
-            lambda f: _typed_scans(spark, fmt, root, f), (files[:half], files[half:])
-        ) for scan in part]
+    except (PySparkException, Py4JJavaError):  # the conflict comes out of a job in either class
+        with ThreadPoolExecutor(8) as pool:
+            schemas = list(pool.map(lambda f: _reader(spark, fmt, root).load(f).schema, files))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for file, schema in zip(files, schemas):
+        groups.setdefault(schema.json(), (schema, []))[1].append(file)
+    return [_reader(spark, fmt, root).schema(schema).load(group)
+            for schema, group in groups.values()]
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -190,7 +190,7 @@ def write_sheets(df: DataFrame, root: str, fmt: str = "parquet") -> None:
     """
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
-        writer = writer.options(**_CSV_WRITE_OPTIONS)
+        writer = writer.options(**CSV_WRITE_OPTIONS)
     writer.partitionBy("sheet").format(fmt).save(root)
 
 

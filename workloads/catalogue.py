@@ -17,6 +17,7 @@ from caseloom.operators import quality
 from caseloom.operators.canonical import canonicalise
 from caseloom.operators.constraints import (
     Column, Table, column_violations, foreign_key_violations, unique_violations,
+    violations,
 )
 from caseloom.operators.dedupe import drop_unidentified
 from caseloom.operators.fingerprint import changed_sheets, last_known_hash, sheet_fingerprints
@@ -38,11 +39,14 @@ from caseloom.plans.resolve import (
 )
 from caseloom.plans.run import fingerprint_log, run
 from caseloom.plans.schema import (
-    ALWAYS_FILLED, CLIENT, COMPLAINTS, CUSTOMERS, IDENTITY_MAP, LINEAGE, REGION_THRESHOLD,
+    ALWAYS_FILLED, CLIENT, COMPLAINTS, CUSTOMERS, IDENTITY_MAP, INGESTION_LOG,
+    LINEAGE, REGION_THRESHOLD,
     REGIONS,
 )
 from caseloom.session import scratch_path, tune
-from caseloom.sources.sheets import read_bronze, scan_sheets, stringify, write_sheets
+from caseloom.sources.sheets import (
+    CSV_WRITE_OPTIONS, read_bronze, scan_sheets, stringify, write_sheets,
+)
 from caseloom.sources.store import TableStore
 from workloads.fixture import client, raw_complaints, table
 from workloads.parameters import (
@@ -127,6 +131,71 @@ def scan_csv_sheets(spark, sf_dir):
     return scan_sheets(spark, root, "csv", position="row_idx")
 
 
+@query
+def scan_numbered_csv(spark, sf_dir):
+    """Sheets without a position column, in several files each: rows count in file order."""
+    root = scratch_path(spark, SOURCE_FILE)
+    ordered = bronze(spark, sf_dir).repartitionByRange("sheet", "row_idx") \
+        .sortWithinPartitions("sheet", "row_idx")
+    write_sheets(ordered.drop("row_idx"), root, "csv")
+    return scan_sheets(spark, root, "csv")
+
+
+def _two_kinds(even: DataFrame, odd: DataFrame, root: str, fmt: str) -> None:
+    """Both into the same sheets, as files of their own."""
+    write_sheets(even, root, fmt)
+    options = CSV_WRITE_OPTIONS if fmt == "csv" else {}
+    odd.write.mode("append").options(**options).partitionBy("sheet").format(fmt).save(root)
+
+
+@query
+def scan_mixed_headers(spark, sf_dir):
+    """Files of one sheet with other columns in another order."""
+    root = scratch_path(spark, SOURCE_FILE)
+    rows = bronze(spark, sf_dir)
+    odd = rows.filter("row_idx % 2 <> 0")
+    _two_kinds(rows.filter("row_idx % 2 = 0"),
+               odd.select(*[c for c in reversed(odd.columns) if c != "DOB"]), root, "csv")
+    return scan_sheets(spark, root, "csv", position="row_idx")
+
+
+@query
+def scan_mixed_types(spark, sf_dir):
+    """Files of one sheet with a number in one and a text and one more column in the other."""
+    root = scratch_path(spark, SOURCE_FILE)
+    rows = bronze(spark, sf_dir)
+    even = rows.filter("row_idx % 2 = 0").withColumn(
+        "TAT", F.when(F.col("TAT").rlike("^-?[0-9]+$"), F.col("TAT").try_cast("int")))
+    _two_kinds(even.drop("UPDATES"), rows.filter("row_idx % 2 <> 0"), root, "parquet")
+    return scan_sheets(spark, root, position="row_idx")
+
+
+@query
+def scan_multiline_cells(spark, sf_dir):
+    """Line breaks and quotes inside cells."""
+    root = scratch_path(spark, SOURCE_FILE)
+    told = F.concat(F.lit('said "'), "STATUS", F.lit('",\n\nthen\r\nrang'))
+    deliver(bronze(spark, sf_dir).withColumn("DETAILS OF COMPLAINT", told), root, "csv")
+    return scan_sheets(spark, root, "csv", position="row_idx")
+
+
+@query
+def empty_sheets_skipped(spark, sf_dir):
+    """A sheet of an empty file gives no rows, and a source of nothing else is no change."""
+    root = scratch_path(spark, SOURCE_FILE)
+    nothing = spark.createDataFrame([], "value string")
+    deliver(bronze(spark, sf_dir), root, "csv")
+    empty = f"{scratch_path(spark, 'empty')}/{SOURCE_FILE}"
+    for folder in (root, empty):
+        nothing.write.text(f"{folder}/sheet=EMPTY")
+    sheets = scan_sheets(spark, root, "csv", position="row_idx")
+    left = run(spark, empty, scratch_path(spark, "warehouse"), client(spark, sf_dir), fmt="csv")
+    counted = sheets.groupBy("sheet").agg(F.count(F.lit(1)).alias("n"))
+    of_empty = scan_sheets(spark, root, "csv", only=["EMPTY"]).count()
+    return counted.select("sheet", "n", F.lit(of_empty).cast("long").alias("rows_of_empty"),
+                          F.lit(len(left.changed)).cast("long").alias("changed_in_empty"))
+
+
 @query
 def exclude_sheets(spark, sf_dir):
     root = scratch_path(spark, SOURCE_FILE)
@@ -622,6 +691,43 @@ def dq_ambiguous_phones(spark, sf_dir):
     return quality.ambiguous_phones(people).unionByName(quality.ambiguous_phones(shared))
 
 
+@query
+def dq_shared_phones(spark, sf_dir):
+    return quality.shared_phones(client(spark, sf_dir))
+
+
+@query
+def dq_lost_turnaround(spark, sf_dir):
+    return quality.lost_values(bronze(spark, sf_dir), "bronze", "TAT", to_int)
+
+
+@query
+def ck_crosswalk(spark, sf_dir):
+    """The crosswalk of a first run, with one identifier for all."""
+    silver = stored_silver(spark, sf_dir, new_store(spark, "silver"))
+    numbers = resolve_numbers(customers_by_number(silver), client(spark, sf_dir))
+    return violations(crosswalk_of(numbers).withColumn("customer_id", F.lit("same")),
+                      IDENTITY_MAP, {})
+
+
+@query
+def ck_log(spark, sf_dir):
+    """Log rows that lack their hash and come from a file with too long a name."""
+    rows = fingerprint_log(bronze(spark, sf_dir), "x" * 256, "bronze", RUN_MILLIS)
+    return violations(rows.withColumn("content_hash", F.lit(None).cast("string")),
+                      INGESTION_LOG, {})
+
+
+@query
+def gold_ids(spark, sf_dir):
+    """Every complaint of a load has an identifier of its own."""
+    store = new_store(spark, "gold")
+    load_gold(store, *stage(spark, stored_silver(spark, sf_dir, store), sf_dir, store))
+    return store.read("complaints").agg(
+        F.count(F.lit(1)).alias("n"), F.count("id").alias("filled"),
+        F.count_distinct("id").alias("distinct_ids"))
+
+
 @query
 def ck_not_null(spark, sf_dir):
     silver = stored_silver(spark, sf_dir, new_store(spark, "silver"))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from caseloom.functions.text import lower_camel
-from caseloom.plans.schema import COMPLAINT_COLUMNS, COMPLAINTS, CUSTOMER_COLUMNS, CUSTOMERS
 from workloads.oracle import (
-    BRONZE, CAMEL, CLEANING, CLIENT, LOOKUP, MEANINGFUL, CANONICAL, DISTINCT, RAW, RAW_COLUMNS,
+    BRONZE, CAMEL, CLEANING, CLIENT, COMPLAINT_COLUMNS, COMPLAINT_TABLE, CUSTOMER_COLUMNS,
+    CUSTOMER_TABLE, LOOKUP, MEANINGFUL, CANONICAL, DISTINCT, RAW, RAW_COLUMNS,
     RECALCULATED, REGION, REPORTS, RESOLVED, STANDARD, SWAPPED, TWO_RUN_CROSSWALK, EARLIER_KEYS,
-    _fingerprints, _finding, _id, _int, _long, _name, _percent, _phone, _q, _resolved, _strip,
+    _date, _fingerprints, _finding, _id, _int, _long, _name, _percent, _phone, _q, _resolved, _strip,
     _title, _with, _best_region,
 )
 from workloads.parameters import (
@@ -22,12 +21,8 @@ _PROFILED = f"""(select silver.* exclude (number2), lookup."profileId", lookup.n
 _EARLIER = f"sheet < '{SPLIT_SHEET}'"
 
 
-def _date(x: str) -> str:
-    return f"try_cast({_strip(x)} as date)"
-
-
 def _first_customers(condition: str) -> str:
-    return f"""(select {_q(CUSTOMERS.column_names)} from identified where {condition}
+    return f"""(select {_q(CUSTOMER_TABLE)} from identified where {condition}
       qualify row_number() over (partition by "customerId" order by sheet, row_idx) = 1)"""
 
 
@@ -43,6 +38,19 @@ complaints as (select cast(o_custkey as varchar) as "customerId",
 CHECKS: dict[str, str] = {
     # Sources and sinks
     "scan_csv_sheets": _with(_BRONZE, "select * from bronze"),
+    "scan_numbered_csv": _with(_BRONZE, """select * replace (
+        row_number() over (partition by sheet order by row_idx) - 1 as row_idx) from bronze"""),
+    "scan_mixed_headers": _with(_BRONZE, """select * replace (
+        case when row_idx % 2 = 0 then "DOB" end as "DOB") from bronze"""),
+    "scan_mixed_types": _with(_BRONZE, """select * replace (
+        case when row_idx % 2 = 0 then (case when regexp_full_match("TAT", '-?[0-9]+') then "TAT" end) else "TAT" end
+          as "TAT",
+        case when row_idx % 2 <> 0 then "UPDATES" end as "UPDATES") from bronze"""),
+    "scan_multiline_cells": _with(_BRONZE, """select * replace (
+        'said "' || "STATUS" || '",' || chr(10) || chr(10) || 'then' || chr(13) || chr(10) || 'rang'
+          as "DETAILS OF COMPLAINT") from bronze"""),
+    "empty_sheets_skipped": _with(_BRONZE, """select sheet, count(*) as n,
+        0::bigint as rows_of_empty, 0::bigint as changed_in_empty from bronze group by sheet"""),
     "exclude_sheets": _with(_BRONZE, f"select * from bronze where sheet <> '{EXCLUDED_SHEET}'"),
     "stringify_columns": _with(_BRONZE, "select * from bronze"),
     "land_bronze": _with(_BRONZE, f"""select * replace (
@@ -56,7 +64,7 @@ CHECKS: dict[str, str] = {
         select * from later_customers union all select * from earlier_customers
         where "customerId" not in (select "customerId" from later_customers)"""),
     "replace_complaints": _with(RESOLVED, f"""
-        select {_q(COMPLAINTS.column_names)} from identified where not {_EARLIER}"""),
+        select {_q(COMPLAINT_TABLE)} from identified where not {_EARLIER}"""),
     "gold_load_counts": _with([*RESOLVED, _EARLIER_CUSTOMERS], f"""
         select (select count(*) from later_customers) as customers,
         (select count(*) from identified where not {_EARLIER}) as complaints"""),
@@ -195,6 +203,30 @@ CHECKS: dict[str, str] = {
         union all {_long("loose", "unique", {
             "region": "count(*) - count(distinct region)",
             "region, gender": "count(*) - count(distinct (region, gender))"}, "client")}"""),
+    "dq_shared_phones": _with([CLIENT], _finding("shared phone number", "client", "count(*)", 0,
+        """from (select n from (select "profileId" as p, "phoneNumber" as n from client
+          union select "profileId", "phoneNumber2" from client) where n is not null
+          group by n having count(distinct p) > 1)""")),
+    "dq_lost_turnaround": _with(_BRONZE, _finding("values lost in TAT", "bronze",
+        f"""count(*) filter (length({_strip('"TAT"')}) > 0 and ({_int('"TAT"')}) is null)""", 0,
+        "from bronze")),
+    "ck_crosswalk": _with(RESOLVED, " union all ".join([
+        _long("customer_identity_map", "not null", {c: "0" for c in (
+            "resolution_key", "customer_id", "first_seen")}, "(select 1)"),
+        _long("customer_identity_map", "length", {c: "0" for c in (
+            "resolution_key", "customer_id")}, "(select 1)"),
+        _long("customer_identity_map", "unique", {
+            "resolution_key": "0 * count(*)", "customer_id": 'count(distinct "customerId") - 1'},
+            "complaints")])),
+    "ck_log": _with(_BRONZE, " union all ".join([
+        _long("ingestion_log", "not null", {
+            "sheet_name": "0 * count(*)", "source_file": "0 * count(*)", "content_hash": "count(distinct sheet)",
+            "row_count": "0 * count(*)", "bronze_path": "0 * count(*)", "processed_at": "0 * count(*)"}, "bronze"),
+        _long("ingestion_log", "length", {
+            "sheet_name": "0 * count(*)", "source_file": "count(distinct sheet)", "content_hash": "0 * count(*)",
+            "bronze_path": "0 * count(*)"}, "bronze")])),
+    "gold_ids": _with(RESOLVED, """select count(*) as n, count(*) as filled, count(*) as distinct_ids
+        from complaints"""),
     "ck_foreign_key": _with([*RESOLVED, _EARLIER_CUSTOMERS], _long(
         "complaints", "foreign key", {"customerId": """count(*) filter ("customerId" not in
         (select "customerId" from earlier_customers))"""}, "complaints")),

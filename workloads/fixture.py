@@ -34,21 +34,25 @@ COLUMNS = {
         else 'phone call' end""",
     "NATURE OF COMPLAINT": "lower(o_orderpriority)",
     "SUBJECT": "upper(o_orderpriority)",
-    "DETAILS OF COMPLAINT": "'customer reported an issue.'",
-    "COMMENT": "case when o_orderkey%10<3 then '' else 'followed up' end",
-    "UPDATES": "case when o_orderkey%2=0 then '' else 'escalated' end",
+    "DETAILS OF COMPLAINT": "'charged twice, wants the second one back.'",
+    "COMMENT": "case when o_orderkey%10<3 then '' else 'called back' end",
+    "UPDATES": "case when o_orderkey%2=0 then '' else 'sent on' end",
     "STATUS": """case o_orderstatus when 'F' then 'RESOLVED' when 'O' then ' closed'
         else 'pending company' end""",
     "TAT": """case when o_orderkey%45=7 then '-3' when o_orderkey%45=8 then '-1'
         when o_orderkey%45=9 then null when o_orderkey%45=10 then 'n/a'
+        when o_orderkey%45=11 then '3.0' when o_orderkey%45=12 then '1.5'
         else cast(o_orderkey%4 as varchar(4)) end""",
     "RESOLUTION DATE": """case when o_orderstatus='P' and o_orderkey%2=0 then null
         when o_orderkey%45=7 then cast(o_orderdate as date)
         else cast(o_orderdate as date)+cast(o_orderkey%4 as int) end""",
-    "REASON FOR REVERSAL REQUEST": "case when o_orderkey%10=0 then 'duplicate transaction' end",
+    "REASON FOR REVERSAL REQUEST": "case when o_orderkey%10=0 then 'paid two times' end",
     "ASSIGN": "'rep ' || cast(o_orderkey%5 as varchar(4))",
     "NAME OF CC REP": "'rep ' || cast(o_orderkey%3 as varchar(4))",
-    "DOB": """case o_orderkey%9 when 0 then 'N/A' when 1 then null when 2 then '-'
+    "DOB": """case o_orderkey%18 when 0 then 'N/A' when 9 then 'N/A' when 1 then null
+        when 2 then '-' when 3 then '3/7/1988' when 4 then '5-Jan-1990' when 5 then '8 Feb 1991'
+        when 6 then '7 January 1992' when 7 then 'January 9, 1993' when 8 then '1985-03-10 junk'
+        when 10 then '1985-03-10Tzzz'
         else cast(date '1960-01-01' + cast((o_custkey*37)%16000 as int) as varchar(10)) end""",
 }
 DIGITS = "cast(200000000+(o_custkey*7919)%400000000 as varchar(9))"
