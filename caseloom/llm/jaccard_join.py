@@ -10,12 +10,16 @@ common, so a bucket of one subset needs no comparison: its members are linked in
 
 Heavy sets: the rarest n - ceil(3 n / 4) + 1 shingles of a set of n go to inverted lists; linked
 sets share at least one of them. Rarity is read from counters of hashed shingles, counted over the
-whole corpus; the order decides how long the lists are, not what is found. The lists are scanned
-twice. The first scan compares each entry with the one before it in order of size, which joins
-copies of one text into components at a cost linear in the lists. The second takes from each list
-all pairs of entries of different components, counts how many lists a pair shares, drops pairs
-whose count cannot reach c(a, b), and compares the sets of the rest. Pairs inside a component need
-no comparison, as components are what is asked for.
+whole corpus; the order decides how long the lists are, not what is found. An entry also has its place in
+that order of its own set: of linked sets, the first shingle in common leaves at least c(a, b)
+shingles from its place on in either set. Pairs of entries whose places rule that out are dropped.
+The lists are scanned twice, in order of the places, so that a list begins with the sets that have
+the fewest rare shingles, such as the source of many edited copies. The first scan lets each entry
+meet the first entry and the one before it; of the sets a set has met in either way, the one met in
+most lists is compared, so the cost is linear in the sets. The second takes from each list the pairs
+of entries of different components, each of which has an entry outside the component of the
+list's first entry, and compares their sets. Pairs inside a component need no comparison, as
+components are what is asked for.
 
 Light sets that a heavy one can be similar to take part in the lists too. The boundary is the size
 at which all enumerated subsets and all list entries together cost least.
@@ -35,7 +39,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -57,7 +61,7 @@ _ENTRY_COST = 8
 #: Words that are hashed together.
 _TOGETHER = 200_000
 _SET = "doc_id long, n int, sid long, slice int, counts binary"
-_ENTRY = "key long, sid long, n int, other int"
+_ENTRY = "key long, sid long, n int, other int, place int"
 _MEMBER = "sid long, shingles array<bigint>"
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                          0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -213,7 +217,7 @@ def _entries(batches: Iterator[pa.RecordBatch], counters: np.ndarray,
     listed = -(-3 * (boundary + 1) // 4)
     seen: set[int] = set()
     for batch in batches:
-        keys, classes, sizes, others, rows = [], [], [], [], []
+        keys, places, rows = [], [], []
         for found in shingle_sets(batch["text"].to_pylist()):
             n, sid = len(found), _class_of(found)
             if not n or sid in seen:
@@ -226,10 +230,12 @@ def _entries(batches: Iterator[pa.RecordBatch], counters: np.ndarray,
                 # Ties go by the hash: the set is sorted and the sort is stable.
                 prefix = found[np.argsort(rarity, kind="stable")[:prefix_length(n)]]
                 keys.append(prefix)
+                places.append(np.arange(len(prefix), dtype=np.int32))
                 rows.append((sid, n, 0, len(prefix)))
             if n <= boundary:
                 subsets = list(_subset_keys(found))
                 keys.append(np.array([k for k, _ in subsets], np.uint64))
+                places.append(np.zeros(len(subsets), np.int32))
                 rows += [(sid, n, b, 1) for _, b in subsets]
         if keys:
             repeat = [r[3] for r in rows]
@@ -237,7 +243,8 @@ def _entries(batches: Iterator[pa.RecordBatch], counters: np.ndarray,
                                       for k, t in ((0, np.int64), (1, np.int32), (2, np.int32)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(keys).view(np.int64)), pa.array(classes),
-                 pa.array(sizes), pa.array(others)], names=["key", "sid", "n", "other"])
+                 pa.array(sizes), pa.array(others), pa.array(np.concatenate(places))],
+                names=["key", "sid", "n", "other", "place"])
 
 
 def _members(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -258,11 +265,12 @@ def _members(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[
 # Links -----------------------------------------------------------------------------------------
 
 def _shared_entries(entries: DataFrame) -> DataFrame:
-    """Entries of keys that several classes have, each once, with the entry before it."""
+    """Entries of keys that several classes have, each once, with the entry before it and the first."""
     whole = W.partitionBy("key")
-    ordered = whole.orderBy("n", "sid")
+    ordered = whole.orderBy("place", "sid")
     marked = entries.select(
-        "*", F.lag("sid").over(ordered).alias("last_sid"), F.lag("n").over(ordered).alias("last_n"),
+        "*", *[F.lag(c).over(ordered).alias(f"last_{c}") for c in ("sid", "n", "place")],
+        *[F.first(c).over(ordered).alias(f"first_{c}") for c in ("sid", "n", "place")],
         (F.min("sid").over(whole) != F.max("sid").over(whole)).alias("shared"),
         ((F.col("other") == F.col("n")) | (F.min("n").over(whole) != F.max("n").over(whole)))
         .alias("linked"),
@@ -271,6 +279,47 @@ def _shared_entries(entries: DataFrame) -> DataFrame:
                          & ((F.col("other") == 0) | F.col("linked"))).drop("shared", "linked")
 
 
+def _may_link(n: str, place: str, other_n: str, other_place: str, boundary: int) -> Column:
+    """Whether sets of these sizes can be linked if what is at these places is the first shingle
+    they share. Light sets have met by their subsets."""
+    least = F.expr(f"(3 * ({n} + {other_n}) + 6) div 7")
+    both_light = (F.col(n) <= boundary) & (F.col(other_n) <= boundary)
+    return ((F.col(n) - F.col(place) >= least) & (F.col(other_n) - F.col(other_place) >= least)
+            & ~both_light)
+
+
+def _met(lists: DataFrame, boundary: int) -> DataFrame:
+    """For each class the one, of the first entries of its lists, that it has met in most of them,
+    and likewise of the entries before it: pairs (a, b)."""
+    met = None
+    for which in ("first", "last"):
+        pairs = lists.filter((F.col("sid") != F.col(f"{which}_sid")) & _may_link(
+            "n", "place", f"{which}_n", f"{which}_place", boundary)).groupBy(
+            F.col("sid").alias("a"), F.col(f"{which}_sid").alias("b")).agg(
+            F.count(F.lit(1)).alias("lists"))
+        most = pairs.groupBy("a").agg(F.max(F.struct("lists", "b")).alias("most")).select(
+            "a", F.col("most.b").alias("b"))
+        met = most if met is None else met.unionByName(most)
+    return met.distinct()
+
+
+def _across(lists: DataFrame, roots: DataFrame, boundary: int) -> DataFrame:
+    """Pairs (a, b) of different components that a list holds and their places allow."""
+    member = roots.withColumnRenamed("node", "sid")
+    leader = roots.select(F.col("node").alias("first_sid"), F.col("root").alias("first_root"))
+    labelled = lists.join(member, "sid", "left").join(leader, "first_sid", "left").select(
+        "key", "sid", "n", "place", F.coalesce("root", "sid").alias("root"),
+        (F.coalesce("root", "sid") == F.coalesce("first_root", "first_sid")).alias("led"))
+    mixed = stored(labelled.select("*", F.bool_and("led").over(W.partitionBy("key")).alias("whole"))
+                   .filter("not whole").drop("whole"), "mixed-lists")
+    a, b = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}")
+                                  for c in ("sid", "n", "place", "root", "led")]) for side in "ab")
+    return a.filter("not led_a").join(b, "key").filter(
+        "root_a <> root_b and (led_b or sid_a < sid_b)"
+    ).filter(_may_link("n_a", "place_a", "n_b", "place_b", boundary)).select(
+        F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sets share enough, as links (u, v). The sets are made again from the
     texts, of the classes in pairs only: neither texts nor other sets are shuffled."""
@@ -310,30 +359,11 @@ def jaccard_components(docs: DataFrame, identifier: str = "doc_id",
     shared = stored(_shared_entries(entries), "shared-entries")
     light = shared.filter("other > 0 and last_sid is not null").select(
         F.col("sid").alias("u"), F.col("last_sid").alias("v"))
-    lists = shared.filter("other = 0").select("key", "sid", "n", "last_sid", "last_n")
-
-    both_light = lambda a, b: (F.col(a) <= boundary) & (F.col(b) <= boundary)
-    prefix = F.col("n_b") - F.ceil(F.col("n_b") * 0.75) + 1
-    chained = lists.filter("last_sid is not null and 4 * last_n >= 3 * n") \
-        .filter(~both_light("n", "last_n")).groupBy(
-        F.col("last_sid").alias("a"), F.col("sid").alias("b"), F.col("n").alias("n_b")).agg(
-        F.count(F.lit(1)).alias("lists")).filter(8 * F.col("lists") >= prefix)
-    links = stored(_verified(chained, texts).unionByName(light), "chain-links")
-    roots = components(links)
+    lists = shared.filter("other = 0").drop("other")
 
-    labelled = lists.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "key", "sid", "n", F.coalesce("root", "sid").alias("root"))
-    mixed = stored(labelled.select("*", (F.min("root").over(W.partitionBy("key"))
-                                         != F.max("root").over(W.partitionBy("key"))).alias("mixed"))
-                   .filter("mixed").drop("mixed"), "mixed-lists")
-    a = mixed.select("key", F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    b = mixed.select("key", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    least = F.ceil((F.col("n_a") + F.col("n_b")) * 3 / F.lit(7)) - F.ceil(F.col("n_b") * 0.75) + 1
-    across = a.join(b, "key").filter(
-        "root_a <> root_b and (n_a < n_b or n_a = n_b and a < b) and 4 * n_a >= 3 * n_b"
-    ).filter(~both_light("n_a", "n_b")).groupBy("a", "b", "n_a", "n_b").agg(
-        F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= least)
-    more = _verified(across, texts)
+    links = stored(_verified(_met(lists, boundary), texts).unionByName(light), "first-links")
+    roots = components(links)
+    more = _verified(_across(lists, roots, boundary), texts)
     closing = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)
     final = components(closing)
 
