@@ -134,3 +134,17 @@ def test_components_of_long_chains_and_stars(spark):
     assert all(got[k] == 0 for k in range(1, 301))
     assert all(got[1000 + k] == 1000 for k in range(1, 100)) and got[2000] == 1000
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_edited_copies_of_one_text(spark):
+    draw = random.Random(21)
+    source = [f"s{k}" for k in range(150)]
+    rows = []
+    for k in range(150):
+        w = list(source)
+        for at in draw.sample(range(len(w)), draw.randrange(0, 7)):
+            w[at] = f"e{k}-{at}"
+        rows.append((k, " ".join(w)))
+    want = brute(rows)
+    assert 1 < len({low for _, _, low in want}) < 100  # a large component and copies too far from it
+    assert found(spark, rows) == want
