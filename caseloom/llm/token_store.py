@@ -11,8 +11,8 @@ Each round replaces all pairs that are within a factor of the most frequent one.
 counted in a table of hashed pairs first, then exactly; overlapping places go to the left one.
 
 Encoding splits plain Latin text into the words that the vocabulary's own pattern finds and asks the
-library once per word; texts with other characters, or with the strings of special tokens, go to the
-library whole.
+library once per word; texts with other characters, with capitals whose small letter is another
+character (such as U+018F), or with the strings of special tokens, go to the library whole.
 
 Defined results: a null text is empty and has the end id only; a null identifier sorts first; rows
 of one identifier sort by text; repeated rows are documents of their own; an empty table makes no
@@ -147,6 +147,12 @@ def _latin(kind: str) -> str:
     return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
 
 
+def _plain() -> str:
+    """White space, ASCII and Latin letters, without those that lower to something beyond U+024F."""
+    codes = chain(range(0x9, 0xe), range(0x20, 0x7f), range(0xa1, 0x250))
+    return "".join(re.escape(chr(c)) for c in codes if max(chr(c).lower()) < "\u0250")
+
+
 class _Words(dict):
     """Word -> its number; unknown words get the next ones and are noted."""
 
@@ -177,7 +183,7 @@ class Encoder:
         letters, digits = _latin("L"), _latin("N")
         self.pattern = re.compile(
             rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^ \t-\r{letters}{digits}]+")
-        self.plain = re.compile(r"[\t-\r\x20-\x7e\xa1-įı-ɏ]*")
+        self.plain = re.compile(f"[{_plain()}]*")
         self._reset()
 
     @classmethod

@@ -37,6 +37,19 @@ def test_words_give_the_ids_of_whole_texts():
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_every_plain_character_gives_the_ids_of_whole_texts():
+    encoder = Encoder(VOCABULARY)
+    every = [chr(c) for c in range(0x2000) if encoder.plain.fullmatch(chr(c))]
+    every += [chr(c) for c in range(0x80, 0x250)]
+    texts = [t for c in every for t in (f"{c}li", f"THE m{c}n", f"3{c}", f"OM{c}{c} '{c}s {c}")]
+    texts += ["Əli", "ƏSAS QANUN", "ƆMAN", "ƐNAM", "THE ƏND"]
+    ids, counts = encoder.encode(texts)
+    want = [e.ids for e in encoder.library.encode_batch(texts, add_special_tokens=False)]
+    ends = np.cumsum(counts)
+    assert [t for t, w, n, e in zip(texts, want, counts.tolist(), ends.tolist())
+            if ids[e - n:e].tolist() != w] == []
+
+
 def stored_blocks(spark, rows, **options):
     df = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA)
     return write_tokens(df.repartition(5), VOCABULARY, **options)
