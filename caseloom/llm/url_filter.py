@@ -1,11 +1,12 @@
 """URL verdicts: longest rule, else boosted trees on lexical features.
 
-URLs that a rule decides are the labelled ones. From a bounded sample of them (``TRAIN_ROWS``)
-boosted trees learn which form blocked addresses have: lengths, depth, digits, entropy, parameters
-and, per host suffix, the share of blocked ones. They judge the URLs without a rule.
+URLs that a rule decides are the labelled ones. From them boosted trees learn which form blocked
+addresses have: lengths, depth, digits, entropy, parameters and, per host suffix, the share of
+blocked ones. The shares are counted over all labelled URLs; only the trees are fitted on a bounded
+sample (``TRAIN_ROWS``). They judge the URLs without a rule.
 
-The table of suffixes comes from the bounded sample and keeps those seen ``SUFFIX_ROWS`` times, so
-it has at most 2 * TRAIN_ROWS / SUFFIX_ROWS rows and can be broadcast.
+Suffixes with ``SUFFIX_ROWS`` labelled URLs have a share, so their table grows with the input: it is
+stored, and broadcast only if its measured size is small enough for the session.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no rule and
 is judged by its features (all 0 for null); repeated rows are judged alike; without labelled URLs
@@ -23,12 +24,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.tables import ascii_lower
+from caseloom.llm.tables import ascii_lower, stored
+from caseloom.operators.joins import lookup_join
 from caseloom.session import scratch_path
 
-#: Labelled URLs that training takes, as an expected number.
+#: Labelled URLs that the trees are fitted on, as an expected number.
 TRAIN_ROWS = 20_000
-#: Labelled URLs a host suffix must have in the sample to get a share of its own.
+#: Labelled URLs a host suffix must have to get a share of its own.
 SUFFIX_ROWS = 5
 _TREES = dict(maxIter=16, maxDepth=3, maxBins=32, stepSize=0.2, seed=7)
 
@@ -96,10 +98,24 @@ def _suffixes(host: Column) -> tuple[Column, Column]:
             F.regexp_extract(host, r"([^.]*\.[^.]*)$", 1))
 
 
-def _with_shares(rows: DataFrame, shares: DataFrame) -> DataFrame:
-    for suffix in ("tld", "site"):
-        one = shares.select(F.col("suffix").alias(suffix), F.col("share").alias(f"{suffix}_share"))
-        rows = rows.join(F.broadcast(one), suffix, "left").fillna(0.5, [f"{suffix}_share"])
+def suffix_shares(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored shares of blocked rows by last label (tld) and by last two labels (site) of the host,
+    over all rows of ``labelled`` (tld, site, label)."""
+    suffixes = F.explode(F.array_distinct(F.array("tld", "site"))).alias("suffix")
+    shares = stored(labelled.select(suffixes, "label").groupBy("suffix").agg(
+        ((F.sum("label") + 1) / (F.count(F.lit(1)) + 2)).alias("share"),
+        F.count(F.lit(1)).alias("n"),
+    ).filter(F.col("n") >= SUFFIX_ROWS).select("suffix", "share"), "url-shares")
+    dotted = F.instr("suffix", ".") > 0
+    return tuple(
+        stored(shares.filter(holds).select(F.col("suffix").alias(name),
+                                           F.col("share").alias(f"{name}_share")), f"url-{name}")
+        for name, holds in (("tld", ~dotted), ("site", dotted | (F.col("suffix") == ""))))
+
+
+def _with_shares(rows: DataFrame, shares: tuple[DataFrame, DataFrame]) -> DataFrame:
+    for suffix, one in zip(("tld", "site"), shares):
+        rows = lookup_join(rows, one, suffix).fillna(0.5, [f"{suffix}_share"])
     return rows
 
 
@@ -114,9 +130,10 @@ def judge_urls(pages: DataFrame, rules: list[Rule], identifier: str = "page_id",
     tld, site = _suffixes(F.col("host"))
     names = lexical_features(F.col("url"), F.col("host"), F.col("path"))
     described = found.select("page_id", "host", "path", "found", "url", tld.alias("tld"),
-                             site.alias("site"), *[c.alias(n) for n, c in names.items()])
+                             site.alias("site"))
 
-    labelled = found.filter("found is not null")
+    labelled = described.filter("found is not null").withColumn(
+        "label", (F.col("found.verdict") == "block").cast("double"))
     kinds = {r["verdict"]: r["n"] for r in labelled.groupBy(F.col("found.verdict")).agg(
         F.count(F.lit(1)).alias("n")).collect()}
     total = sum(kinds.values())
@@ -130,19 +147,12 @@ def judge_urls(pages: DataFrame, rules: list[Rule], identifier: str = "page_id",
     drawn = F.pmod(F.xxhash64(F.lit(11), "url", "page_id"), F.lit(1 << 30)) \
         < F.lit(int(min(1.0, train_rows / total) * (1 << 30)))
     path_of = scratch_path(spark, "url-sample")
-    described.filter("found is not null").filter(drawn).withColumn(
-        "label", (F.col("found.verdict") == "block").cast("double")
-    ).drop("found").repartition(1).write.parquet(path_of)
-    sample = spark.read.parquet(path_of)
-    shares = sample.select(F.explode(F.array_distinct(F.array("tld", "site"))).alias("suffix"),
-                           "label").groupBy("suffix").agg(
-        ((F.sum("label") + 1) / (F.count(F.lit(1)) + 2)).alias("share"),
-        F.count(F.lit(1)).alias("n"),
-    ).filter(F.col("n") >= SUFFIX_ROWS).select("suffix", "share")
+    labelled.filter(drawn).drop("found").repartition(1).write.parquet(path_of)
+    shares = suffix_shares(labelled)
     features = [*names, "tld_share", "site_share"]
     assembler = VectorAssembler(inputCols=features, outputCol="features")
-    prepare = lambda part: assembler.transform(_with_shares(part, shares))
-    training = prepare(sample).select("features", "label")
+    prepare = lambda part: assembler.transform(_with_shares(part, shares).withColumns(names))
+    training = stored(prepare(spark.read.parquet(path_of)).select("features", "label"), "url-train")
     model: GBTClassificationModel = GBTClassifier(**_TREES).fit(training)
     scored = model.transform(prepare(described)).withColumn(
         "score", vector_to_array("probability")[1])

@@ -1,7 +1,8 @@
 import re
 
 from caseloom.llm.queries import URL_RULES
-from caseloom.llm.url_filter import judge_urls
+from caseloom.llm.tables import settings
+from caseloom.llm.url_filter import SUFFIX_ROWS, Rule, judge_urls, suffix_shares
 
 SCHEMA = "page_id long, url string, host int, found string, label int"
 
@@ -51,6 +52,30 @@ def test_trees_learn_the_form_of_blocked_urls(spark):
     assert [r.verdict for r in judged(spark, urls)[-2:]] == ["allow", "block"]
 
 
+def test_shares_are_of_all_labelled_urls_and_join_without_broadcast(spark):
+    # Of 4,000 labelled URLs about 40 are drawn: none of the 200 sites reaches SUFFIX_ROWS in them.
+    bad = [f"http://s{i}.site{100 + i % 100 * 2}.com/es/{i}" for i in range(2000)]
+    good = [f"http://s{i}.site{101 + i % 100 * 2}.com/fr/{i}" for i in range(2000)]
+    open_ = [f"http://n{i}.site{k}.com/xx/{i}" for i in range(10) for k in (106, 107)]
+    rules = [Rule("com", "/es/", "block"), Rule("com", "/fr/", "allow")]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(bad + good + open_)],
+                               "page_id long, url string")
+    for limit in ("10m", "-1"):
+        with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": limit}):
+            judged_ = judge_urls(df, rules, train_rows=40).filter("rule is null").collect()
+        assert len(judged_) == 20
+        for r in judged_:
+            assert r.verdict == ("block" if r.host.endswith("site106.com") else "allow"), r
+
+
+def test_shares(spark):
+    rows = [("com", "a.com", 1.0)] * 5 + [("com", "b.com", 0.0)] * 4 + [("", "", 1.0)] * 6
+    tlds, sites = suffix_shares(spark.createDataFrame(rows, "tld string, site string, label double"))
+    assert SUFFIX_ROWS == 5
+    assert {tuple(r) for r in tlds.collect()} == {("com", 6 / 11), ("", 7 / 8)}
+    assert {tuple(r) for r in sites.collect()} == {("a.com", 6 / 7), ("", 7 / 8)}
+
+
 def test_no_labels_one_kind_and_empty(spark):
     assert [r.verdict for r in judged(spark, ["http://a.org/", None])] == ["allow", "allow"]
     assert [r.verdict for r in judged(spark, ["http://a.net/es/", "http://a.org/"])] == ["block"] * 2
