@@ -10,10 +10,12 @@ hash, of which each gives at most a sixteenth of ``TRAIN_CHARS``. The automata a
 bounds and the number of languages make them, whatever the corpus; more than ``MAX_LANGUAGES``
 labels are an error.
 
-Symbols are lower-cased letters; runs of other characters are one separator. Long texts are parsed
-whole, in stretches of ``STRETCH`` symbols: no phrase crosses the end of a stretch. The automaton
-becomes a table (state, symbol) -> (state, phrase ended), so that many stretches are stepped through
-at once.
+Symbols are lower-cased letters, every letter of the training texts one of its own; runs of other
+characters are one separator. Long texts are parsed whole, in stretches of ``STRETCH`` symbols: no
+phrase crosses the end of a stretch. The automaton becomes a table (state, symbol) -> (state, phrase
+ended), so that many stretches are stepped through at once. Where states times symbols are more than
+``DENSE`` cells, as with scripts of thousands of letters, only the moves that exist are kept, sorted,
+and are found by binary search: slower, with the same results.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; ties go to the
 language first by name; without training rows everything is ``und``; null labels and labelled rows
@@ -37,6 +39,8 @@ SAMPLE_ROWS = 64
 #: Symbols of training text per language.
 TRAIN_CHARS = 24_000
 MAX_LANGUAGES = 200
+#: Cells of the largest table that has a cell for every state and symbol.
+DENSE = 1 << 25
 #: Symbols that are parsed in one go.
 STRETCH = 2048
 #: Characters of several texts that are parsed together.
@@ -78,22 +82,37 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 @dataclass
 class LanguageModel:
     """``table[state + symbol]`` is ``2 * next state + phrase ended``; states are multiples of
-    the alphabet's size, those of each language from ``roots`` on."""
+    the alphabet's size, those of each language from ``roots`` on. With ``keys``, ``table`` has
+    the moves at these values of ``state + symbol`` only, and ``restarts`` (language, symbol) the
+    moves where there is none."""
 
     languages: list[str]
     alphabet: str
     table: np.ndarray
     roots: np.ndarray
     log_lengths: np.ndarray
+    #: Letters in the training text of each language.
+    letters: list[int]
+    keys: np.ndarray | None = None
+    restarts: np.ndarray | None = None
 
     def symbols_of(self) -> np.ndarray:
         """Symbol of every code point."""
         look_up = np.fromiter((_STRANGE if chr(c).isalpha() else _SEPARATOR
-                               for c in range(0x110000)), np.uint8, 0x110000)
+                               for c in range(0x110000)), np.int32, 0x110000)
         for k, letter in enumerate(self.alphabet):
             look_up[ord(letter)] = 2 + k
         return look_up
 
+    def moves(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Cells of ``table`` for states (language, place) and symbols (place)."""
+        at = states + symbols
+        if self.keys is None:
+            return self.table.take(at)
+        places = np.searchsorted(self.keys, at)
+        return np.where(self.keys.take(places) == at, self.table.take(places),
+                        self.restarts[:, symbols])
+
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all lower-cased texts, and the length of each."""
@@ -115,38 +134,48 @@ def _collapse(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return symbols[keep], kept[ends] - kept[starts]
 
 
-def build_model(texts: dict[str, list[str]], train_chars: int = TRAIN_CHARS) -> LanguageModel:
+def build_model(texts: dict[str, list[str]], train_chars: int = TRAIN_CHARS,
+                dense: int = DENSE) -> LanguageModel:
     """Automata over the texts of each language, in the order given."""
     share = max(1, train_chars // 16)
     joined = {lang: " ".join(t[:share] for t in parts).lower()[:train_chars]
               for lang, parts in sorted(texts.items())}
     joined = {lang: t for lang, t in joined.items() if any(c.isalpha() for c in t)}
-    letters = {c for t in joined.values() for c in t if c.isalpha()}
-    alphabet = "".join(sorted(letters)[:250])
+    own = [{c for c in t if c.isalpha()} for t in joined.values()]
+    alphabet = "".join(sorted(set().union(*own)))
     number = {c: 2 + k for k, c in enumerate(alphabet)}
     width = 2 + len(alphabet)
-    parts, roots, log_lengths, base = [], [], [], 0
+    automata, log_lengths = [], []
     for text in joined.values():
-        symbols = [number.get(c, _STRANGE if c.isalpha() else _SEPARATOR) for c in text]
+        symbols = [number.get(c, _SEPARATOR) for c in text]
         symbols = [s for k, s in enumerate(symbols) if s or not k or symbols[k - 1]]
-        following = suffix_automaton(symbols)
-        rows = np.empty((len(following), width), np.int64)
-        restart = np.zeros(width, np.int64)
-        for symbol, state in following[0].items():
-            restart[symbol] = state
-        rows[:] = 2 * (base + restart) * width + 1
-        for state, moves in enumerate(following):
-            for symbol, target in moves.items():
-                rows[state, symbol] = 2 * (base + target) * width
-        # A letter that no training text holds leads back to the start and ends a phrase.
-        parts.append(rows.ravel())
-        roots.append(base * width)
+        automata.append(suffix_automaton(symbols))
         log_lengths.append(math.log2(max(2, len(symbols))))
-        base += len(following)
-    table = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    kind = np.int32 if not len(table) or table.max() < 1 << 31 else np.int64
-    return LanguageModel(list(joined), alphabet, table.astype(kind), np.array(roots, kind),
-                         np.array(log_lengths))
+    sizes = np.array([len(a) for a in automata], np.int64)
+    bases = np.cumsum(sizes) - sizes
+    # A letter that the training text does not hold leads back to the start and ends a phrase.
+    restarts = np.repeat(2 * bases[:, None] * width + 1, width, 1)
+    keys, moves = [], []
+    for k, (following, base) in enumerate(zip(automata, bases.tolist())):
+        for symbol, target in following[0].items():
+            restarts[k, symbol] = 2 * (base + target) * width + 1
+        for state, row in enumerate(following):
+            for symbol, target in row.items():
+                keys.append((base + state) * width + symbol)
+                moves.append(2 * (base + target) * width)
+    keys, moves = np.array(keys, np.int64), np.array(moves, np.int64)
+    cells = int(sizes.sum()) * width
+    common = list(joined), alphabet
+    letters = list(map(len, own))
+    if cells > dense:
+        order = np.argsort(keys)
+        end = np.iinfo(np.int64).max  # greater than every key that is looked for
+        return LanguageModel(*common, np.append(moves[order], 0), bases * width,
+                             np.array(log_lengths), letters, np.append(keys[order], end), restarts)
+    kind = np.int32 if 2 * cells < 1 << 31 else np.int64
+    table = np.repeat(restarts.astype(kind), sizes, 0).ravel()
+    table[keys] = moves
+    return LanguageModel(*common, table, (bases * width).astype(kind), np.array(log_lengths), letters)
 
 
 def count_phrases(model: LanguageModel, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -166,7 +195,7 @@ def count_phrases(model: LanguageModel, symbols: np.ndarray, lengths: np.ndarray
     active_at = np.searchsorted(-sizes, -np.arange(1, steps + 1), side="right")
     for step in range(steps):
         active = active_at[step]
-        moved = model.table.take(state[:, :active] + symbols[starts[:active] + step])
+        moved = model.moves(state[:, :active], symbols[starts[:active] + step])
         counts[:, :active] += moved & 1
         state[:, :active] = moved >> 1
     counts += state != model.roots[:, None]

@@ -65,6 +65,37 @@ def test_costs_equal_search_in_the_training_text():
         assert 0.5 <= score <= 1
 
 
+def test_every_letter_of_many_scripts_is_a_symbol():
+    # 350 low letters beside two languages of the same lengths over letters with high code points.
+    draw = random.Random(4)
+    low = "".join(c for c in map(chr, range(0x61, 0x600)) if c.isalpha() and c == c.lower())[:350]
+    words = [["".join(chr(draw.randrange(0x4e00, 0x5200)) for _ in range(3)) for _ in range(60)]
+             for _ in range(2)]
+    say = lambda k, n: " ".join(draw.choices(words[k], k=n))  # no letters that training lacks
+    training = {"low": [low], **{lang: [" ".join(words[k]) + " " + say(k, 300)] for k, lang in enumerate("xy")}}
+    model = build_model(training, train_chars=100_000)
+    texts, truth = [], []
+    for _ in range(30):
+        k = draw.randrange(2)
+        texts.append(say(k, draw.randrange(3, 30)))
+        truth.append("xy"[k])
+    langs, _, bits = identify(model, model.symbols_of(), texts)
+    assert langs == truth
+    for text, lang, low_bits in zip(texts, langs, bits):
+        known, parsed = symbols(training[lang][0]), symbols(text)
+        assert math.isclose(phrases(parsed, known) * math.log2(len(known)) / len(parsed), low_bits)
+
+
+def test_kept_moves_alone_give_the_same_as_all_cells():
+    draw = random.Random(6)
+    training = {k: ["".join(draw.choices(a, k=900))] for k, a in (("a", "abcd "), ("b", "bcdeé. "))}
+    texts = ["".join(draw.choices("abcdeéж .", k=draw.randrange(5000))) for _ in range(30)] + ["", None]
+    every, kept = build_model(training), build_model(training, dense=0)
+    assert every.keys is None and kept.keys is not None
+    assert str(identify(every, every.symbols_of(), texts)) == str(
+        identify(kept, kept.symbols_of(), texts))
+
+
 def test_batches_do_not_matter():
     draw = random.Random(3)
     model = build_model({"a": ["abcabcaabbcc " * 9], "b": ["bacca cabba " * 9]})
