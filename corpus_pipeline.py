@@ -3,8 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes what a stage returns
 to the shared folder and reads it back as the documents of the next.
 
-1. language: documents without a letter in them, and long ones that cost more than chance letters in
-   every known language, go;
+1. language: documents without a letter in them, and long ones that cost more in their cheapest
+   language than chance letters of its own, go;
 2. exact_duplicates: of equal texts (A-Z lower-cased) the largest identifier stays;
 3. near_duplicates: of documents connected by links of 0.75 or more, the smallest identifier stays;
 4. decontamination: documents that hold a benchmark item go;
@@ -38,10 +38,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what is in no language."""
     small_batches(spark)
     model = train(docs)
-    chance = math.log2(len(model.alphabet) + 2)
+    chance = F.create_map(*[F.lit(x) for lang, letters in zip(model.languages, model.letters)
+                            for x in (lang, math.log2(letters + 2))])
     judged = docs.withColumn("__language", language_of(spark, model, F.col("text")))
     readable = (F.col("__language.lang") != UNKNOWN) & (
-        (F.char_length("text") < JUDGED_CHARS) | (F.col("__language.bits") <= chance))
+        (F.char_length("text") < JUDGED_CHARS)
+        | (F.col("__language.bits") <= F.element_at(chance, F.col("__language.lang"))))
     if not model.languages:  # nothing was learned, so nothing can be told apart
         readable = F.col("text").rlike(r"\p{L}")
     return judged.filter(readable).drop("__language")

@@ -53,6 +53,19 @@ def test_each_stage_catches_its_cases_and_keeps_the_rest(spark, planted):
     assert sorted(map(str, out)) == sorted(map(str, want))
 
 
+def test_letters_of_another_language_do_not_raise_the_limit(spark):
+    draw = random.Random(12)
+    words = ["".join(draw.choices("etaoinshrdlu", k=draw.randrange(2, 8))) for _ in range(300)]
+    signs = [chr(c) for c in range(0x4e00, 0x5200)]
+    rows = [(i, " ".join(draw.choices(words, k=150)), "en", "s", 1) for i in range(30)]
+    rows += [(100 + i, "".join(draw.choices(signs, k=600)), "zz", "s", 1) for i in range(4)]
+    rows += [(200, " ".join(draw.choices(words, k=400)), None, "s", 1),
+             (201, "".join(draw.choices("0123456789abcdef", k=900)), None, "s", 1)]
+    kept = {r.doc_id for r in corpus_pipeline.language(
+        spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert {*range(30), 200} <= kept and 201 not in kept
+
+
 def test_empty_tables_pass_through(spark):
     root = scratch_path(spark, "pipeline-empty")
     spark.createDataFrame([], SCHEMA).write.parquet(f"{root}/documents.parquet")
