@@ -14,8 +14,9 @@ from caseloom.llm.jaccard_join import jaccard_components
 from caseloom.llm.language import language_of, train
 from caseloom.llm.packing import pack
 from caseloom.llm.sharding import interleave
-from caseloom.llm.tables import ascii_lower, small_batches, table
+from caseloom.llm.tables import ascii_lower, small_batches, stored, table
 from caseloom.llm.token_store import read_documents, write_tokens
+from caseloom.llm.trie import prefix_trie, turn_sequences
 from caseloom.llm.url_filter import Rule, judge_urls
 from caseloom.llm.warc import merge_histories, read_index, write_archives
 from caseloom.session import scratch_path
@@ -141,10 +142,28 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def rebuilt_conversations(sequences: DataFrame) -> DataFrame:
+    """Every conversation c with the first h turns of conversation c - c % 5 in place of its own,
+    h being crc32(c) % 9."""
+    own = sequences.select(
+        "conv_id", "turns", (F.col("conv_id") - F.col("conv_id") % 5).alias("source"),
+        (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int").alias("h"))
+    first = sequences.select(F.col("conv_id").alias("source"), F.slice("turns", 1, 8).alias("head"))
+    return own.join(first, "source", "left").select("conv_id", F.concat(
+        F.slice(F.coalesce("head", F.slice("turns", 1, 0)), F.lit(1), F.col("h")),
+        F.slice("turns", F.col("h") + 1, F.size("turns"))).alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, each rebuilt on another one's beginning."""
+    sequences = stored(turn_sequences(table(spark, sf_dir, "conversations")), "conversations")
+    return prefix_trie(rebuilt_conversations(sequences)).drop("turn_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_language, op2_url_filter, op3_warc, op4_sharding, op5_token_store, op6_decontaminate,
-        op7_chat, op8_exact_dedup, op9_best_fit, op10_jaccard,
+        op7_chat, op8_exact_dedup, op9_best_fit, op10_jaccard, op13_prefix_trie,
     )
 }
 
@@ -289,5 +308,57 @@ from documents d left join sizes using (doc_id)
 join (select u, min(v) as component_id from reached group by u) on u = d.doc_id
 """
 
+_OP13 = """
+with crc_table as (
+  select list(list_reduce(list_prepend(k, range(8)),
+              lambda c, i: xor(c >> 1, 3988292384 * (c & 1))) order by k) as t
+  from (select unnest(range(256)) as k)
+), own as (
+  select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+           order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns,
+         hex(encode(conv_id::varchar)) as digits
+  from conversations where conv_id is not null group by conv_id
+), hashed as (
+  select conv_id, turns, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(range(length(digits) // 2),
+             lambda i: ('0x' || substr(digits, 2 * i + 1, 2))::bigint)),
+           lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) % 9 as h
+  from own, crc_table
+), rebuilt as (
+  select a.conv_id, coalesce(b.turns[1:a.h], []) || a.turns[a.h + 1:] as turns
+  from hashed a left join own b on b.conv_id = a.conv_id - a.conv_id % 5
+), places as (
+  select conv_id, turns, unnest(range(len(turns) + 1)) as depth from rebuilt
+), members as (
+  select conv_id, depth, turns[1:depth] as prefix, len(turns) = depth as ends,
+         case when depth > 0 then octet_length(encode(turns[depth].text)) else 0 end as size
+  from places
+), named as (
+  select *, min(conv_id) over (partition by depth, prefix) as node from members
+), nodes as (
+  select node, depth, count(*) as n_convs, any_value(size) as size,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), ''))
+           as ends_sha256
+  from named group by node, depth
+), parents as (
+  select n.*, p.node as parent from nodes n
+  left join named p on p.conv_id = n.node and p.depth = n.depth - 1
+), children as (
+  select parent, depth - 1 as depth, count(*) as n_children from parents
+  where depth > 0 group by all
+), below as (
+  select a.node, a.depth, sum(case when c.n_children is null then 1 else 0 end) as n_leaves,
+         sum((n.n_convs - 1) * n.size) as saved_tokens
+  from nodes n left join children c on c.parent = n.node and c.depth = n.depth
+  join named a on a.conv_id = n.node and a.depth <= n.depth
+  group by a.node, a.depth
+)
+select p.node::bigint as conv_id, p.depth::bigint as depth, p.parent::bigint as parent_conv_id,
+       p.n_convs::bigint as n_convs, coalesce(c.n_children, 0)::bigint as n_children,
+       b.n_leaves::bigint as n_leaves, b.saved_tokens::bigint as saved_tokens, p.ends_sha256
+from parents p join below b on b.node = p.node and b.depth = p.depth
+left join children c on c.parent = p.node and c.depth = p.depth
+"""
+
 SQL: dict[str, str] = {"op3_warc": _OP3, "op4_sharding": _OP4, "op6_decontaminate": _OP6, "op7_chat": _OP7,
-                        "op8_exact_dedup": _OP8, "op10_jaccard": _OP10}
+                        "op8_exact_dedup": _OP8, "op10_jaccard": _OP10, "op13_prefix_trie": _OP13}
