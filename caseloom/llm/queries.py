@@ -13,6 +13,7 @@ from caseloom.llm.exact_dedup import streaming_dedup
 from caseloom.llm.jaccard_join import jaccard_components
 from caseloom.llm.language import language_of, train
 from caseloom.llm.packing import pack
+from caseloom.llm.phrases import mine_phrases
 from caseloom.llm.sharding import interleave
 from caseloom.llm.tables import ascii_lower, small_batches, stored, table
 from caseloom.llm.token_store import read_documents, write_tokens
@@ -142,6 +143,11 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language, of all documents."""
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def rebuilt_conversations(sequences: DataFrame) -> DataFrame:
     """Every conversation c with the first h turns of conversation c - c % 5 in place of its own,
     h being crc32(c) % 9."""
@@ -163,7 +169,8 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_language, op2_url_filter, op3_warc, op4_sharding, op5_token_store, op6_decontaminate,
-        op7_chat, op8_exact_dedup, op9_best_fit, op10_jaccard, op13_prefix_trie,
+        op7_chat, op8_exact_dedup, op9_best_fit, op10_jaccard, op12_phrases,
+        op13_prefix_trie,
     )
 }
 
@@ -308,6 +315,57 @@ from documents d left join sizes using (doc_id)
 join (select u, min(v) as component_id from reached group by u) on u = d.doc_id
 """
 
+_OP12 = r"""
+with texts as (
+  select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                  'abcdefghijklmnopqrstuvwxyz') as body from documents
+), pieces as (
+  select lang, unnest(string_split_regex(body, '[.,;:!?\x0A-\x0D]')) as piece from texts
+), runs as (
+  select lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') as w from pieces
+), words as (
+  select lang, word, count(*) as f from (select lang, unnest(w) as word from runs) group by all
+), totals as (
+  select lang, sum(f) as n from words group by lang
+), pairs as (
+  select lang, p.x as x, p.y as y, count(*) as a from (
+    select lang, unnest(list_transform(range(len(w) - 1), lambda i: {'x': w[i + 1], 'y': w[i + 2]})) as p
+    from runs) group by all having count(*) >= 10
+), triples as (
+  select lang, p.x as x, p.y as y, p.z as z, count(*) as a from (
+    select lang, unnest(list_transform(range(len(w) - 2),
+      lambda i: {'x': w[i + 1], 'y': w[i + 2], 'z': w[i + 3]})) as p
+    from runs) group by all having count(*) >= 10
+), longer as (
+  select lang, x, y, max(a) as most from (
+    select lang, x, y, a from triples union all select lang, y, z, a from triples) group by all
+), cuts as (
+  select p.lang, p.x || ' ' || p.y as phrase, p.a, 1 as k, l.f as l, r.f as r
+  from pairs p join words l on l.lang = p.lang and l.word = p.x
+  join words r on r.lang = p.lang and r.word = p.y
+  left join longer m on m.lang = p.lang and m.x = p.x and m.y = p.y
+  where m.most is null or 100 * m.most < 50 * p.a
+  union all
+  select t.lang, t.x || ' ' || t.y || ' ' || t.z, t.a, 1, l.f, r.a
+  from triples t join words l on l.lang = t.lang and l.word = t.x
+  join pairs r on r.lang = t.lang and r.x = t.y and r.y = t.z
+  union all
+  select t.lang, t.x || ' ' || t.y || ' ' || t.z, t.a, 2, l.a, r.f
+  from triples t join pairs l on l.lang = t.lang and l.x = t.x and l.y = t.y
+  join words r on r.lang = t.lang and r.word = t.z
+), scored as (
+  select *, (1000000::hugeint * a * a) // (l::hugeint * r) as score from cuts
+), lowest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+  from lowest
+)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r,
+       n::bigint as n, score::bigint as score
+from ranked join totals using (lang) where rank <= 2000
+"""
+
 _OP13 = """
 with crc_table as (
   select list(list_reduce(list_prepend(k, range(8)),
@@ -361,4 +419,5 @@ left join children c on c.parent = p.node and c.depth = p.depth
 """
 
 SQL: dict[str, str] = {"op3_warc": _OP3, "op4_sharding": _OP4, "op6_decontaminate": _OP6, "op7_chat": _OP7,
-                        "op8_exact_dedup": _OP8, "op10_jaccard": _OP10, "op13_prefix_trie": _OP13}
+                        "op8_exact_dedup": _OP8, "op10_jaccard": _OP10, "op12_phrases": _OP12,
+                        "op13_prefix_trie": _OP13}
