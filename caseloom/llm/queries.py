@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm.chat import format_conversations, read_trained, read_turns
@@ -14,6 +14,7 @@ from caseloom.llm.jaccard_join import jaccard_components
 from caseloom.llm.language import language_of, train
 from caseloom.llm.packing import pack
 from caseloom.llm.phrases import mine_phrases
+from caseloom.llm.pii import KINDS, find_personal
 from caseloom.llm.sharding import interleave
 from caseloom.llm.tables import ascii_lower, small_batches, stored, table
 from caseloom.llm.token_store import read_documents, write_tokens
@@ -143,6 +144,22 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: certain spans counted and hashed, and all spans."""
+    found, _ = find_personal(table(spark, sf_dir, "documents"))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", *[number(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 collocations of every language, of all documents."""
     return mine_phrases(table(spark, sf_dir, "documents"))
@@ -169,8 +186,8 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_language, op2_url_filter, op3_warc, op4_sharding, op5_token_store, op6_decontaminate,
-        op7_chat, op8_exact_dedup, op9_best_fit, op10_jaccard, op12_phrases,
-        op13_prefix_trie,
+        op7_chat, op8_exact_dedup, op9_best_fit, op10_jaccard, op11_pii,
+        op12_phrases, op13_prefix_trie,
     )
 }
 
