@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.tables import stored
+from caseloom.llm.tables import discard, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -46,5 +46,6 @@ def components(links: DataFrame) -> DataFrame:
         before = now
         if not now[0]:
             break
-        current = stored(_small_star(_large_star(current)), "links")
+        last, current = current, stored(_small_star(_large_star(current)), "links")
+        discard(last)
     return current.select(F.col("u").alias("node"), F.col("v").alias("root"))

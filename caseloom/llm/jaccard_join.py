@@ -21,6 +21,11 @@ of entries of different components, each of which has an entry outside the compo
 list's first entry, and compares their sets. Pairs inside a component need no comparison, as
 components are what is asked for.
 
+Before two sets are compared their *parity bitmaps* are: each shingle flips one of 2 to 4 bits per
+shingle of the set, so where more bits differ than linked sets of these sizes can differ in shingles,
+the pair is dropped. Bitmaps are a thirtieth of the sets and made with them in the first pass; only
+sets of pairs that remain are made again and shuffled.
+
 Light sets that a heavy one can be similar to take part in the lists too. The boundary is the size
 at which all enumerated subsets and all list entries together cost least.
 
@@ -54,13 +59,15 @@ COUNTERS = 1 << 20
 #: for their number more sets than needed are fetched, which changes no result.
 FILTER_BITS = 1 << 25
 _SLICES = 64
+#: First-level merges of each slice.
+_ROOT = 256
 #: Light sets are never larger: the number of subsets explodes.
 _LARGEST_LIGHT = 16
 #: Cost of a list entry, scanned and compared, in enumerated subsets.
 _ENTRY_COST = 8
 #: Words that are hashed together.
 _TOGETHER = 200_000
-_SET = "doc_id long, n int, sid long, slice int, counts binary"
+_SET = "doc_id long, n int, sid long, bitmap binary, slice int, counts binary"
 _ENTRY = "key long, sid long, n int, other int, place int"
 _MEMBER = "sid long, shingles array<bigint>"
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -120,30 +127,57 @@ def _class_of(found: np.ndarray) -> int:
     return int(np.array(xxh64_intdigest(found.tobytes()), np.uint64).view(np.int64))
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and class of each document, and at the end the counts of hashed shingles."""
+def parity_bitmap(found: np.ndarray) -> bytes:
+    """A bit of each hash value's place is flipped; 2 to 4 bits for each shingle."""
+    bits = max(8, 1 << (2 * len(found) - 1).bit_length())
+    flips = np.bincount((found & np.uint64(bits - 1)).view(np.int64), minlength=bits)
+    return np.packbits((flips & 1).astype(bool)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """Shingles that are in one of the sets only, at least, by their bitmaps."""
+    one, two = sorted((np.frombuffer(x, np.uint8) for x in (a, b)), key=len)
+    while len(two) > len(one):  # places are low bits: halves of the larger lie over each other
+        two = two[:len(two) // 2] ^ two[len(two) // 2:]
+    return int(np.bitwise_count(one ^ two).sum())
+
+
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose bitmaps do not rule a link out."""
+    for batch in batches:
+        keep = []
+        for n, m, one, two in zip(*(batch[c].to_pylist() for c in ("n_a", "n_b", "of_a", "of_b"))):
+            keep.append(n + m - 2 * needed(n, m) >= least_difference(one, two))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Size, class and bitmap of each document, and at the end the counts of hashed shingles."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()),
-                        ("slice", pa.int32()), ("counts", pa.binary())])
-    counters = np.zeros(COUNTERS, np.int64)
+                        ("bitmap", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
+    counters = np.zeros(size, np.int64)
     for batch in batches:
-        sizes, classes, parts = [], [], [np.zeros(0, np.uint64)]
+        sizes, classes, bitmaps, parts = [], [], [], [np.zeros(0, np.uint64)]
         for found in shingle_sets(batch["text"].to_pylist()):
             sizes.append(len(found))
+            bitmaps.append(parity_bitmap(found) if len(found) else None)
             classes.append(_class_of(found))
-            parts.append(found & np.uint64(COUNTERS - 1))
-        counters += np.bincount(np.concatenate(parts).view(np.int64), minlength=COUNTERS)
+            parts.append(found & np.uint64(size - 1))
+        counters += np.bincount(np.concatenate(parts).view(np.int64), minlength=size)
         missing = pa.nulls(len(sizes))
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()),
-             missing.cast(pa.int32()), missing.cast(pa.binary())], schema=schema)
+             pa.array(bitmaps, pa.binary()), missing.cast(pa.int32()), missing.cast(pa.binary())],
+            schema=schema)
     missing = pa.nulls(_SLICES)
     yield pa.RecordBatch.from_arrays(
         [missing.cast(pa.int64()), missing.cast(pa.int32()), missing.cast(pa.int64()),
-         *_sliced(np.minimum(counters, 2**32 - 1).astype("<u4"))], schema=schema)
+         missing.cast(pa.binary()), *_sliced(np.minimum(counters, 2**32 - 1).astype("<u4"))], schema=schema)
 
 
 def _merged(sliced: DataFrame, kind: str, size: int, merge) -> np.ndarray:
-    """One array of ``size`` from the slices of every task's, by an operation on two arrays."""
+    """One array of ``size`` from the slices of every task's, by an operation on two arrays. Slices
+    are merged in two levels, so that no task reads those of more than the root of all tasks."""
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -155,7 +189,9 @@ def _merged(sliced: DataFrame, kind: str, size: int, merge) -> np.ndarray:
              pa.array([zlib.compress(c.tobytes(), 1) for c in total.values()], pa.binary())],
             names=["slice", "counts"])
 
-    rows = sliced.select("slice", "counts").repartition("slice").mapInArrow(
+    some = sliced.select("slice", "counts", F.pmod(F.spark_partition_id(), F.lit(_ROOT)).alias("part"))
+    rows = some.repartition("slice", "part").select("slice", "counts").mapInArrow(
+        together, "slice int, counts binary").repartition("slice").mapInArrow(
         together, "slice int, counts binary").collect()
     parts = {r["slice"]: np.frombuffer(zlib.decompress(r["counts"]), kind) for r in rows}
     none = np.zeros(size // _SLICES, kind)
@@ -171,15 +207,15 @@ def _sliced(array: np.ndarray) -> tuple[pa.Array, pa.Array]:
     return pa.array(range(_SLICES), pa.int32()), pa.array(packed, pa.binary())
 
 
-def _filter_places(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return classes & (FILTER_BITS - 1), (classes >> 32) & (FILTER_BITS - 1)
+def _filter_places(classes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    return classes & (size - 1), (classes >> 32) & (size - 1)
 
 
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Filter of the classes in this task."""
-    bits = np.zeros(FILTER_BITS, bool)
+def _mark(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Filter of ``size`` bits of the classes in this task."""
+    bits = np.zeros(size, bool)
     for batch in batches:
-        for places in _filter_places(batch["sid"].to_numpy()):
+        for places in _filter_places(batch["sid"].to_numpy(), size):
             bits[places] = True
     yield pa.RecordBatch.from_arrays(list(_sliced(np.packbits(bits))), names=["slice", "counts"])
 
@@ -226,7 +262,7 @@ def _entries(batches: Iterator[pa.RecordBatch], counters: np.ndarray,
                 seen.clear()
             seen.add(sid)
             if n >= listed:
-                rarity = counters[(found & np.uint64(COUNTERS - 1)).view(np.int64)]
+                rarity = counters[(found & np.uint64(len(counters) - 1)).view(np.int64)]
                 # Ties go by the hash: the set is sorted and the sort is stable.
                 prefix = found[np.argsort(rarity, kind="stable")[:prefix_length(n)]]
                 keys.append(prefix)
@@ -254,7 +290,7 @@ def _members(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[
         sets = {_class_of(found): found.view(np.int64)
                 for found in shingle_sets(batch["text"].to_pylist()) if len(found)}
         classes = np.fromiter(sets, np.int64, len(sets))
-        first, second = _filter_places(classes)
+        first, second = _filter_places(classes, len(bits))
         new = [sid for sid in classes[bits[first] & bits[second]].tolist() if sid not in seen]
         seen.update(new)
         yield pa.RecordBatch.from_arrays(
@@ -320,15 +356,31 @@ def _across(lists: DataFrame, roots: DataFrame, boundary: int) -> DataFrame:
         F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _classes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid")))
+
+
+def _possible(pairs: DataFrame, described: DataFrame) -> DataFrame:
+    """Stored pairs (a, b) that their bitmaps allow."""
+    pairs = stored(pairs.select("a", "b"), "met-pairs")
+    bitmaps = described.select("sid", "n", "bitmap").join(
+        _classes_of(pairs).distinct(), "sid", "left_semi").dropDuplicates(["sid"])
+    of_a, of_b = (bitmaps.select(F.col("sid").alias(s), F.col("n").alias(f"n_{s}"),
+                                 F.col("bitmap").alias(f"of_{s}")) for s in "ab")
+    return stored(pairs.join(of_a, "a").join(of_b, "b").mapInArrow(_plausible, "a long, b long"),
+                  "pairs")
+
+
+def _verified(pairs: DataFrame, described: DataFrame, texts: DataFrame,
+              filter_bits: int) -> DataFrame:
     """Pairs (a, b) whose sets share enough, as links (u, v). The sets are made again from the
-    texts, of the classes in pairs only: neither texts nor other sets are shuffled."""
+    texts, of the classes in possible pairs only: neither texts nor other sets are shuffled."""
     spark = pairs.sparkSession
-    pairs = stored(pairs.select("a", "b"), "pairs")
-    classes = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid")))
+    pairs = _possible(pairs, described)
+    classes = _classes_of(pairs)
     wanted = spark.sparkContext.broadcast(_merged(
-        classes.mapInArrow(_mark, "slice int, counts binary"), "u1", FILTER_BITS // 8,
-        np.bitwise_or))
+        classes.mapInArrow(lambda b: _mark(b, filter_bits), "slice int, counts binary"), "u1",
+        filter_bits // 8, np.bitwise_or))
     members = stored(texts.select("text").mapInArrow(
         lambda batches: _members(batches, wanted.value), _MEMBER
     ).join(classes.distinct(), "sid", "left_semi").dropDuplicates(["sid"]), "set-members")
@@ -340,15 +392,17 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     ).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def jaccard_components(docs: DataFrame, identifier: str = "doc_id",
-                       text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def jaccard_components(docs: DataFrame, identifier: str = "doc_id", text: str = "text",
+                       counters: int = COUNTERS, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row. ``counters`` and ``filter_bits`` are powers of
+    two, 512 at least; they change the cost only."""
     spark = docs.sparkSession
     texts = docs.select(F.col(identifier).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    described = stored(texts.mapInArrow(_describe, _SET), "shingle-sets")
+    described = stored(texts.mapInArrow(lambda b: _describe(b, counters), _SET), "shingle-sets")
+    bitmaps = described.filter("slice is null and n > 0")
     rows = described.filter("slice is null").select("doc_id", "n", "sid")
     shared_counters = spark.sparkContext.broadcast(
-        _merged(described.filter("slice is not null"), "<u4", COUNTERS, _add))
+        _merged(described.filter("slice is not null"), "<u4", counters, _add))
     sizes = {r["n"]: r["sets"] for r in rows.filter(
         (F.col("n") > 0) & (F.col("n") <= 2 * _LARGEST_LIGHT)).groupBy("n").agg(
         F.count(F.lit(1)).alias("sets")).collect()}
@@ -361,9 +415,9 @@ def jaccard_components(docs: DataFrame, identifier: str = "doc_id",
         F.col("sid").alias("u"), F.col("last_sid").alias("v"))
     lists = shared.filter("other = 0").drop("other")
 
-    links = stored(_verified(_met(lists, boundary), texts).unionByName(light), "first-links")
+    links = stored(_verified(_met(lists, boundary), bitmaps, texts, filter_bits).unionByName(light), "first-links")
     roots = components(links)
-    more = _verified(_across(lists, roots, boundary), texts)
+    more = _verified(_across(lists, roots, boundary), bitmaps, texts, filter_bits)
     closing = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)
     final = components(closing)
 

@@ -5,7 +5,8 @@ import pytest
 from caseloom.llm import jaccard_join
 from caseloom.llm.components import components
 from caseloom.llm.jaccard_join import (
-    cheapest_boundary, jaccard_components, needed, partner_sizes, prefix_length, shingle_sets,
+    cheapest_boundary, jaccard_components, least_difference, needed, parity_bitmap, partner_sizes,
+    prefix_length, shingle_sets,
 )
 
 SCHEMA = "doc_id long, text string, n int, sid string, root string, key int"
@@ -45,9 +46,10 @@ def brute(rows):
     return sorted((i, len(sets[k]), low[find(k)]) for k, (i, _) in enumerate(rows))
 
 
-def found(spark, rows):
+def found(spark, rows, **options):
     df = spark.createDataFrame([(*r, 1, "s", "r", 2) for r in rows], SCHEMA).repartition(4)
-    return sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df).collect())
+    return sorted((r.doc_id, r.n_shingles, r.component_id)
+                  for r in jaccard_components(df, **options).collect())
 
 
 def corpus(seed, n, longest):
@@ -101,9 +103,36 @@ def test_any_boundary_finds_the_same(spark, monkeypatch, boundary):
     assert found(spark, rows) == brute(rows)
 
 
-def test_few_counters_find_the_same(spark, monkeypatch):
-    rows = corpus(9, 150, 60)
-    assert found(spark, rows) == brute(rows)
+@pytest.mark.parametrize("options", [{"counters": 512}, {"filter_bits": 512}])
+def test_saturated_counters_or_filter_find_the_same(spark, options):
+    rows = corpus(9, 300, 60)  # thousands of shingles for 512 counters
+    assert found(spark, rows, **options) == brute(rows)
+
+
+def test_a_passage_in_a_third_of_the_texts(spark):
+    draw = random.Random(13)
+    passage = [f"p{k}" for k in range(40)]
+    rows = []
+    for k in range(300):
+        own = [f"{draw.randrange(500)}" for _ in range(draw.randrange(5, 60))]
+        rows.append((k, " ".join(own + passage if k % 3 == 0 else own)))
+    rows += [(1000 + k, rows[k][1] + " more") for k in range(0, 300, 7)]
+    want = brute(rows)
+    assert len({low for _, _, low in want}) > 200
+    assert found(spark, rows, counters=512) == want
+
+
+def test_bitmaps_never_rule_out_a_link():
+    draw = np.random.default_rng(4)
+    for _ in range(400):
+        n = int(draw.integers(1, 400))
+        a = np.unique(draw.integers(0, 1 << 63, n).astype(np.uint64))
+        keep = a[draw.random(len(a)) < draw.choice([0.5, 0.8, 0.95, 1])]
+        b = np.unique(np.concatenate([keep, draw.integers(0, 1 << 63, int(draw.integers(1, 100))).astype(np.uint64)]))
+        apart = len(a) + len(b) - 2 * len(np.intersect1d(a, b))
+        assert least_difference(parity_bitmap(a), parity_bitmap(b)) <= apart
+    far = [np.unique(draw.integers(0, 1 << 63, 300).astype(np.uint64)) for _ in range(2)]
+    assert least_difference(*map(parity_bitmap, far)) > 600 - 2 * needed(300, 300)
 
 
 def test_nulls_repeats_long_and_empty(spark):
