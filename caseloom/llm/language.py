@@ -5,14 +5,16 @@ left to right into phrases, each the longest match that the training text holds
 phrases over n symbols and N symbols of training text, c * log2(N) / n estimates the bits a symbol
 costs in that language; the language that needs the fewest wins.
 
-Training takes a bounded sample: an expected ``SAMPLE_ROWS`` labelled rows per language, drawn by a
-hash, of which each gives at most a sixteenth of ``TRAIN_CHARS``. The automata are as large as these
-bounds and the number of languages make them, whatever the corpus; more than ``MAX_LANGUAGES``
-labels are an error.
+Training takes a bounded sample: of each language the ``SAMPLE_ROWS`` distinct texts that a hash puts
+first, whole or, of longer ones, a stretch of a sixteenth of ``TRAIN_CHARS`` from a place that the hash
+draws, until ``TRAIN_CHARS`` are full. All languages together have ``MODEL_CHARS``: with many labels each
+gets its part of that, ``LEAST_CHARS`` at least, and labels beyond are not learned, those with the fewest
+distinct texts first (ties: last by name). So the model is as large as these bounds make it, whatever
+the corpus.
 
 Symbols are lower-cased letters, every letter of the training texts one of its own; runs of other
-characters are one separator. Long texts are parsed whole, in stretches of ``STRETCH`` symbols: no
-phrase crosses the end of a stretch. The automaton becomes a table (state, symbol) -> (state, phrase
+characters are one separator. A symbol that the training text lacks is a phrase by itself. Long texts are parsed whole, in stretches of ``STRETCH`` symbols: no
+phrase crosses the end of a stretch. The automaton becomes a table (state, symbol) -> (state, phrases
 ended), so that many stretches are stepped through at once. Where states times symbols are more than
 ``DENSE`` cells, as with scripts of thousands of letters, only the moves that exist are kept, sorted,
 and are found by binary search: slower, with the same results.
@@ -31,14 +33,19 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from caseloom.llm.tables import stored
+
 UNKNOWN = "und"
-#: Labelled rows per language that training takes, as an expected number.
+#: Distinct labelled texts per language that training takes.
 SAMPLE_ROWS = 64
-#: Symbols of training text per language.
+#: Symbols of training text per language, and of all languages together.
 TRAIN_CHARS = 24_000
-MAX_LANGUAGES = 200
+MODEL_CHARS = 200 * TRAIN_CHARS
+#: A language gets so many even where there are too many of them.
+LEAST_CHARS = 2_000
 #: Cells of the largest table that has a cell for every state and symbol.
 DENSE = 1 << 25
 #: Symbols that are parsed in one go.
@@ -46,7 +53,7 @@ STRETCH = 2048
 #: Characters of several texts that are parsed together.
 _TOGETHER = 1_000_000
 _SEPARATOR, _STRANGE = 0, 1
-_RESULT = "lang string, score double, bits double"
+_RESULT = "lang string, score double, bits double, symbols long"
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -81,7 +88,7 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 @dataclass
 class LanguageModel:
-    """``table[state + symbol]`` is ``2 * next state + phrase ended``; states are multiples of
+    """``table[state + symbol]`` is ``4 * next state + phrases ended``; states are multiples of
     the alphabet's size, those of each language from ``roots`` on. With ``keys``, ``table`` has
     the moves at these values of ``state + symbol`` only, and ``restarts`` (language, symbol) the
     moves where there is none."""
@@ -96,13 +103,16 @@ class LanguageModel:
     keys: np.ndarray | None = None
     restarts: np.ndarray | None = None
 
+    look_up: np.ndarray | None = None
+
     def symbols_of(self) -> np.ndarray:
-        """Symbol of every code point."""
-        look_up = np.fromiter((_STRANGE if chr(c).isalpha() else _SEPARATOR
-                               for c in range(0x110000)), np.int32, 0x110000)
-        for k, letter in enumerate(self.alphabet):
-            look_up[ord(letter)] = 2 + k
-        return look_up
+        """Symbol of every code point, made once and sent with the model."""
+        if self.look_up is None:
+            self.look_up = np.fromiter((_STRANGE if chr(c).isalpha() else _SEPARATOR
+                                        for c in range(0x110000)), np.int32, 0x110000)
+            for k, letter in enumerate(self.alphabet):
+                self.look_up[ord(letter)] = 2 + k
+        return self.look_up
 
     def moves(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """Cells of ``table`` for states (language, place) and symbols (place)."""
@@ -136,10 +146,8 @@ def _collapse(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
 
 def build_model(texts: dict[str, list[str]], train_chars: int = TRAIN_CHARS,
                 dense: int = DENSE) -> LanguageModel:
-    """Automata over the texts of each language, in the order given."""
-    share = max(1, train_chars // 16)
-    joined = {lang: " ".join(t[:share] for t in parts).lower()[:train_chars]
-              for lang, parts in sorted(texts.items())}
+    """Automata over the texts of each language, in the order given, until ``train_chars`` are full."""
+    joined = {lang: " ".join(parts).lower()[:train_chars] for lang, parts in sorted(texts.items())}
     joined = {lang: t for lang, t in joined.items() if any(c.isalpha() for c in t)}
     own = [{c for c in t if c.isalpha()} for t in joined.values()]
     alphabet = "".join(sorted(set().union(*own)))
@@ -153,16 +161,21 @@ def build_model(texts: dict[str, list[str]], train_chars: int = TRAIN_CHARS,
         log_lengths.append(math.log2(max(2, len(symbols))))
     sizes = np.array([len(a) for a in automata], np.int64)
     bases = np.cumsum(sizes) - sizes
-    # A letter that the training text does not hold leads back to the start and ends a phrase.
-    restarts = np.repeat(2 * bases[:, None] * width + 1, width, 1)
+    # A symbol that the training text lacks ends the open phrase, is one and leads back to the start,
+    # where no phrase is open.
+    restarts = np.repeat(4 * bases[:, None] * width + 2, width, 1)
     keys, moves = [], []
     for k, (following, base) in enumerate(zip(automata, bases.tolist())):
-        for symbol, target in following[0].items():
-            restarts[k, symbol] = 2 * (base + target) * width + 1
+        for symbol in range(width):
+            if symbol in following[0]:
+                restarts[k, symbol] = 4 * (base + following[0][symbol]) * width + 1
+            else:
+                keys.append(base * width + symbol)
+                moves.append(4 * base * width + 1)
         for state, row in enumerate(following):
             for symbol, target in row.items():
                 keys.append((base + state) * width + symbol)
-                moves.append(2 * (base + target) * width)
+                moves.append(4 * (base + target) * width)
     keys, moves = np.array(keys, np.int64), np.array(moves, np.int64)
     cells = int(sizes.sum()) * width
     common = list(joined), alphabet
@@ -172,7 +185,7 @@ def build_model(texts: dict[str, list[str]], train_chars: int = TRAIN_CHARS,
         end = np.iinfo(np.int64).max  # greater than every key that is looked for
         return LanguageModel(*common, np.append(moves[order], 0), bases * width,
                              np.array(log_lengths), letters, np.append(keys[order], end), restarts)
-    kind = np.int32 if 2 * cells < 1 << 31 else np.int64
+    kind = np.int32 if 4 * cells < 1 << 31 else np.int64
     table = np.repeat(restarts.astype(kind), sizes, 0).ravel()
     table[keys] = moves
     return LanguageModel(*common, table, (bases * width).astype(kind), np.array(log_lengths), letters)
@@ -196,8 +209,8 @@ def count_phrases(model: LanguageModel, symbols: np.ndarray, lengths: np.ndarray
     for step in range(steps):
         active = active_at[step]
         moved = model.moves(state[:, :active], symbols[starts[:active] + step])
-        counts[:, :active] += moved & 1
-        state[:, :active] = moved >> 1
+        counts[:, :active] += moved & 3
+        state[:, :active] = moved >> 2
     counts += state != model.roots[:, None]
     total = np.zeros((len(model.roots), len(lengths)), np.int64)
     for k in range(len(model.roots)):
@@ -208,8 +221,14 @@ def count_phrases(model: LanguageModel, symbols: np.ndarray, lengths: np.ndarray
 def identify(model: LanguageModel, look_up: np.ndarray,
              texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
     """Language, score and bits per symbol of each text."""
+    return judged(model, look_up, texts)[:3]
+
+
+def judged(model: LanguageModel, look_up: np.ndarray, texts: list[str | None]
+           ) -> tuple[list[str], list[float], list[float], list[int]]:
+    """Language, score, bits per symbol and symbols of each text."""
     langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-    bits = [math.nan] * len(texts)
+    bits, sizes = [math.nan] * len(texts), [0] * len(texts)
     at = 0
     while at < len(texts):
         end, chars = at, 0
@@ -218,6 +237,7 @@ def identify(model: LanguageModel, look_up: np.ndarray,
             end += 1
         codes, lengths = _codes([t or "" for t in texts[at:end]])
         symbols, lengths = _collapse(look_up[codes], lengths)
+        sizes[at:end] = lengths.tolist()
         spoken = np.bincount(np.repeat(np.arange(len(lengths)), lengths),
                              symbols != _SEPARATOR, len(lengths)) > 0
         if len(model.languages) and spoken.any():
@@ -232,43 +252,55 @@ def identify(model: LanguageModel, look_up: np.ndarray,
                 scores[at + k] = float(ordered[1, k] / (low + ordered[1, k])) \
                     if len(ordered) > 1 else 1.0
         at = end
-    return langs, scores, bits
+    return langs, scores, bits, sizes
+
+
+def _plan(found: list[tuple[str, int]], train_chars: int) -> tuple[list[str], int]:
+    """Languages to learn, from (label, distinct texts), and the symbols that each gets."""
+    budget = train_chars * MODEL_CHARS // TRAIN_CHARS
+    least = min(LEAST_CHARS, train_chars)
+    chosen = [lang for lang, _ in sorted(found, key=lambda f: (-f[1], f[0]))[:max(1, budget // least)]]
+    return sorted(chosen), min(train_chars, max(least, budget // max(1, len(chosen))))
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang",
           sample_rows: int = SAMPLE_ROWS, train_chars: int = TRAIN_CHARS) -> LanguageModel:
     """Model from a bounded sample of the labelled rows; the rest is only counted."""
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1) \
-        .collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} language labels")
-    if not counts:
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn(
+        "draw", F.xxhash64(F.lit(5), "text"))
+    # Texts are told apart by their draw; copies combine before the shuffle.
+    draws = stored(rows.select("lang", "draw").distinct(), "language-draws")
+    counts = draws.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    most = train_chars * MODEL_CHARS // TRAIN_CHARS // min(LEAST_CHARS, train_chars)
+    found = counts.orderBy(F.desc("n"), "lang").limit(max(1, most)).collect()
+    if not found:
         return build_model({})
-    scale = 1 << 30
-    shares = F.create_map(*[c for r in counts for c in (
-        F.lit(r["lang"]), F.lit(int(min(1.0, sample_rows / r["n"]) * scale)))])
-    draw = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(scale))
+    languages, chars = _plan([(r["lang"], r["n"]) for r in found], train_chars)
+    spark = labelled.sparkSession
+    first = draws.join(F.broadcast(spark.createDataFrame([(x,) for x in languages], "lang string")), "lang") \
+        .withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("draw"))) \
+        .filter(F.col("rank") <= sample_rows).drop("rank")  # Spark limits the ranks before it shuffles
     share = max(1, train_chars // 16)
-    sample = rows.withColumn("draw", draw).filter(F.col("draw") < F.element_at(shares, F.col("lang")))
-    taken = sample.select("lang", "draw", F.substring("text", 1, share).alias("text")) \
-        .dropDuplicates().orderBy("draw", "text").collect()
+    begin = F.pmod("draw", F.greatest(F.char_length("text") - share, F.lit(0)) + 1).cast("int") + 1
+    taken = rows.join(F.broadcast(stored(first, "language-sample")), ["lang", "draw"]).select(
+        "lang", "draw", F.substring("text", begin, F.lit(share)).alias("text")
+    ).dropDuplicates(["lang", "draw"]).orderBy("draw", "text").collect()
     texts: dict[str, list[str]] = {}
     for row in taken:
         texts.setdefault(row["lang"], []).append(row["text"])
-    return build_model(texts, train_chars)
+    return build_model(texts, chars)
 
 
 def language_of(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
-    """Struct (lang, score, bits) of a text column."""
+    """Struct (lang, score, bits, symbols) of a text column."""
+    model.symbols_of()
     shared = spark.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = shared.value
-        look_up = known.symbols_of()
         for batch in batches:
-            langs, scores, bits = identify(known, look_up, batch.tolist())
-            yield pd.DataFrame({"lang": langs, "score": scores, "bits": bits})
+            columns = judged(known, known.symbols_of(), batch.tolist())
+            yield pd.DataFrame(dict(zip(("lang", "score", "bits", "symbols"), columns)))
 
     return F.pandas_udf(predict, _RESULT)(text)

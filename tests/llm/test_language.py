@@ -132,3 +132,44 @@ def test_held_out_accuracy(spark):
     found = op1_language(spark, sf).filter("held_out").join(truth, "doc_id")
     right = found.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right >= 0.97
+
+
+def test_costs_of_random_texts_with_unknown_letters_equal_search():
+    draw = random.Random(8)
+    training = {"a": ["".join(draw.choices("abcd ", k=300))], "b": ["".join(draw.choices("cdef", k=200))],
+                "c": ["katze"]}
+    texts = ["katzexkatzex", "x", " x ", "katze"] + [
+        "".join(draw.choices("abcdefx. ", weights=[5, 5, 5, 5, 5, 5, w, 1, 2], k=draw.randrange(1, 200)))
+        for w in (0, 1, 5, 30) for _ in range(30)]
+    for dense in (1 << 25, 0):
+        model = build_model(training, dense=dense)
+        _, _, bits = identify(model, model.symbols_of(), texts)
+        for text, low in zip(texts, bits):
+            parsed = symbols(text)
+            costs = [phrases(parsed, symbols(t[0])) * math.log2(len(symbols(t[0]))) / len(parsed)
+                     for t in training.values()]
+            assert math.isnan(low) and not any(c.isalpha() for c in text) or math.isclose(min(costs), low)
+
+
+def test_copies_do_not_drown_a_language(spark):
+    rows = [(k, "the same old text over and over", "en", 0.0, "") for k in range(3000)]
+    rows += [(5000 + k, f"der {k} hund und die katze", "de", 0.0, "") for k in range(300)]
+    assert train(spark.createDataFrame(rows, SCHEMA)).languages == ["de", "en"]
+
+
+def test_long_texts_are_learned_from_beyond_their_beginning(spark):
+    rows = [(k, "a" * 3000 + f"bcdefg {k} " * 500, "xx", 0.0, "") for k in range(40)]
+    model = train(spark.createDataFrame(rows, SCHEMA))
+    assert set("abcdefg") <= set(model.alphabet)
+
+
+def test_many_labels_are_learned_by_their_number_of_texts(spark, monkeypatch):
+    import caseloom.llm.language as module
+
+    monkeypatch.setattr(module, "MODEL_CHARS", 10 * module.LEAST_CHARS)
+    rows = [(k, f"text number {j} of language {k}", f"l{k:02}", 0.0, "") for k in range(30)
+            for j in range(1 + (k < 10))]
+    model = train(spark.createDataFrame(rows, SCHEMA))
+    assert model.languages == [f"l{k:02}" for k in range(10)]
+    assert module._plan([("a", 5)], 24_000)[1] == module.LEAST_CHARS * 10
+    assert module._plan([], 24_000)[0] == []
