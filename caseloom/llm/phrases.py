@@ -1,18 +1,18 @@
 """Phrase collocations from counting quotient filters of word n-grams.
 
 Texts are lower-cased (A-Z only) and cut into pieces at ``. , ; : ! ?`` and U+000A to U+000D, pieces into
-words at blanks and tabs. A block is a few million words: its words get numbers, its n-grams of two and
-three words are packed into 3 g bits (g bits a word number, the third 0 in pairs), permuted by a
-Feistel network over the two halves, which can be inverted, and sorted. A *filter* holds them with
-their counts: the leading bits of a permuted n-gram are its quotient, of which a bit says that it is
-there, and a bit per entry says where a quotient's run ends; the other bits, the full remainder, are
-stored, with a counter of one byte that an exact list extends. Nothing is lost: an entry gives its
-n-gram back.
-
-Words are counted over all blocks by language; those with ``least`` occurrences or more are numbered
-anew, as no other can be part of a candidate. Each block's filter is taken apart, translated to these
-numbers, permuted and cut by leading bits into the slices of the shards. A shard merges the
-sorted slices into one filter and gives its n-grams with ``least`` occurrences.
+words at blanks and tabs. A block is about a million words, kept as the sequence of their numbers in the
+block's own vocabulary. The vocabularies of all blocks meet sorted by language and word: words with
+``least`` occurrences or more get numbers of the whole corpus, as no others can be part of a candidate.
+
+In these numbers a block's n-grams of two and three words are packed into 3 g bits (g bits a word, the
+third 0 in pairs) and permuted by a Feistel network over the two halves, which can be inverted. A
+*filter* holds them sorted, with their counts: the leading bits of a permuted n-gram are its quotient, of
+which a bit says that it is there, and a bit per entry says where a quotient's run ends; the other
+bits, the full remainder, are stored, with a counter of one byte that an exact list extends. Nothing is
+lost: an entry gives its n-gram back. Each block's filter is cut by leading bits into the slices of the
+shards; a shard merges the sorted slices into one filter and gives its n-grams with ``least``
+occurrences.
 
 Candidates are scored with exact decimals: ``floor(1000000 a a / (l r))`` of the cut that scores lowest,
 ties to the earlier cut. A candidate goes if its words stand in a longer candidate with at least half
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -41,19 +42,24 @@ UNKNOWN = "und"
 LEAST = 10
 TOP = 2000
 #: Words of a block; a block ends with the text that fills it.
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 20
 #: Entries, before merging, that a shard holds on average at most.
-SHARD_ENTRIES = 4_000_000
+SHARD_ENTRIES = 2_000_000
+#: Entries that are packed or taken apart in one go.
+_TOGETHER = 1 << 18
 #: In UTF-8 no byte of a text; stands between pieces.
 _CUT = b"\xff"
 _CUTS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes(_CUT[0] if c in _CUTS else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ROUND_KEYS = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
                                       0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
-_BLOCKS = "block long, local int, lang string, word string, n long, grams binary, entries long"
-_BLOCK_SCHEMA = pa.schema([
-    ("block", pa.int64()), ("local", pa.int32()), ("lang", pa.string()), ("word", pa.string()),
-    ("n", pa.int64()), ("grams", pa.binary()), ("entries", pa.int64())])
+#: Rows with ``local`` are words (language, _CUT, word), others with a key are languages.
+_BLOCKS = "block long, local int, key binary, n long, numbers binary"
+_BLOCK_SCHEMA = pa.schema([("block", pa.int64()), ("local", pa.int32()), ("key", pa.binary()),
+                           ("n", pa.int64()), ("numbers", pa.binary())])
+_WORDS = "block long, local int, id long, lang string, word string, f long"
+_WORD_SCHEMA = pa.schema([("block", pa.int64()), ("local", pa.int32()), ("id", pa.int64()),
+                          ("lang", pa.string()), ("word", pa.string()), ("f", pa.int64())])
 _SLICE_SCHEMA = pa.schema([("shard", pa.int32()), ("grams", pa.binary())])
 _GRAM_SCHEMA = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("w3", pa.int64()), ("a", pa.int64())])
 
@@ -99,11 +105,22 @@ def permute(halves: Halves, bits: int, back: bool = False) -> Halves:
     return high, low
 
 
+def packed_permuted(words: list[np.ndarray], g: int) -> Halves:
+    """Permuted n-grams, made in parts to hold few copies."""
+    high, low = (np.empty(len(words[0]), np.uint64) for _ in range(2))
+    for at in range(0, len(high), _TOGETHER):
+        part = slice(at, at + _TOGETHER)
+        high[part], low[part] = permute(pack([w[part] for w in words], g), half_bits(g))
+    return high, low
+
+
 def merged(halves: Halves, counts: np.ndarray, bits: int) -> tuple[Halves, np.ndarray]:
     """Sorted, with equal entries added up. Counts may be None for 1 each."""
     high, low = halves
     if 2 * bits <= 64:
-        key = (high << np.uint64(bits)) | low if bits < 64 else low
+        key = high << np.uint64(bits)
+        key |= low
+        del high, low, halves
         if counts is None:
             key.sort()
             order = None
@@ -145,6 +162,11 @@ def _widen(data: memoryview, count: int, bits: int) -> np.ndarray:
     return wide.view("<u8").ravel().astype(np.uint64)
 
 
+def _remainder_widths(rest: int, low_bits: int) -> list[int]:
+    """Bits of the numbers that a remainder is stored as: one if it fits in 64 bits, else two."""
+    return [rest + low_bits] if rest + low_bits <= 64 else [rest, low_bits]
+
+
 def write_filter(halves: Halves, counts: np.ndarray, high_bits: int, low_bits: int) -> bytes:
     """A filter of sorted entries, the high half of which has ``high_bits`` bits."""
     high, low = halves
@@ -158,10 +180,14 @@ def write_filter(halves: Halves, counts: np.ndarray, high_bits: int, low_bits: i
     run_end[:-1] = quotients[1:] != quotients[:-1]
     large = np.flatnonzero(counts > 254)
     small = np.where(counts > 254, 255, counts).astype(np.uint8)
+    remainders = [high & np.uint64((1 << rest) - 1), low]
+    widths = _remainder_widths(rest, low_bits)
+    if len(widths) == 1:
+        remainders = [(remainders[0] << np.uint64(low_bits)) | low]
     return b"".join([
         np.array([count, q, high_bits, low_bits, len(large)], "<u8").tobytes(),
         np.packbits(occupied).tobytes(), np.packbits(run_end).tobytes(),
-        _narrow(high & np.uint64((1 << rest) - 1), rest), _narrow(low, low_bits), small.tobytes(),
+        *[_narrow(r, bits) for r, bits in zip(remainders, widths)], small.tobytes(),
         counts[large].astype("<u8").tobytes(),
     ])
 
@@ -181,8 +207,12 @@ def read_filter(data: bytes) -> tuple[Halves, np.ndarray]:
     run_end = np.unpackbits(np.frombuffer(take(-(-count // 8)), np.uint8), count=count)
     run = np.cumsum(run_end) - run_end
     quotients = np.flatnonzero(occupied)[run].astype(np.uint64)
-    high = _widen(take(count * -(-rest // 8)), count, rest) | (quotients << np.uint64(rest))
-    low = _widen(take(count * -(-low_bits // 8)), count, low_bits)
+    widths = _remainder_widths(rest, low_bits)
+    remainders = [_widen(take(count * -(-bits // 8)), count, bits) for bits in widths]
+    if len(widths) == 1:
+        both = remainders[0]
+        remainders = [both >> np.uint64(low_bits), both & np.uint64((1 << low_bits) - 1)]
+    high, low = remainders[0] | (quotients << np.uint64(rest)), remainders[1]
     counts = np.frombuffer(bytes(take(count)), np.uint8).astype(np.int64)
     if large:
         counts[counts == 255] = np.frombuffer(take(8 * large), "<u8")
@@ -195,17 +225,17 @@ class _Vocabulary:
     """Numbers of the words of a block, from 1 on; 0 stands between pieces."""
 
     class _Words(dict):
-        def __init__(self, known: list[tuple[str, bytes]], lang: str):
+        def __init__(self, known: list[bytes], lang: str):
             super().__init__({_CUT: 0})
-            self.known, self.lang = known, lang
+            self.known, self.prefix = known, lang.encode() + _CUT
 
         def __missing__(self, word: bytes) -> int:
-            self.known.append((self.lang, word))
+            self.known.append(self.prefix + word)
             self[word] = number = len(self.known)
             return number
 
     def __init__(self):
-        self.known: list[tuple[str, bytes]] = []
+        self.known: list[bytes] = []
         self.by_lang: dict[str, _Vocabulary._Words] = {}
 
     def of(self, lang: str) -> _Vocabulary._Words:
@@ -219,35 +249,36 @@ def split_words(text: bytes) -> list[bytes]:
     return (text.translate(_TABLE).replace(_CUT, b" " + _CUT + b" ") + b" " + _CUT).split()
 
 
-def _gram_places(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where n-grams of two and three words begin."""
-    word = numbers > 0
-    two = word[:-1] & word[1:]
-    return np.flatnonzero(two), np.flatnonzero(two[:-1] & word[2:])
+def write_numbers(numbers: np.ndarray, largest: int) -> bytes:
+    """Numbers in as many bytes each as the largest needs, which the first byte tells."""
+    width = max(1, -(-largest.bit_length() // 8))
+    return bytes([width]) + _narrow(numbers, 8 * width)
+
+
+def read_numbers(data: bytes) -> np.ndarray:
+    return _widen(memoryview(data)[1:], (len(data) - 1) // data[0], 8 * data[0]).astype(np.int64)
 
 
-def _block(block: int, numbers: np.ndarray, known: list[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
+def _block(block: int, numbers: np.ndarray, vocabulary: _Vocabulary) -> Iterator[pa.RecordBatch]:
+    known = vocabulary.known
     found = np.bincount(numbers, minlength=len(known) + 1)[1:]
-    g = max(1, len(known).bit_length())
-    bits = half_bits(g)
-    two, three = _gram_places(numbers)
-    at = np.concatenate([two, three])
-    third = np.concatenate([np.zeros(len(two), np.int64), numbers[three + 2]])
-    halves, counts = merged(permute(pack([numbers[at], numbers[at + 1], third], g), bits), None, bits)
     size = len(known)
-    none = lambda count, kind: pa.nulls(count, kind)
     yield pa.RecordBatch.from_arrays([
         pa.array(np.full(size, block)), pa.array(np.arange(1, size + 1, dtype=np.int32)),
-        pa.array([lang for lang, _ in known], pa.string()),
-        pa.array([word for _, word in known], pa.binary()).cast(pa.string()), pa.array(found),
-        none(size, pa.binary()), none(size, pa.int64())], schema=_BLOCK_SCHEMA)
+        pa.array(known, pa.binary()), pa.array(found), pa.nulls(size, pa.binary())],
+        schema=_BLOCK_SCHEMA)
+    langs = list(vocabulary.by_lang)
+    of_lang = [int(found[np.fromiter(words.values(), np.int64, len(words))[1:] - 1].sum())
+               for words in vocabulary.by_lang.values()]
+    rows = len(langs) + 1
     yield pa.RecordBatch.from_arrays([
-        pa.array([block], pa.int64()), none(1, pa.int32()), none(1, pa.string()), none(1, pa.string()),
-        none(1, pa.int64()), pa.array([write_filter(halves, counts, bits, bits)], pa.binary()),
-        pa.array([len(counts)], pa.int64())], schema=_BLOCK_SCHEMA)
+        pa.array(np.full(rows, block)), pa.nulls(rows, pa.int32()),
+        pa.array([*[x.encode() for x in langs], None], pa.binary()), pa.array([*of_lang, None], pa.int64()),
+        pa.array([None] * len(langs) + [write_numbers(numbers, size)], pa.binary())],
+        schema=_BLOCK_SCHEMA)
 
 
-def _count_blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.RecordBatch]:
+def _number_blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.RecordBatch]:
     block = TaskContext.get().partitionId() << 32
     vocabulary, held, size = _Vocabulary(), [], 0
     for batch in batches:
@@ -257,31 +288,80 @@ def _count_blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterat
             held.append(np.fromiter(map(vocabulary.of(lang).__getitem__, words), np.int64, len(words)))
             size += len(words)
             if size >= block_words:
-                yield from _block(block, np.concatenate(held), vocabulary.known)
+                yield from _block(block, np.concatenate(held), vocabulary)
                 vocabulary, held, size, block = _Vocabulary(), [], 0, block + 1
     if vocabulary.known:
-        yield from _block(block, np.concatenate(held), vocabulary.known)
+        yield from _block(block, np.concatenate(held), vocabulary)
+
+
+def _number_words(batches: Iterator[pa.RecordBatch], least: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Numbers of the words that are there often enough, which come sorted: a row with each word, and
+    one for each block that has it. Numbers of different tasks differ by their remainder."""
+    part, place = TaskContext.get().partitionId(), 0
+    held: pa.Table | None = None
+
+    def numbered(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        nonlocal place
+        keys = rows["key"].combine_chunks().dictionary_encode()
+        run = keys.indices.to_numpy()  # equal keys are neighbours
+        at = np.flatnonzero(np.diff(run, prepend=-1))
+        total = np.add.reduceat(rows["n"].to_numpy(), at)
+        often = total >= least
+        ids = np.zeros(len(at), np.int64)
+        ids[often] = (place + np.arange(often.sum())) * parts + part + 1
+        place += int(often.sum())
+        words = [k.split(_CUT) for k in keys.dictionary.filter(pa.array(often)).to_pylist()]
+        none = lambda kind: pa.nulls(len(words), kind)
+        yield pa.RecordBatch.from_arrays([
+            none(pa.int64()), none(pa.int32()), pa.array(ids[often]),
+            pa.array([lang for lang, _ in words], pa.binary()).cast(pa.string()),
+            pa.array([word for _, word in words], pa.binary()).cast(pa.string()),
+            pa.array(total[often])], schema=_WORD_SCHEMA)
+        of_row = ids[run]
+        keep = pa.array(of_row > 0)
+        count = int((of_row > 0).sum())
+        yield pa.RecordBatch.from_arrays([
+            rows["block"].filter(keep).combine_chunks(), rows["local"].filter(keep).combine_chunks(),
+            pa.array(of_row[of_row > 0]), *[pa.nulls(count, f.type) for f in list(_WORD_SCHEMA)[3:]]],
+            schema=_WORD_SCHEMA)
+
+    for batch in batches:
+        new = pa.Table.from_batches([batch])
+        if not new.num_rows:
+            continue
+        held = new if held is None else pa.concat_tables([held, new])
+        last = pc.equal(batch["key"], batch["key"][-1])
+        complete = held.num_rows - int(pc.sum(last).as_py())
+        if complete > 0 and held["key"][complete - 1] != held["key"][-1]:
+            yield from numbered(held.slice(0, complete))
+            held = held.slice(complete)
+    if held is not None:
+        yield from numbered(held)
 
 
 # Shards ----------------------------------------------------------------------------------------
 
-def _translate(words: pa.Table, grams: pa.Table, g: int, shard_bits: int) -> pa.Table:
-    """Slices of one block's filter, in the numbers of all blocks; rare words' n-grams go."""
-    if not words.num_rows or not grams.num_rows:
+def _gram_places(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where n-grams of two and three words begin."""
+    word = numbers > 0
+    two = word[:-1] & word[1:]
+    return np.flatnonzero(two), np.flatnonzero(two[:-1] & word[2:])
+
+
+def _count_block(words: pa.Table, sequence: pa.Table, g: int, shard_bits: int) -> pa.Table:
+    """Slices of the filter of one block's n-grams; what has a rare word in it goes."""
+    if not words.num_rows or not sequence.num_rows:
         return _SLICE_SCHEMA.empty_table()
-    data = grams["grams"][0].as_py()
-    halves, counts = read_filter(data)
-    bits = int(np.frombuffer(data, "<u8", 5)[3])
-    local_g = bits * 2 // 3  # the g that makes halves of these bits, or the one above
-    if half_bits(local_g) != bits:
-        raise ValueError("halves of no word size")
-    numbers = unpack(permute(halves, bits, back=True), local_g)
-    ids = np.zeros(1 << local_g, np.int64)
+    numbers = read_numbers(sequence["numbers"][0].as_py())
+    ids = np.zeros(int(numbers.max(initial=0)) + 1, np.int64)
     ids[words["local"].to_numpy()] = words["id"].to_numpy()
-    w1, w2, w3 = (ids[n] for n in numbers)
-    keep = (w1 > 0) & (w2 > 0) & ((w3 > 0) | (numbers[2] == 0))
+    numbers = ids[numbers]
+    two, three = _gram_places(numbers)
+    at = np.concatenate([two, three])
+    third = np.concatenate([np.zeros(len(two), np.int64), numbers[three + 2]])
     bits = half_bits(g)
-    halves, counts = merged(permute(pack([w[keep] for w in (w1, w2, w3)], g), bits), counts[keep], bits)
+    halves, counts = merged(packed_permuted([numbers[at], numbers[at + 1], third], g), None, bits)
+    del at, two, three, third
     rest = bits - shard_bits
     shards = (halves[0] >> np.uint64(rest)).astype(np.int64)
     high = halves[0] & np.uint64((1 << rest) - 1)
@@ -306,7 +386,7 @@ def _merge_shard(slices: pa.Table, g: int, shard_bits: int, least: int) -> pa.Ta
     for data in slices["grams"]:
         held.append(read_filter(data.as_py()))
         size += len(held[-1][1])
-        if size > 2 * SHARD_ENTRIES:
+        if size > SHARD_ENTRIES:
             held = [together()]
             size = len(held[0][1]) // 2  # wait until as much again has come
     (high, low), counts = together()
@@ -319,17 +399,6 @@ def _merge_shard(slices: pa.Table, g: int, shard_bits: int, least: int) -> pa.Ta
 
 # The operator ----------------------------------------------------------------------------------
 
-def _numbered(words: DataFrame) -> DataFrame:
-    """``words`` with gapless numbers from 1 on: places in stored partitions, and an offset of each."""
-    placed = stored(words.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id()
-                                 .bitwiseAND(F.lit((1 << 33) - 1)).alias("place")), "words")
-    # One row per partition.
-    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
-    offsets = sizes.select("part", (F.sum("rows").over(W.orderBy("part")) - F.col("rows")).alias("offset"))
-    return stored(lookup_join(placed, stored(offsets, "word-offsets"), "part").select(
-        *words.columns, (F.col("offset") + F.col("place") + 1).alias("id")), "dictionary")
-
-
 def _score(a: Column, left: Column, right: Column) -> Column:
     """floor(1000000 a a / (l r)), exact below 10^15 occurrences."""
     exact = [c.cast("decimal(15,0)") for c in (a, left, right)]
@@ -345,22 +414,28 @@ def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     small_batches(spark)
     texts = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"),
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
-    blocks = stored(texts.mapInArrow(lambda b: _count_blocks(b, block_words), _BLOCKS), "phrase-blocks")
-    words = blocks.filter("local is not null").select("block", "local", "lang", "word", "n")
-    totals = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    dictionary = _numbered(words.groupBy("lang", "word").agg(F.sum("n").alias("f"))
-                           .filter(F.col("f") >= least))
-    g = max(1, dictionary.count().bit_length())
-    entries = blocks.agg(F.sum("entries")).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // SHARD_ENTRIES))
-    shard_bits = min(half_bits(g), (shards - 1).bit_length())
-    found = words.select("block", "local", "lang", "word").join(
-        dictionary.select("lang", "word", "id"), ["lang", "word"]).select("block", "local", "id")
-    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "100000"}):
-        slices = found.groupBy("block").cogroup(
-            blocks.filter("grams is not null").select(F.col("block").alias("of_block"), "grams")
-            .groupBy("of_block")
-        ).applyInArrow(lambda w, b: _translate(w, b, g, shard_bits), "shard int, grams binary")
+    with settings(spark, {"spark.sql.parquet.compression.codec": "zstd"}):
+        blocks = stored(texts.mapInArrow(lambda b: _number_blocks(b, block_words), _BLOCKS),
+                        "phrase-blocks")
+    languages = blocks.filter("local is null and key is not null")
+    totals = stored(languages.groupBy(F.col("key").cast("string").alias("lang"))
+                    .agg(F.sum("n").alias("n")), "phrase-totals")
+    occurrences = totals.agg(F.sum("n")).first()[0] or 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "100000",
+                          "spark.sql.parquet.compression.codec": "zstd"}):
+        words = stored(
+            blocks.filter("local is not null").select("block", "local", "key", "n")
+            .repartition(parts, "key").sortWithinPartitions("key")
+            .mapInArrow(lambda b: _number_words(b, least, parts), _WORDS), "phrase-words")
+        dictionary = words.filter("word is not null").select("lang", "word", "f", "id")
+        g = max(1, (dictionary.agg(F.max("id")).first()[0] or 0).bit_length())
+        shards = max(parts, -(-2 * occurrences // SHARD_ENTRIES))
+        shard_bits = min(half_bits(g), (shards - 1).bit_length())
+        sequences = blocks.filter("numbers is not null").select(F.col("block").alias("of_block"), "numbers")
+        slices = words.filter("word is null").select("block", "local", "id").groupBy("block").cogroup(
+            sequences.groupBy("of_block")
+        ).applyInArrow(lambda w, b: _count_block(w, b, g, shard_bits), "shard int, grams binary")
         ngrams = stored(slices.groupBy("shard").applyInArrow(
             lambda s: _merge_shard(s, g, shard_bits, least),
             "w1 long, w2 long, w3 long, a long"), "phrase-counts")
