@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm.shingles import SHINGLE_WORDS, shingle_hashes, shingle_texts, words
-from caseloom.llm.tables import stored
+from caseloom.llm.tables import fresh, quoted, row_key, stored
 
 THRESHOLD = 0.75
 
@@ -95,7 +95,12 @@ def find_contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
     )
 
 
-def clean_documents(docs: DataFrame, found: DataFrame, identifier: str = "doc_id") -> DataFrame:
-    """Documents in which no item was found, with all their columns."""
-    bad = found.select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs[identifier].eqNullSafe(bad["__bad"]), "left_anti")
+def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
+                    identifier: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Rows of ``docs`` in which no item is found, with all their columns. A row goes by its own text:
+    others with its identifier, or without one, stay."""
+    key = fresh(docs, "row_key")
+    keyed = docs.withColumn(key, row_key(F.col(identifier), F.col(text)))
+    found = find_contained(keyed, items, threshold, key, text, **options)
+    bad = stored(found.select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return keyed.join(bad, key, "left_anti").select(*[F.col(quoted(c)) for c in docs.columns])

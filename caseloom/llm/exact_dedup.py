@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseloom.llm.tables import ascii_lower, settings, stored
+from caseloom.llm.tables import ascii_lower, fresh, quoted, settings, stored
 from caseloom.session import scratch_path
 
 _LANDED = T.StructType([
@@ -133,13 +133,15 @@ def streaming_dedup(docs: DataFrame, identifier: str = "doc_id", text: str = "te
 
 def keep_documents(docs: DataFrame, judged: DataFrame, identifier: str = "doc_id",
                    text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose document stays, each once, with all their columns."""
+    """Rows of ``docs`` whose document stays, each once, with all their columns, whatever their
+    names are."""
     key = lambda i, d: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("~")), d)
+    of_row, copies = fresh(docs, "document_key"), fresh(docs, "document_copies")
     stay = judged.filter("kept").select(
-        key(F.col("doc_id"), F.col("digest")).alias("__key"), F.col("copies").alias("__copies"))
-    keyed = docs.withColumn("__key", key(F.col(identifier), sha256(normalised(F.col(text)))))
-    joined = keyed.join(stay, "__key")
-    kept = joined.filter("__copies = 1")
-    if not stay.filter("__copies > 1").isEmpty():
-        kept = kept.unionByName(joined.filter("__copies > 1").dropDuplicates(["__key"]))
-    return kept.select(*[F.col(c) for c in docs.columns])
+        key(F.col("doc_id"), F.col("digest")).alias(of_row), F.col("copies").alias(copies))
+    keyed = docs.withColumn(of_row, key(F.col(identifier), sha256(normalised(F.col(text)))))
+    joined = keyed.join(stay, of_row)
+    kept = joined.filter(F.col(copies) == 1)
+    if not stay.filter(F.col(copies) > 1).isEmpty():
+        kept = kept.unionByName(joined.filter(F.col(copies) > 1).dropDuplicates([of_row]))
+    return kept.select(*[F.col(quoted(c)) for c in docs.columns])

@@ -51,7 +51,8 @@ from xxhash import xxh64_intdigest
 
 from caseloom.llm.components import components
 from caseloom.llm.shingles import SHINGLE_WORDS
-from caseloom.llm.tables import stored
+from caseloom.llm.tables import fresh, quoted, row_key, stored
+from caseloom.operators.joins import lookup_join
 
 #: Counters of hashed shingles: 4 MB, whatever the corpus. More keep the lists shorter on more data.
 COUNTERS = 1 << 20
@@ -67,7 +68,7 @@ _LARGEST_LIGHT = 16
 _ENTRY_COST = 8
 #: Words that are hashed together.
 _TOGETHER = 200_000
-_SET = "doc_id long, n int, sid long, bitmap binary, slice int, counts binary"
+_SET = "doc_id long, key binary, n int, sid long, bitmap binary, slice int, counts binary"
 _ENTRY = "key long, sid long, n int, other int, place int"
 _MEMBER = "sid long, shingles array<bigint>"
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -153,8 +154,9 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Size, class and bitmap of each document, and at the end the counts of hashed shingles."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("sid", pa.int64()),
-                        ("bitmap", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n", pa.int32()),
+                        ("sid", pa.int64()), ("bitmap", pa.binary()), ("slice", pa.int32()),
+                        ("counts", pa.binary())])
     counters = np.zeros(size, np.int64)
     for batch in batches:
         sizes, classes, bitmaps, parts = [], [], [], [np.zeros(0, np.uint64)]
@@ -166,13 +168,13 @@ def _describe(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
         counters += np.bincount(np.concatenate(parts).view(np.int64), minlength=size)
         missing = pa.nulls(len(sizes))
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()),
+            [batch["doc_id"], batch["key"], pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()),
              pa.array(bitmaps, pa.binary()), missing.cast(pa.int32()), missing.cast(pa.binary())],
             schema=schema)
     missing = pa.nulls(_SLICES)
     yield pa.RecordBatch.from_arrays(
-        [missing.cast(pa.int64()), missing.cast(pa.int32()), missing.cast(pa.int64()),
-         missing.cast(pa.binary()), *_sliced(np.minimum(counters, 2**32 - 1).astype("<u4"))], schema=schema)
+        [missing.cast(pa.int64()), missing.cast(pa.binary()), missing.cast(pa.int32()),
+         missing.cast(pa.int64()), missing.cast(pa.binary()), *_sliced(np.minimum(counters, 2**32 - 1).astype("<u4"))], schema=schema)
 
 
 def _merged(sliced: DataFrame, kind: str, size: int, merge) -> np.ndarray:
@@ -392,15 +394,15 @@ def _verified(pairs: DataFrame, described: DataFrame, texts: DataFrame,
     ).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def jaccard_components(docs: DataFrame, identifier: str = "doc_id", text: str = "text",
-                       counters: int = COUNTERS, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row. ``counters`` and ``filter_bits`` are powers of
-    two, 512 at least; they change the cost only."""
+def _linked(docs: DataFrame, identifier: str, text: str, counters: int, filter_bits: int,
+            key: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, key, n, sid), and the root of each class that is linked and no root (node, root)."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(identifier).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    texts = docs.select(F.col(identifier).cast("long").alias("doc_id"), key.alias("key"),
+                        F.col(text).alias("text"))
     described = stored(texts.mapInArrow(lambda b: _describe(b, counters), _SET), "shingle-sets")
     bitmaps = described.filter("slice is null and n > 0")
-    rows = described.filter("slice is null").select("doc_id", "n", "sid")
+    rows = described.filter("slice is null").select("doc_id", "key", "n", "sid")
     shared_counters = spark.sparkContext.broadcast(
         _merged(described.filter("slice is not null"), "<u4", counters, _add))
     sizes = {r["n"]: r["sets"] for r in rows.filter(
@@ -415,23 +417,50 @@ def jaccard_components(docs: DataFrame, identifier: str = "doc_id", text: str =
         F.col("sid").alias("u"), F.col("last_sid").alias("v"))
     lists = shared.filter("other = 0").drop("other")
 
-    links = stored(_verified(_met(lists, boundary), bitmaps, texts, filter_bits).unionByName(light), "first-links")
-    roots = components(links)
+    met = _verified(_met(lists, boundary), bitmaps, texts, filter_bits)
+    roots = components(stored(met.unionByName(light), "first-links"))
     more = _verified(_across(lists, roots, boundary), bitmaps, texts, filter_bits)
     closing = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)
-    final = components(closing)
-
-    of_class = rows.groupBy("sid", "n").agg(F.min("doc_id").alias("low")).join(
-        final.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "sid", "n", "low", F.coalesce("root", "sid").alias("root"))
-    smallest = of_class.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = of_class.join(smallest, "root").select(
-        F.col("sid").alias("class"), F.col("n").alias("size"), "component_id")
+    return rows, components(closing)
+
+
+def _named(rows: DataFrame, roots: DataFrame, least: Column) -> DataFrame:
+    """Per class (class, size) the smallest ``least`` of the rows in its component, as ``first``."""
+    classes = rows.filter("n > 0").groupBy("sid", "n").agg(F.min(least).alias("low"))
+    of_class = stored(classes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
+        F.col("sid").alias("class"), F.col("n").alias("size"), "low",
+        F.coalesce("root", "sid").alias("root")), "set-classes")
+    first = stored(of_class.groupBy("root").agg(F.min("low").alias("first")), "set-components")
+    return lookup_join(of_class, first, "root").select("class", "size", "first")
+
+
+def jaccard_components(docs: DataFrame, identifier: str = "doc_id", text: str = "text",
+                       counters: int = COUNTERS, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row. ``counters`` and ``filter_bits`` are powers of
+    two, 512 at least; they change the cost only."""
+    rows, roots = _linked(docs, identifier, text, counters, filter_bits, F.lit(None).cast("binary"))
+    named = _named(rows, roots, F.col("doc_id"))
     wordless = F.col("n") == 0
     return rows.filter(wordless).select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")
     ).unionByName(
         rows.filter(~wordless).join(named, (F.col("sid") == F.col("class"))
                                     & (F.col("n") == F.col("size")))
-        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("first").alias("component_id"))
     )
+
+
+def one_of_each(docs: DataFrame, identifier: str = "doc_id", text: str = "text",
+                counters: int = COUNTERS, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``docs`` without near copies, with all their columns: of each component the row with the
+    smallest identifier stays, null being larger than all, ties by a digest of identifier and text.
+    Rows that repeat both go or stay together; rows without words stay."""
+    key = fresh(docs, "row_key")
+    keyed = docs.withColumn(key, row_key(F.col(identifier), F.col(text)))
+    rows, roots = _linked(keyed, identifier, text, counters, filter_bits, F.col(key))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
+    named = _named(rows, roots, order)
+    gone = stored(rows.filter("n > 0").join(
+        named, (F.col("sid") == F.col("class")) & (F.col("n") == F.col("size"))
+    ).filter(F.col("key") != F.col("first.key")).select(F.col("key").alias(key)).distinct(), "near-copies")
+    return keyed.join(gone, key, "left_anti").select(*[F.col(quoted(c)) for c in docs.columns])

@@ -23,6 +23,27 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it whole, dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_key(identifier: Column, text: Column) -> Column:
+    """128 bits that tell rows apart by identifier and whole text, nulls included."""
+    said = F.concat(F.coalesce(identifier.cast("string"), F.lit("~")),
+                    F.when(text.isNull(), F.lit(":0")).otherwise(F.lit(":1")),
+                    F.coalesce(text, F.lit("")))
+    return F.unhex(F.substring(F.sha2(F.encode(said, "utf-8"), 256), 1, 32))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
