@@ -3,16 +3,17 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes what a stage returns
 to the shared folder and reads it back as the documents of the next.
 
-1. language: documents without a letter in them, and long ones that cost more in their cheapest
-   language than chance letters of its own, go;
+1. language: documents without a letter in them, and those that cost more in their cheapest language
+   than chance letters of its own and two phrases (which is little for long texts, much for a word), go;
 2. exact_duplicates: of equal texts (A-Z lower-cased) the largest identifier stays;
 3. near_duplicates: of documents connected by links of 0.75 or more, the smallest identifier stays;
 4. decontamination: documents that hold a benchmark item go;
 5. packing: what is left is packed into bins of 2048 words.
 
-All stages but the last return the columns of documents. Defined results: rows with null identifier
-or text are judged like others; in stage 3 documents without words, and those without identifier,
-stay; repeated rows are one document from stage 2 on; empty tables pass through.
+All stages but the last return the columns of documents, whatever names more of them have. Defined
+results: every row is judged by its own text: of rows with one identifier and different texts, and of
+rows without identifier, some may go and others stay; in stage 3 null is larger than all identifiers, and
+documents without words stay; repeated rows are one document from stage 2 on; empty tables pass through.
 """
 
 from __future__ import annotations
@@ -22,31 +23,31 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.decontaminate import clean_documents, find_contained
+from caseloom.llm.decontaminate import clean_documents
 from caseloom.llm.exact_dedup import keep_documents, streaming_dedup
-from caseloom.llm.jaccard_join import jaccard_components
+from caseloom.llm.jaccard_join import one_of_each
 from caseloom.llm.language import UNKNOWN, language_of, train
 from caseloom.llm.packing import pack
 from caseloom.llm.queries import PACK_TOKENS, with_pack_columns
-from caseloom.llm.tables import small_batches, stored, table
-
-#: Shorter texts are not rejected by their cost, which means little for a few letters.
-JUDGED_CHARS = 200
+from caseloom.llm.tables import fresh, quoted, small_batches, stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what is in no language."""
     small_batches(spark)
     model = train(docs)
-    chance = F.create_map(*[F.lit(x) for lang, letters in zip(model.languages, model.letters)
-                            for x in (lang, math.log2(letters + 2))])
-    judged = docs.withColumn("__language", language_of(spark, model, F.col("text")))
-    readable = (F.col("__language.lang") != UNKNOWN) & (
-        (F.char_length("text") < JUDGED_CHARS)
-        | (F.col("__language.bits") <= F.element_at(chance, F.col("__language.lang"))))
+    judged = fresh(docs, "judged")
+    told = docs.withColumn(judged, language_of(spark, model, F.col("text")))
     if not model.languages:  # nothing was learned, so nothing can be told apart
         readable = F.col("text").rlike(r"\p{L}")
-    return judged.filter(readable).drop("__language")
+    else:
+        bits = {lang: math.log2(letters + 2) for lang, letters in zip(model.languages, model.letters)}
+        phrase = dict(zip(model.languages, model.log_lengths.tolist()))
+        chance, two = (F.element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]),
+                                    F.col(f"{judged}.lang")) for known in (bits, phrase))
+        readable = (F.col(f"{judged}.lang") != UNKNOWN) & (
+            F.col(f"{judged}.bits") <= chance + 2 * two / F.col(f"{judged}.symbols"))
+    return told.filter(readable).select(*[F.col(quoted(c)) for c in docs.columns])
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,16 +56,14 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document that its component is named after."""
+    """Keep one document of each component of near copies."""
     small_batches(spark)
-    gone = stored(jaccard_components(docs).filter("doc_id <> component_id")
-                  .select(F.col("doc_id").alias("__gone")), "near-duplicates")
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
-    return clean_documents(docs, find_contained(docs, table(spark, sf_dir, "benchmark")))
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
