@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import corpus_pipeline
@@ -66,6 +67,97 @@ def test_letters_of_another_language_do_not_raise_the_limit(spark):
     assert {*range(30), 200} <= kept and 201 not in kept
 
 
+def stage(spark, name, rows, root, schema=SCHEMA):
+    """What a stage leaves of rows (doc_id, text)."""
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows] if schema is SCHEMA else rows, schema)
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, root)
+    assert out.columns == docs.columns
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+
+
+def plain_exact(rows):
+    low = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+    order = lambda r: (r[0] is not None, r[0] or 0)
+    best = {}
+    for r in rows:
+        if low(r[1]) not in best or order(r) > order(best[low(r[1])]):
+            best[low(r[1])] = r
+    return best
+
+
+def plain_near(rows):
+    """One row of each component of rows with 0.75 or more of their shingles in common."""
+    from tests.llm.test_jaccard_join import shingles
+
+    def key(row):
+        said = ("~" if row[0] is None else str(row[0])) + (":0" if row[1] is None else ":1") + (row[1] or "")
+        return hashlib.sha256(said.encode()).digest()[:16]
+
+    sets = [shingles(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]):
+                group = [group[b] if g == group[a] else g for g in group]
+    best = {}
+    for k, row in enumerate(rows):
+        rank = (row[0] is None, row[0] or 0, key(row))
+        if k not in best.setdefault(group[k], []) and (not best[group[k]] or rank < best[group[k]][0]):
+            best[group[k]] = [rank, row]
+    return sorted((row for _, row in best.values()), key=repr)
+
+
+def test_rows_that_share_an_identifier_or_have_none(spark, planted):
+    root, clean = planted
+    draw = random.Random(5)
+    item = spark.read.parquet(f"{root}/benchmark.parquet").filter("item_id = 1").first().text
+
+    def edited(text):
+        w = text.split()
+        w[len(w) // 2] = "changed"
+        return " ".join(w)
+
+    a, b, c, d = (sentence(draw, 60) for _ in range(4))
+    rows = [(3, a), (7, edited(a)), (7, b), (7, edited(b)), (None, c), (None, edited(c)), (None, d),
+            (8, edited(c) + " end"), (9, None), (None, ""), (5, clean[0]), (5, "few words"), (6, "few words")]
+    assert stage(spark, "near_duplicates", rows, root) == plain_near(rows)
+    assert (7, b) in plain_near(rows) or (7, edited(b)) in plain_near(rows)
+
+    dirty = f"{clean[1]} {item}"
+    rows = [(None, clean[2]), (None, dirty), (7, dirty), (7, clean[3]), (8, clean[4]), (9, None)]
+    assert stage(spark, "decontamination", rows, root) == sorted(
+        [r for r in rows if r[1] != dirty], key=repr)
+
+    rows = [(1, "A b"), (None, "a b"), (1, "c"), (None, "c"), (None, "C"), (None, "d"), (2, "d"), (2, "d"),
+            (3, None), (1, ""), (7, "x"), (7, "y"), (7, "Y")]
+    kept = stage(spark, "exact_duplicates", rows, root)
+    assert {(i, (t or "").lower()) for i, t in kept} == {
+        (r[0], text) for text, r in plain_exact(rows).items()}
+
+    rows = [(1, clean[1]), (1, "123"), (None, clean[2]), (None, "!"), (None, None)] + [
+        (10 + k, t) for k, t in clean.items()]
+    assert stage(spark, "language", rows, root) == sorted(
+        [r for r in rows if r[1] in clean.values()], key=repr)
+
+
+def test_columns_of_any_name(spark, planted):
+    root, clean = planted
+    names = ["a.b", "row_key", "judged", "document_key", "document_copies", "__key", "found", "lang_"]
+    schema = SCHEMA + "".join(f", `{n}` string" for n in names)
+    rows = [(k, t, "en", "s", 1, *[f"{k}{n}" for n in names]) for k, t in clean.items()]
+    for name, _ in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, name, rows, root, schema) == sorted(clean.items(), key=repr)
+
+
+def test_short_texts_are_judged_by_the_same_rule(spark, planted):
+    root, clean = planted
+    rows = [(k, t, "en", "s", 1, 0) for k, t in clean.items()] + [
+        (k, t, None, "s", 1, 0) for k, t in [(100, "hero"), (101, "a"), (102, "one tin hat"),
+                                             (200, "qzx" * 200)]]
+    kept = {i for i, _ in stage(spark, "language", rows, root, SCHEMA + ", more int")}
+    assert {100, 101, 102, *clean} <= kept and 200 not in kept
+
+
 def test_empty_tables_pass_through(spark):
     root = scratch_path(spark, "pipeline-empty")
     spark.createDataFrame([], SCHEMA).write.parquet(f"{root}/documents.parquet")
