@@ -7,6 +7,7 @@ sheets, are grouped by their header or schema, so no file lends its columns to a
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -21,18 +22,20 @@ from pyspark.sql import types as T
 
 from caseloom.operators.joins import lookup_join
 from caseloom.session import scratch_path
+from caseloom.sources.csv_splits import (
+    is_splittable, list_files, put_together, read_header, records,
+)
 from caseloom.sources.files import data_files, partition_folders, path_exists
 
 POSITION = "row_idx"
-# An empty cell is null, a quoted empty one is the empty string. Cells may hold line breaks, so
-# each file is read by one task.
-_CSV_OPTIONS = {"header": "true", "nullValue": "\\N", "emptyValue": "", "escape": '"',
+# An empty cell is null, a quoted empty one is the empty string. Cells may hold line breaks.
+_CSV_OPTIONS = {"nullValue": "\\N", "emptyValue": "", "escape": '"',
                 "multiLine": "true"}
 CSV_WRITE_OPTIONS = {
     "header": "true", "nullValue": "", "emptyValue": '""', "escape": '"',
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
-_FILE, _AT = "__file", "__at"
+_FILE, _AT, _PART, _TEXT = "__file", "__at", "__part", "__text"
 
 
 @contextmanager
@@ -56,38 +59,64 @@ def list_sheets(spark: SparkSession, root: str, exclude: Sequence[str] = ()) ->
 
 
 def _reader(spark: SparkSession, fmt: str, root: str):
-    reader = spark.read.format(fmt).option("basePath", root)
-    return reader.options(**_CSV_OPTIONS) if fmt == "csv" else reader
+    return spark.read.format(fmt).option("basePath", root)
 
 
-def _column_names(header: str, file: str) -> list[str]:
-    """Names in a header line; empty and repeated ones are told apart by their place."""
-    if header.count('"') % 2:
-        raise ValueError(f"the header of {file} goes over several lines")
+def _column_names(header: str) -> list[str]:
+    """Names in a header; empty and repeated ones are told apart by their place."""
     names: list[str] = []
-    for place, name in enumerate(next(csv.reader([header.removeprefix("\ufeff")]))):
+    for place, name in enumerate(next(csv.reader(io.StringIO(header, newline="")))):
         taken = {n.lower() for n in names}
         names.append(name if name and name.lower() not in taken else f"{name or '_c'}{place}")
     return names
 
 
-def _csv_scans(spark: SparkSession, root: str, files: Sequence[str]) -> list[DataFrame]:
-    """One scan for the files of each header. The headers are found by a job over the files."""
-    lines = spark.read.text(list(files)).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("at"), "value").alias("line"),
-    ).filter(F.col("line.block") == 0).filter(F.length(F.trim("line.value")) > 0)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in lines.groupBy("file").agg(F.min("line")["value"].alias("header")).collect():
-        names = tuple(_column_names(row["header"], row["file"]))
-        groups.setdefault(names, []).append(unquote(row["file"]))
-    return [
-        _reader(spark, "csv", root)
-        .schema(T.StructType([T.StructField(n, T.StringType()) for n in (*names, "sheet")]))
-        .load(sorted(group))
-        for names, group in sorted(groups.items())
-    ]
+def _parsed_csv(spark: SparkSession, root: str, files: Sequence[str]) -> list[DataFrame]:
+    """Cells of CSV files, parsed once into Parquet in the shared folder, with the number of each row's
+    file and its place in the file. The files of each header are one scan.
+
+    Of every file only the header is read first. Files that Spark may split are read twice.
+    """
+    listed = list_files(spark, files)
+    with ThreadPoolExecutor(32) as pool:
+        headers = list(pool.map(lambda f: read_header(spark, f[0]), listed))
+    groups: dict[tuple[tuple[str, ...], bool], dict[int, tuple[int, str]]] = {}
+    for number, ((path, key, length), header) in enumerate(zip(listed, headers)):
+        if header is not None:
+            kind = tuple(_column_names(header)), is_splittable(spark, length)
+            groups.setdefault(kind, {})[key] = number, unquote(path)
+    return [_parsed_group(spark, root, names, large, members)
+            for (names, large), members in sorted(groups.items())]
+
+
+def _parsed_group(spark: SparkSession, root: str, names: Sequence[str], large: bool,
+                  members: dict[int, tuple[int, str]]) -> DataFrame:
+    schema = ", ".join(f"{_quoted(n)} string" for n in names)
+    cells = F.from_csv("record", schema, _CSV_OPTIONS)
+    found = records(spark, root, [path for _, path in members.values()],
+                    {key: number for key, (number, _) in members.items()}, large)
+    body = found.filter("at >= 0")  # without headers
+    path = scratch_path(spark, "parsed-sheets")
+    body.select(
+        F.when(F.col("whole"), cells).alias("cells"), F.col("file").alias(_FILE), F.col("at").alias(_AT),
+        F.col("part").alias(_PART), F.when(~F.col("whole"), F.col("record")).alias(_TEXT), "sheet",
+    ).write.partitionBy("sheet").parquet(path)
+    kept = spark.read.schema(
+        f"cells struct<{schema.replace(' string', ': string')}>, {_FILE} int, {_AT} long, {_PART} long, "
+        f"{_TEXT} string, sheet string").parquet(path)
+    place = [F.col(f"cells.{_quoted(n)}").alias(n) for n in names] + ["sheet", _FILE, _AT]
+    whole = kept.filter(F.col(_TEXT).isNull()).select(*place)
+    if not large:
+        return whole
+    pieces = kept.filter(F.col(_TEXT).isNotNull()).select(
+        F.col(_FILE).alias("file"), F.col(_AT).alias("at"), F.col(_PART).alias("part"),
+        F.col(_TEXT).alias("record"), "sheet")
+    return whole.unionByName(put_together(pieces).select(
+        cells.alias("cells"), F.col("file").alias(_FILE), F.col("at").alias(_AT), "sheet").select(*place))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _typed_scans(spark: SparkSession, fmt: str, root: str,
@@ -109,10 +138,10 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _with_place(scan: DataFrame, fmt: str) -> DataFrame:
+def _with_place(scan: DataFrame) -> DataFrame:
     """Text columns with the file of each row and its place in the order of the file."""
-    at = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
-    placed = scan.select("*", F.col("_metadata.file_path").alias(_FILE), at.alias(_AT))
+    placed = scan.select("*", F.col("_metadata.file_path").alias(_FILE),
+                         F.col("_metadata.row_index").alias(_AT))
     return stringify(placed, keep=(_AT,))
 
 
@@ -154,8 +183,8 @@ def scan_sheets(spark: SparkSession, root: str, fmt: str = "parquet",
 
     Files of the same header share one scan; columns are aligned by name and absent ones are null.
     Excluded sheets are not even opened; with nothing left, or only empty files, the frame is empty.
-    ``position`` names a source column that already holds the row position. Without it, CSV is
-    parsed once into Parquet in the shared folder, since only stored rows have a place that lasts.
+    ``position`` names a source column that already holds the row position. CSV is parsed once into
+    Parquet in the shared folder, large files by many tasks each.
     """
     sheets = list_sheets(spark, root, exclude)
     if only is not None:
@@ -166,20 +195,15 @@ def scan_sheets(spark: SparkSession, root: str, fmt: str = "parquet",
     scans: list[DataFrame] = []
     if files:
         with _text_partitions(spark):
-            scans = (_csv_scans(spark, root, files) if fmt == "csv"
+            scans = (_parsed_csv(spark, root, files) if fmt == "csv"
                      else _typed_scans(spark, fmt, root, files))
     if not scans:
         return spark.createDataFrame([], f"sheet string, {POSITION} long")
     if position is not None:
-        named = [stringify(scan.withColumnRenamed(position, POSITION)) for scan in scans]
+        named = [stringify(scan.drop(_FILE, _AT).withColumnRenamed(position, POSITION))
+                 for scan in scans]
         return _union(named).withColumn(POSITION, F.col(POSITION).cast("long"))
-    placed = _union([_with_place(scan, fmt) for scan in scans])
-    if fmt != "parquet":
-        path = scratch_path(spark, "parsed-sheets")
-        placed.write.partitionBy("sheet").parquet(path)
-        with _text_partitions(spark):
-            placed = spark.read.schema(placed.schema).parquet(path)
-    return _numbered(placed)
+    return _numbered(_union(scans if fmt == "csv" else [_with_place(scan) for scan in scans]))
 
 
 def write_sheets(df: DataFrame, root: str, fmt: str = "parquet") -> None:

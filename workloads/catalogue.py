@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from caseloom.functions.text import default_name, strip, title_case
 from caseloom.operators import quality
 from caseloom.operators.canonical import canonicalise
 from caseloom.operators.constraints import (
-    Column, Table, column_violations, foreign_key_violations, unique_violations,
+    Column as DeclaredColumn, Table, column_violations, foreign_key_violations, unique_violations,
     violations,
 )
 from caseloom.operators.dedupe import drop_unidentified
@@ -170,15 +170,35 @@ def scan_mixed_types(spark, sf_dir):
     return scan_sheets(spark, root, position="row_idx")
 
 
+def _told_in_lines() -> Column:
+    return F.concat(F.lit('said "'), "STATUS", F.lit('",\n\nthen\r\nrang'))
+
+
 @query
 def scan_multiline_cells(spark, sf_dir):
     """Line breaks and quotes inside cells."""
     root = scratch_path(spark, SOURCE_FILE)
-    told = F.concat(F.lit('said "'), "STATUS", F.lit('",\n\nthen\r\nrang'))
-    deliver(bronze(spark, sf_dir).withColumn("DETAILS OF COMPLAINT", told), root, "csv")
+    rows = bronze(spark, sf_dir).withColumn("DETAILS OF COMPLAINT", _told_in_lines())
+    deliver(rows, root, "csv")
     return scan_sheets(spark, root, "csv", position="row_idx")
 
 
+@query
+def scan_large_csv(spark, sf_dir):
+    """All rows as one file with line breaks in cells, read in splits far smaller than the file."""
+    root = scratch_path(spark, SOURCE_FILE)
+    rows = bronze(spark, sf_dir).withColumn("DETAILS OF COMPLAINT", _told_in_lines())
+    one = rows.sort("sheet", "row_idx").withColumnsRenamed({"sheet": "ORIGIN", "row_idx": "PLACE"})
+    write_sheets(one.withColumn("sheet", F.lit("ALL")).coalesce(1), root, "csv")
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "200k")
+    try:
+        return scan_sheets(spark, root, "csv")
+    finally:
+        spark.conf.set(size, before)
+
+
 @query
 def empty_sheets_skipped(spark, sf_dir):
     """A sheet of an empty file gives no rows, and a source of nothing else is no change."""
@@ -741,8 +761,8 @@ def ck_length(spark, sf_dir):
     """Declared lengths of the client table, and tighter ones that some values exceed."""
     people = client(spark, sf_dir)
     tight = Table("tight", (
-        Column("phoneNumber2", T.StringType(), max_length=12),
-        Column("region", T.StringType(), max_length=12),
+        DeclaredColumn("phoneNumber2", T.StringType(), max_length=12),
+        DeclaredColumn("region", T.StringType(), max_length=12),
     ))
     return column_violations(people, CLIENT, ["length"]).unionByName(
         column_violations(people, tight, ["length"])

@@ -49,6 +49,10 @@ CHECKS: dict[str, str] = {
     "scan_multiline_cells": _with(_BRONZE, """select * replace (
         'said "' || "STATUS" || '",' || chr(10) || chr(10) || 'then' || chr(13) || chr(10) || 'rang'
           as "DETAILS OF COMPLAINT") from bronze"""),
+    "scan_large_csv": _with(_BRONZE, """select * exclude (sheet, row_idx) replace (
+        'said "' || "STATUS" || '",' || chr(10) || chr(10) || 'then' || chr(13) || chr(10) || 'rang'
+          as "DETAILS OF COMPLAINT"), sheet as "ORIGIN", row_idx::varchar as "PLACE", 'ALL' as sheet,
+        row_number() over (order by sheet, row_idx) - 1 as row_idx from bronze"""),
     "empty_sheets_skipped": _with(_BRONZE, """select sheet, count(*) as n,
         0::bigint as rows_of_empty, 0::bigint as changed_in_empty from bronze group by sheet"""),
     "exclude_sheets": _with(_BRONZE, f"select * from bronze where sheet <> '{EXCLUDED_SHEET}'"),
