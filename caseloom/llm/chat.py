@@ -20,6 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Pieces whose lengths are added up together, and code points that are cut out together: work grows in
+#: proportion to a conversation, not with its square.
+_PIECES, _BLOCK = 256, 4096
+
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 
 
@@ -39,6 +43,30 @@ def _unescape_role(role: Column) -> Column:
     return _unescape(F.replace(role, F.lit("\\n"), F.lit("\n")))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, the value being computed once however often and wherever it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(numbers: Column) -> Column:
+    """Sum of all numbers before each one. The array grows by copies, so it must be short."""
+    done = F.aggregate(
+        numbers, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("sums")),
+        lambda done, n: F.struct((done["at"] + n).alias("at"),
+                                 F.array_append(done["sums"], done["at"]).alias("sums")))
+    return done["sums"]
+
+
+def _starts(lengths: Column) -> Column:
+    """Sum of all lengths before each one: within groups of pieces, and over the groups."""
+    count = F.ceil(F.size(lengths) / F.lit(_PIECES)).cast("int")
+    groups = F.transform(F.sequence(F.lit(0), count - 1),
+                         lambda k: F.slice(lengths, k * _PIECES + 1, F.lit(_PIECES)))
+    total = lambda group: F.aggregate(group, F.lit(0).cast("long"), lambda s, n: s + n)
+    return _let(groups, lambda g: _let(_running(F.transform(g, total)), lambda before: F.flatten(
+        F.transform(g, lambda group, k: F.transform(_running(group), lambda at: at + F.get(before, k))))))
+
+
 def _messages(turns: Column) -> Column:
     """Sorted turns -> array of (role, texts), one per run of equal roles.
 
@@ -48,12 +76,12 @@ def _messages(turns: Column) -> Column:
     role_at = lambda i: F.get(turns, i)["role"]
     starts = F.filter(F.sequence(F.lit(0), n - 1),
                       lambda i: (i == 0) | (role_at(i) != role_at(i - 1)))
-    bounds = F.array_append(starts, n)
-    return F.transform(starts, lambda start, k: F.struct(
-        role_at(start).alias("role"),
-        F.transform(F.slice(turns, start + 1, F.get(bounds, k + 1) - start),
-                    lambda t: t["text"]).alias("texts"),
-    ))
+    return _let(F.array_append(starts, n), lambda bounds: F.transform(
+        F.slice(bounds, F.lit(1), F.size(bounds) - 1), lambda start, k: F.struct(
+            role_at(start).alias("role"),
+            F.transform(F.slice(turns, start + 1, F.get(bounds, k + 1) - start),
+                        lambda t: t["text"]).alias("texts"),
+        )))
 
 
 def format_conversations(rows: DataFrame, conversation: str = "conv_id", turn: str = "turn",
@@ -87,21 +115,16 @@ def format_conversations(rows: DataFrame, conversation: str = "conv_id", turn: s
         F.array(F.struct(F.lit(END + "\n").alias("text"), F.lit(False).alias("trained"))),
     )))
     cut = messages.select("conversation", pieces.alias("pieces"))
-    placed = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).cast("long").alias("at"),
-                 F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda done, p: F.struct(
-            (done["at"] + F.char_length(p["text"])).alias("at"),
-            F.when(p["trained"], F.array_append(done["spans"], F.struct(
-                done["at"].alias("start"), F.char_length(p["text"]).cast("long").alias("length"),
-            ))).otherwise(done["spans"]).alias("spans"),
-        ),
-    )
+    lengths = F.transform("pieces", lambda p: F.char_length(p["text"]).cast("long"))
+    spans = _let(lengths, lambda sizes: _let(_starts(sizes), lambda starts: F.transform(
+        F.filter(F.transform(F.col("pieces"), lambda p, i: F.struct(
+            p["trained"].alias("trained"), F.get(starts, i).alias("start"),
+            F.get(sizes, i).alias("length"))), lambda s: s["trained"]),
+        lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))))
     return cut.select(
         F.col("conversation").alias(conversation),
         F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("formatted"),
-        placed["spans"].alias("loss_spans"),
+        spans.alias("loss_spans"),
     )
 
 
@@ -122,6 +145,14 @@ def _read_message(message: Column) -> Column:
 
 
 def read_trained(formatted: Column, spans: Column) -> Column:
-    """Text under the loss mask, unescaped."""
-    return F.array_join(F.transform(spans, lambda s: _unescape(F.substring(
-        formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+    """Text under the loss mask, unescaped. Each span is cut out of the few blocks it lies in."""
+    blocks = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+
+    def text_of(held: Column, span: Column) -> Column:
+        first = F.call_function("div", span["start"], F.lit(_BLOCK)).cast("int")
+        last = F.call_function("div", span["start"] + span["length"], F.lit(_BLOCK)).cast("int")
+        near = F.array_join(F.slice(held, first + 1, last - first + 1), "")
+        return F.substring(near, (span["start"] % _BLOCK + 1).cast("int"), span["length"].cast("int"))
+
+    return _let(blocks, lambda held: F.array_join(
+        F.transform(spans, lambda s: _unescape(text_of(held, s))), ""))

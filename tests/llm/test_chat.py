@@ -61,3 +61,32 @@ def test_long_conversation(spark):
     assert len(got.turns) == 2000
     want = "".join(x for _, _, r, x in rows if r == "assistant")
     assert hashlib.sha256(got.trained.encode()).hexdigest() == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_a_hundred_thousand_turns_in_one_conversation(spark):
+    import time
+
+    count = 100_000
+    rows = spark.range(count).select(
+        F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("é<|text 😀 "), F.col("id").cast("string"), F.lit(" " + "x" * 80)).alias("text"))
+    start = time.time()
+    got = format_conversations(rows).select(
+        F.size(read_turns(F.col("formatted"))).alias("n"), F.size("loss_spans").alias("spans"),
+        F.sha2(F.encode(read_trained(F.col("formatted"), F.col("loss_spans")), "utf-8"), 256).alias("h"),
+    ).first()
+    assert time.time() - start < 60
+    want = "".join(f"é<|text 😀 {k} " + "x" * 80 for k in range(count) if k % 3)
+    assert (got.n, got.spans) == (count, sum(1 for k in range(count) if k % 3))
+    assert got.h == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_spans_at_the_edges_of_blocks(spark):
+    for size in (4082, 4083, 4084, 4085, 8180, 9000):
+        rows = [(1, 0, "assistant", "é" * size), (1, 1, "assistant", ""), (1, 2, "user", "b" * 5000),
+                (1, 3, "assistant", "😀" * 5000), (1, 4, "assistant", "end")]
+        got = read_back(spark, rows)[1]
+        assert got.trained == "é" * size + "😀" * 5000 + "end"
+        assert [got.formatted[s.start:s.start + s.length] for s in got.loss_spans] == [
+            "é" * size, "", "😀" * 5000, "end"]
