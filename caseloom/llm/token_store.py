@@ -2,7 +2,8 @@
 
 Documents are sorted by identifier in ranges, encoded, and gathered into blocks of about
 ``BLOCK_IDS`` ids, each a row of a Parquet table. A block is compressed by Re-Pair: pairs of
-neighbouring symbols that are frequent are replaced by a new symbol, again and again. Stored are the
+neighbouring symbols that are frequent are replaced by a new symbol, again and again, until no pair is
+there ``LEAST_COUNT`` times. Stored are the
 rules (left and right symbol of each new one), the expansion length of each new symbol, the
 remaining symbols, and the number of ids before every ``SYNC``-th symbol. ``read_ids`` finds a place
 by these numbers and expands no more symbols than it needs.
@@ -11,7 +12,7 @@ Each round replaces all pairs that are within a factor of the most frequent one.
 counted in a table of hashed pairs first, then exactly; overlapping places go to the left one.
 
 Encoding splits plain Latin text into the words that the vocabulary's own pattern finds and asks the
-library once per word; texts with other characters, with capitals whose small letter is another
+library's model once per word, in the characters that stand for the bytes of a word; texts with other characters, with capitals whose small letter is another
 character (such as U+018F), or with the strings of special tokens, go to the library whole.
 
 Defined results: a null text is empty and has the end id only; a null identifier sorts first; rows
@@ -45,10 +46,10 @@ SYNC = 256
 FIRST_SYMBOL = 1 << 20
 #: A pair must be there so often to be replaced.
 LEAST_COUNT = 64
-_ROUNDS = 5
 #: Pairs of a round are at most this factor rarer than its most frequent pair.
-_SPAN = 16
-_BUCKETS = 1 << 20
+_SPAN = 256
+_BUCKET_BITS = 17
+#: Words whose ids a worker keeps.
 _CACHED_WORDS = 1_000_000
 
 _BLOCKS = ("part int, block int, doc_ids binary, no_id binary, ends binary, rules binary, "
@@ -62,12 +63,15 @@ _DOC_TYPES = [pa.int32(), pa.int32(), *[pa.int64()] * 4]
 
 def _frequent_pairs(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Places whose pair is frequent, and the pair's number in order of its value."""
-    keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-    hashed = (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
-    counts = np.bincount(hashed.view(np.int64), minlength=_BUCKETS)
+    hashed = symbols[:-1] * np.uint32(0x9E3779B1)
+    hashed += symbols[1:]
+    hashed *= np.uint32(0x85EBCA77)
+    hashed >>= np.uint32(32 - _BUCKET_BITS)
+    counts = np.bincount(hashed, minlength=1 << _BUCKET_BITS)
     least = max(least, int(counts.max()) // _SPAN)
-    places = np.flatnonzero((counts >= least).take(hashed.view(np.int64)))
-    pairs, number, exact = np.unique(keys[places], return_inverse=True, return_counts=True)
+    places = np.flatnonzero((counts >= least).take(hashed))
+    keys = (symbols[places].astype(np.uint64) << np.uint64(32)) | symbols[places + 1]
+    pairs, number, exact = np.unique(keys, return_inverse=True, return_counts=True)
     good = exact >= least
     keep = good[number]
     return places[keep], pairs[number[keep]]
@@ -77,9 +81,7 @@ def compress(ids: np.ndarray, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.
     """Rules (n, 2), expansion lengths (n) and remaining symbols."""
     symbols = ids.astype(np.uint32)
     rules, lengths = [], np.zeros(0, np.uint32)
-    for _ in range(_ROUNDS):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
         places, pairs = _frequent_pairs(symbols, least)
         if not len(places):
             break
@@ -122,6 +124,18 @@ def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
     return symbols
 
 
+def expand_all(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """As ``expand``, for many symbols: each new symbol is expanded once and its ids copied."""
+    known = expand(np.arange(FIRST_SYMBOL, FIRST_SYMBOL + len(rules), dtype=np.uint32), rules)
+    before = np.cumsum(lengths, dtype=np.int64) - lengths
+    new = symbols >= FIRST_SYMBOL
+    source = np.concatenate([known, symbols[~new]])
+    start = np.empty(len(symbols), np.int64)
+    start[new] = before[symbols[new] - FIRST_SYMBOL]
+    start[~new] = len(known) + np.arange(len(symbols) - int(new.sum()))
+    return _taken(source, start, _lengths_of(symbols, lengths))
+
+
 def _array(data: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(data, kind)
 
@@ -144,7 +158,10 @@ def read_ids(block: dict, start: int, stop: int) -> np.ndarray:
 # Encoding --------------------------------------------------------------------------------------
 
 def _latin(kind: str) -> str:
-    return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
+    """Characters of a class below U+0250, lower-case ASCII letters as a range."""
+    found = [chr(c) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind]
+    rest = "".join(re.escape(c) for c in found if not "a" <= c <= "z")
+    return ("a-z" if "a" in found else "") + rest
 
 
 def _plain() -> str:
@@ -153,6 +170,14 @@ def _plain() -> str:
     return "".join(re.escape(chr(c)) for c in codes if max(chr(c).lower()) < "\u0250")
 
 
+def _byte_characters() -> dict[int, str]:
+    """Translation of bytes, as Latin-1 characters, to the characters that byte-level vocabularies
+    write for them: printable ones for themselves, the others from U+0100 on."""
+    printable = {*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
 class _Words(dict):
     """Word -> its number; unknown words get the next ones and are noted."""
 
@@ -166,8 +191,14 @@ class _Words(dict):
         return number
 
 
+def _taken(source: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of ``source`` one after another."""
+    ends = np.cumsum(sizes)
+    return source[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
-    """Ids of whole texts by the tokenizers library, whose answers per word are kept.
+    """Ids of whole texts by the tokenizers library, whose answers are kept.
 
     The fast way is for texts of plain Latin characters only, where the vocabulary's pattern for
     words means the same here as in the library.
@@ -182,8 +213,9 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         letters, digits = _latin("L"), _latin("N")
         self.pattern = re.compile(
-            rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^ \t-\r{letters}{digits}]+")
+            rf"[{letters}]+|'(?:[stmd]|re|ve|ll)|[{digits}]|[^ \t-\r{letters}{digits}]+")
         self.plain = re.compile(f"[{_plain()}]*")
+        self.characters = _byte_characters()
         self._reset()
 
     @classmethod
@@ -199,10 +231,13 @@ class Encoder:
         self.starts = np.zeros(1, np.int64)
 
     def _learn(self) -> None:
-        found = self.library.encode_batch_fast(self.words.new, add_special_tokens=False)
+        split, shown = self.library.model.tokenize, self.characters
+        found = [[t.id for t in split(
+            w if w.isascii() else w.encode().decode("latin-1").translate(shown))]
+            for w in self.words.new]
         self.words.new = []
-        sizes = np.fromiter((len(e.ids) for e in found), np.int64, len(found))
-        flat = np.fromiter((i for e in found for i in e.ids), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         self.ids = np.concatenate([self.ids, flat])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
@@ -220,8 +255,7 @@ class Encoder:
         if self.words.new:
             self._learn()
         first, sizes = self.starts[index], self.starts[index + 1] - self.starts[index]
-        ends = np.cumsum(sizes)
-        flat = self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        flat, ends = _taken(self.ids, first, sizes), np.cumsum(sizes)
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         if not slow:
             return flat, np.diff(bounds)
@@ -295,8 +329,9 @@ def read_documents(blocks: DataFrame) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in batch.to_pylist():
-                ids = expand(_array(block["symbols"], "<u4"),
-                             _array(block["rules"], "<u4").reshape(-1, 2)).astype("<u4")
+                ids = expand_all(_array(block["symbols"], "<u4"),
+                                 _array(block["rules"], "<u4").reshape(-1, 2),
+                                 _array(block["lengths"], "<u4")).astype("<u4")
                 ends = _array(block["ends"], "<u8").tolist()
                 rows, begin, data = [], 0, memoryview(ids.tobytes())
                 for doc_id, missing, end in zip(_array(block["doc_ids"], "<i8").tolist(),

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 from caseloom.llm.token_store import (
-    FIRST_SYMBOL, Encoder, compress, expand, read_documents, read_ids, write_tokens,
+    FIRST_SYMBOL, Encoder, compress, expand, expand_all, read_documents, read_ids, write_tokens,
 )
 
 P = pytest.importorskip("public_tokenizers")
@@ -19,6 +19,7 @@ def test_compression_is_exact(kind):
            np.zeros(0, np.uint32), np.array([7]), np.tile([1, 2, 3, 1, 2], 2000)][kind]
     rules, lengths, symbols = compress(ids.astype(np.uint32), least=2)
     assert (expand(symbols, rules) == ids).all()
+    assert (expand_all(symbols, rules, lengths) == ids).all()
     assert [len(expand(np.array([FIRST_SYMBOL + k], np.uint32), rules))
             for k in range(len(rules))] == lengths.tolist()
     if kind in (0, 1, 5):
@@ -87,3 +88,14 @@ def test_any_part_of_a_block_can_be_read(spark):
 
 def test_empty_table(spark):
     assert read_documents(stored_blocks(spark, [])).collect() == []
+
+
+def test_compression_goes_on_until_no_pair_is_frequent():
+    draw = np.random.default_rng(3)
+    passage = draw.integers(0, 49_000, 600)
+    ids = np.concatenate([x for _ in range(200) for x in (passage, draw.integers(0, 49_000, 30))])
+    rules, lengths, symbols = compress(ids.astype(np.uint32))
+    pairs, number = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
+    overlapping = pairs[0] == pairs[1]  # places of one symbol in a row overlap
+    assert number[~overlapping].max() < 64 and lengths.max() > 300
+    assert (expand_all(symbols, rules, lengths) == ids).all()
