@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes w
 to the shared folder and reads it back as the documents of the next.
 
 1. language: documents without a letter in them, and those that cost more in their cheapest language
-   than chance letters of its own and two phrases (which is little for long texts, much for a word), go;
+   than chance letters of its own and ten phrases (which is little for long texts, much for short ones
+   that hold an address or a key), go;
 2. exact_duplicates: of equal texts (A-Z lower-cased) the largest identifier stays;
 3. near_duplicates: of documents connected by links of 0.75 or more, the smallest identifier stays;
 4. decontamination: documents that hold a benchmark item go;
@@ -31,6 +32,9 @@ from caseloom.llm.packing import pack
 from caseloom.llm.queries import PACK_TOKENS, with_pack_columns
 from caseloom.llm.tables import fresh, quoted, small_batches, stored, table
 
+#: Phrases that a text may cost beyond chance letters.
+LOOSE_PHRASES = 10
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what is in no language."""
@@ -43,10 +47,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     else:
         bits = {lang: math.log2(letters + 2) for lang, letters in zip(model.languages, model.letters)}
         phrase = dict(zip(model.languages, model.log_lengths.tolist()))
-        chance, two = (F.element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]),
+        chance, one = (F.element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]),
                                     F.col(f"{judged}.lang")) for known in (bits, phrase))
         readable = (F.col(f"{judged}.lang") != UNKNOWN) & (
-            F.col(f"{judged}.bits") <= chance + 2 * two / F.col(f"{judged}.symbols"))
+            F.col(f"{judged}.bits") <= chance + LOOSE_PHRASES * one / F.col(f"{judged}.symbols"))
     return told.filter(readable).select(*[F.col(quoted(c)) for c in docs.columns])
 
 
