@@ -6,18 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.operators.constraints import require_valid
-from caseloom.operators.merge import upsert
+from caseloom.operators.parts import upsert_parts
 from caseloom.plans.reports import monthly_summary
 from caseloom.plans.schema import COMPLAINTS, CUSTOMERS
-from caseloom.sources.store import TableStore
+from caseloom.sources.store import PART, TableStore
 
 SUMMARY = "mv_monthly_complaint_summary"
-
-
-def merged_customers(target: DataFrame | None, staged: DataFrame) -> DataFrame:
-    """Customers after the load: staged ones inserted or refreshed, all others kept."""
-    staged = staged.select(*CUSTOMERS.column_names)
-    return staged if target is None else upsert(target, staged, "customerId")
+#: Parts of the customers table; a load rewrites those that its customers fall into.
+CUSTOMER_PARTS = 16
 
 
 def refreshed_complaints(staged: DataFrame) -> DataFrame:
@@ -27,23 +23,24 @@ def refreshed_complaints(staged: DataFrame) -> DataFrame:
     )
 
 
-def load_gold(store: TableStore, customers: DataFrame,
-              complaints: DataFrame) -> tuple[int, int]:
+def load_gold(store: TableStore, customers: DataFrame, complaints: DataFrame,
+              parts: int = CUSTOMER_PARTS) -> tuple[int, int]:
     """Upsert customers, replace complaints; returns the rows loaded from staging of each.
 
     Constraints are checked first and a violation aborts with nothing written. Both tables
-    become current in one commit, so no reader sees new customers with old complaints.
+    become current in one commit, so no reader sees new customers with old complaints. Of the
+    customers, stored in ``parts`` by their identifier, only the parts with staged ones are rewritten.
     """
-    target = store.read("customers") if store.exists("customers") else None
-    merged = merged_customers(target, customers)
+    staged = customers.select(*CUSTOMERS.column_names)
+    merged, after, touched = upsert_parts(store, "customers", staged, "customerId", parts)
     require_valid(
-        [(customers, CUSTOMERS), (complaints, COMPLAINTS)], {"customers": merged}
+        [(customers, CUSTOMERS), (complaints, COMPLAINTS)], {"customers": after}
     )
     upserted = customers.count()
-    written = store.replace({
-        "customers": merged,
-        "complaints": refreshed_complaints(complaints),
-    })
+    written = store.replace(
+        {"complaints": refreshed_complaints(complaints)},
+        {"customers": (merged.repartition(PART), touched)},
+    )
     return upserted, written["complaints"]
 
 

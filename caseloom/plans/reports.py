@@ -57,6 +57,36 @@ def complaint_summary(customers: DataFrame, complaints: DataFrame,
     )
 
 
+#: Additive measures of the counts that reports are derived from.
+REGION_MEASURES = ("n", "days", "timed", "resolved")
+TREND_MEASURES = ("n", "days", "timed")
+
+
+def region_counts(complaints: DataFrame) -> DataFrame:
+    """Measures of every known region and customer."""
+    return complaints.filter(F.col("region").isNotNull() & (F.col("region") != "Unknown")).groupBy(
+        "region", "customerId").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("turnaroundTime"), F.lit(0)).alias("days"),
+        F.count("turnaroundTime").alias("timed"),
+        F.count_if(F.col("status") == "Resolved").alias("resolved"))
+
+
+def _average(days: Column, timed: Column) -> Column:
+    return F.sum(days).cast("double") / F.nullif(F.sum(timed), F.lit(0))
+
+
+def regional_stats_of(counts: DataFrame) -> DataFrame:
+    """Regional statistics from ``region_counts``."""
+    return counts.groupBy("region").agg(
+        F.sum("n").alias("totalComplaints"),
+        F.count_if(F.col("customerId").isNotNull()).alias("uniqueCustomers"),
+        _average(F.col("days"), F.col("timed")).alias("avgTurnaroundTime"),
+        F.sum("resolved").alias("resolvedCount"),
+    ).withColumn(
+        "resolutionRate", rounded_percentage(F.col("resolvedCount"), F.col("totalComplaints")),
+    ).orderBy(F.desc("totalComplaints"), "region")
+
+
 def regional_stats(complaints: DataFrame) -> DataFrame:
     """Volume, customers, turnaround and resolution rate per known region."""
     resolved = F.count_if(F.col("status") == "Resolved")
@@ -100,30 +130,30 @@ def status_share(complaints: DataFrame) -> DataFrame:
     ).orderBy(F.desc("complaintCount"), "status")
 
 
-def monthly_trends(complaints: DataFrame) -> DataFrame:
-    """Volume, customers, turnaround and most frequent nature and region per month.
+_MONTH = "monthStart"
+_TREND_PARTS = ("customerId", "natureOfComplaint", "region")
+# Bits of the grouping id, highest first: month, then the three parts; 0 = grouped by it.
+_OF_CUSTOMER, _OF_NATURE, _OF_REGION = 0b0011, 0b0101, 0b0110
 
-    One scan counts per (month, customer), (month, nature) and (month, region); the second,
-    small aggregation picks the totals and the most frequent values from those counts. Of
-    equally frequent values the smallest is reported.
-    """
-    month = "monthStart"
+
+def trend_counts(complaints: DataFrame) -> DataFrame:
+    """Measures of every (month, customer), (month, nature) and (month, region), by one scan."""
     dated = complaints.filter(F.col("logDate").isNotNull()).select(
-        F.trunc("logDate", "month").alias(month),
-        "customerId", "natureOfComplaint", "region", "turnaroundTime",
+        F.trunc("logDate", "month").alias(_MONTH), *_TREND_PARTS, "turnaroundTime",
     )
-    parts = ["customerId", "natureOfComplaint", "region"]
-    # Bits of the grouping id, highest first: month, then the three parts; 0 = grouped by it.
-    of_customer, of_nature, of_region = 0b0011, 0b0101, 0b0110
-    counts = dated.groupingSets(
-        [(F.col(month), F.col(p)) for p in parts], month, *parts
+    return dated.groupingSets(
+        [(F.col(_MONTH), F.col(p)) for p in _TREND_PARTS], _MONTH, *_TREND_PARTS
     ).agg(
-        F.grouping_id(month, *parts).alias("by"),
+        F.grouping_id(_MONTH, *_TREND_PARTS).alias("by"),
         F.count(F.lit(1)).alias("n"),
-        F.sum("turnaroundTime").alias("days"),
+        F.coalesce(F.sum("turnaroundTime"), F.lit(0)).alias("days"),
         F.count("turnaroundTime").alias("timed"),
     )
-    by_customer = F.col("by") == of_customer
+
+
+def monthly_trends_of(counts: DataFrame) -> DataFrame:
+    """Monthly trends from ``trend_counts``."""
+    by_customer = F.col("by") == _OF_CUSTOMER
 
     def most_frequent(part: str, grouping: int) -> Column:
         counted = (F.col("by") == grouping) & F.col(part).isNotNull()
@@ -131,26 +161,39 @@ def monthly_trends(complaints: DataFrame) -> DataFrame:
         return F.min(ranked).getField("value")
 
     return (
-        counts.groupBy(month)
+        counts.groupBy(_MONTH)
         .agg(
             F.sum(F.when(by_customer, F.col("n"))).alias("totalComplaints"),
             F.count_if(by_customer & F.col("customerId").isNotNull()).alias("uniqueCustomers"),
-            (
-                F.sum(F.when(by_customer, F.col("days"))).cast("double")
-                / F.nullif(F.sum(F.when(by_customer, F.col("timed"))), F.lit(0))
-            ).alias("avgTurnaroundTime"),
-            most_frequent("natureOfComplaint", of_nature).alias("topComplaintType"),
-            most_frequent("region", of_region).alias("topRegion"),
+            _average(F.when(by_customer, F.col("days")), F.when(by_customer, F.col("timed")))
+            .alias("avgTurnaroundTime"),
+            most_frequent("natureOfComplaint", _OF_NATURE).alias("topComplaintType"),
+            most_frequent("region", _OF_REGION).alias("topRegion"),
         )
         .select(
-            month_label(F.col(month)).alias("month"),
-            month, "totalComplaints", "uniqueCustomers", "avgTurnaroundTime",
+            month_label(F.col(_MONTH)).alias("month"),
+            _MONTH, "totalComplaints", "uniqueCustomers", "avgTurnaroundTime",
             "topComplaintType", "topRegion",
         )
-        .orderBy(F.desc(month))
+        .orderBy(F.desc(_MONTH))
     )
 
 
+def monthly_summary_of(counts: DataFrame) -> DataFrame:
+    """The stored part of the monthly trends from ``trend_counts``."""
+    return monthly_trends_of(counts).drop("topComplaintType", "topRegion")
+
+
+def monthly_trends(complaints: DataFrame) -> DataFrame:
+    """Volume, customers, turnaround and most frequent nature and region per month.
+
+    One scan counts per (month, customer), (month, nature) and (month, region); the second,
+    small aggregation picks the totals and the most frequent values from those counts. Of
+    equally frequent values the smallest is reported.
+    """
+    return monthly_trends_of(trend_counts(complaints))
+
+
 def monthly_summary(complaints: DataFrame) -> DataFrame:
     """The part of the monthly trends that is stored."""
     return (

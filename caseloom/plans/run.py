@@ -13,7 +13,6 @@ from caseloom.functions.coerce import to_int
 from caseloom.operators import quality
 from caseloom.operators.constraints import require_valid
 from caseloom.operators.fingerprint import changed_sheets, last_known_hash, sheet_fingerprints
-from caseloom.plans.clean import to_silver
 from caseloom.plans.gold import SUMMARY, load_gold, refresh_summary
 from caseloom.plans.reports import register_views
 from caseloom.plans.resolve import (
@@ -23,8 +22,9 @@ from caseloom.plans.resolve import (
 from caseloom.plans.schema import (
     ALWAYS_FILLED, IDENTITY_MAP, INGESTION_LOG, LINEAGE,
 )
+from caseloom.plans.silver import PLACES, SILVER, read_silver, refresh_silver
 from caseloom.session import tune
-from caseloom.sources.sheets import read_bronze, scan_sheets, spread_scan, write_sheets
+from caseloom.sources.sheets import list_sheets, read_bronze, scan_sheets, spread_scan, write_sheets
 from caseloom.sources.store import TableStore
 
 EXCLUDED_SHEETS = ("Unresolved",)
@@ -84,8 +84,10 @@ def run(spark: SparkSession, source: str, warehouse: str, client: DataFrame,
     write_sheets(sheets.filter(F.col("sheet").isin(names)), bronze)
 
     landed = read_bronze(spark, bronze)
-    silver_rows = store.replace({"silver": to_silver(spread_scan(landed, *LINEAGE))})["silver"]
-    silver = store.read("silver")
+    fresh = names if store.exists(PLACES) else sorted(list_sheets(spark, bronze))
+    refresh_silver(store, spread_scan(read_bronze(spark, bronze, fresh), *LINEAGE), fresh)
+    silver = read_silver(store)
+    silver_rows = sum(e["rows"] for e in store.parts(SILVER).values())
     findings = [quality.row_drop(landed, silver, "silver"),
                 quality.unexpected_nulls(silver, "silver", ALWAYS_FILLED)]
 

@@ -218,10 +218,14 @@ def write_sheets(df: DataFrame, root: str, fmt: str = "parquet") -> None:
     writer.partitionBy("sheet").format(fmt).save(root)
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """All landed sheets, columns aligned by name, absent ones null."""
+def read_bronze(spark: SparkSession, root: str, sheets: Sequence[str] | None = None) -> DataFrame:
+    """All landed sheets, or the given ones only, columns aligned by name, absent ones null."""
+    folders = [root]
+    if sheets is not None:
+        landed = partition_folders(spark, root, "sheet")
+        folders = [landed[s] for s in sheets]
     with _text_partitions(spark):
-        return spark.read.option("mergeSchema", "true").parquet(root)
+        return spark.read.option("mergeSchema", "true").option("basePath", root).parquet(*folders)
 
 
 def spread_scan(scan: DataFrame, *keys: str) -> DataFrame:

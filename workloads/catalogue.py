@@ -25,6 +25,7 @@ from caseloom.operators.identity import (
     attach_profile, keep_known, mint_ids, new_keys, phone_lookup, resolution_key,
 )
 from caseloom.operators.merge import insert_if_absent
+from caseloom.operators.parts import key_part
 from caseloom.operators.turnaround import (
     recompute_negative, swap_reversed_dates, validate_turnaround,
 )
@@ -33,11 +34,13 @@ from caseloom.plans.clean import (
     clean, meaningful_rows, rename_headers, standardise_values, to_silver,
 )
 from caseloom.plans.gold import SUMMARY, load_gold, refresh_summary
+from caseloom.plans.kept import KeptReports
 from caseloom.plans.resolve import (
     customers_by_number, extend_identity_map, resolve_numbers, resolved_complaints,
     resolved_customers, split_complaints, split_customers,
 )
 from caseloom.plans.run import fingerprint_log, run
+from caseloom.plans.silver import read_silver, refresh_silver
 from caseloom.plans.schema import (
     ALWAYS_FILLED, CLIENT, COMPLAINTS, CUSTOMERS, IDENTITY_MAP, INGESTION_LOG,
     LINEAGE, REGION_THRESHOLD,
@@ -45,12 +48,12 @@ from caseloom.plans.schema import (
 )
 from caseloom.session import scratch_path, tune
 from caseloom.sources.sheets import (
-    CSV_WRITE_OPTIONS, read_bronze, scan_sheets, stringify, write_sheets,
+    CSV_WRITE_OPTIONS, list_sheets, read_bronze, scan_sheets, stringify, write_sheets,
 )
 from caseloom.sources.store import TableStore
 from workloads.fixture import client, raw_complaints, table
 from workloads.parameters import (
-    EXCLUDED_SHEET, RUN_MILLIS, SECOND_RUN_MILLIS, SOURCE_FILE, SPLIT_SHEET,
+    EXCLUDED_SHEET, RUN_MILLIS, SECOND_RUN_MILLIS, SOURCE_FILE, SPLIT_DATE, SPLIT_SHEET,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,6 +256,27 @@ def silver_table(spark, sf_dir):
     return stored_silver(spark, sf_dir, new_store(spark, "silver"))
 
 
+@query
+def silver_from_changes(spark, sf_dir):
+    """Silver after two loads: first the earlier sheets, one of them with other values and with copies of
+    rows of later sheets, then this one as it is and the later sheets."""
+    store = new_store(spark, "silver")
+    root = scratch_path(spark, "bronze")
+    rows = bronze(spark, sf_dir)
+    odd = F.col("sheet") == EXCLUDED_SHEET
+    copies = rows.filter(~is_earlier() & (F.col("row_idx") % 3 == 0)).withColumns(
+        {"sheet": F.lit(EXCLUDED_SHEET), "row_idx": F.col("row_idx") + 2_000_000_000})
+    first = rows.filter(is_earlier() & ~odd).unionByName(copies).unionByName(
+        rows.filter(odd).withColumn("STATUS", F.lit("other")))
+    deliver(first, root)
+    refresh_silver(store, read_bronze(spark, root), sorted(list_sheets(spark, root)))
+    second = rows.filter(~is_earlier() | odd)
+    deliver(second, root)
+    changed = sorted(r[0] for r in second.select("sheet").distinct().collect())
+    refresh_silver(store, read_bronze(spark, root, changed), changed)
+    return read_silver(store)
+
+
 @query
 def staging_replace(spark, sf_dir):
     """The second write of a staging table is what is read, whatever the first one held."""
@@ -269,6 +293,23 @@ def upsert_customers(spark, sf_dir):
     return store.read("customers")
 
 
+@query
+def upsert_touched_parts(spark, sf_dir):
+    """Customers in 256 parts after a load of all sheets but the last and one of the last: which
+    parts the second load wrote, the others being the files of the first."""
+    store = new_store(spark, "parts")
+    silver = stored_silver(spark, sf_dir, store)
+    last = silver.agg(F.max("sheet")).first()[0]
+    load_gold(store, *stage(spark, silver.filter(F.col("sheet") < last), sf_dir, store), parts=256)
+    first = {p: e["path"] for p, e in store.parts("customers").items()}
+    load_gold(store, *stage(spark, silver.filter(F.col("sheet") == last), sf_dir, store), parts=256)
+    rewritten = spark.createDataFrame(
+        [(p, e["path"] != first.get(p)) for p, e in store.parts("customers").items()],
+        "part string, rewritten boolean")
+    return store.read("customers").withColumn("part", key_part(F.col("customerId"), 256)) \
+        .join(F.broadcast(rewritten), "part")
+
+
 @query
 def replace_complaints(spark, sf_dir):
     store, _ = two_loads(spark, sf_dir)
@@ -607,6 +648,37 @@ def monthly_trends(spark, sf_dir):
     return reports.monthly_trends(gold(spark, sf_dir)[1])
 
 
+def _kept_reports(spark, sf_dir) -> KeptReports:
+    """Counts of the earlier complaints, to which the later ones are added; then every complaint of
+    the second half of a month is removed and every open one revised."""
+    complaints = gold(spark, sf_dir)[1]
+    kept = KeptReports(new_store(spark, "kept"))
+    kept.change(complaints.filter(f"logDate < '{SPLIT_DATE}'"))
+    kept.change(complaints.filter(f"logDate >= '{SPLIT_DATE}'"))
+    gone = F.dayofmonth("logDate") > 15
+    revised = complaints.filter(~gone & (F.col("status") == "Closed"))
+    kept.change(revised.withColumns({
+        "status": F.lit("Resolved"), "region": F.lit("Volta Region"),
+        "turnaroundTime": F.col("turnaroundTime") + 1, "natureOfComplaint": F.lit("Revised")}),
+        complaints.filter(gone).unionByName(revised))
+    return kept
+
+
+@query
+def monthly_trends_kept_up(spark, sf_dir):
+    return _kept_reports(spark, sf_dir).monthly_trends()
+
+
+@query
+def monthly_summary_kept_up(spark, sf_dir):
+    return _kept_reports(spark, sf_dir).monthly_summary()
+
+
+@query
+def regional_stats_kept_up(spark, sf_dir):
+    return _kept_reports(spark, sf_dir).regional_stats()
+
+
 @query
 def monthly_summary_mv(spark, sf_dir):
     """The stored summary, refreshed by a second load."""

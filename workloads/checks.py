@@ -35,6 +35,18 @@ complaints as (select cast(o_custkey as varchar) as "customerId",
   cast(o_orderkey % 100 as integer) as "turnaroundTime",
   cast(o_orderdate as date) as "logDate" from orders)"""
 
+_CHANGED = """changed as (select * replace (
+    case when status = 'Closed' then 'Volta Region' else region end as region,
+    case when status = 'Closed' then "turnaroundTime" + 1 else "turnaroundTime" end as "turnaroundTime",
+    case when status = 'Closed' then 'Revised' else "natureOfComplaint" end as "natureOfComplaint",
+    case when status = 'Closed' then 'Resolved' else status end as status)
+  from complaints where day("logDate") <= 15)"""
+
+
+def _of_changed(report: str) -> str:
+    return _with([*RESOLVED, _CHANGED], REPORTS[report].replace("from complaints", "from changed"))
+
+
 CHECKS: dict[str, str] = {
     # Sources and sinks
     "scan_csv_sheets": _with(_BRONZE, "select * from bronze"),
@@ -63,10 +75,20 @@ CHECKS: dict[str, str] = {
         select * exclude ("NUMBER2", "DOB") from bronze where {_EARLIER}
         union all by name select * exclude ("UPDATES") from bronze where not {_EARLIER}"""),
     "silver_table": _with(CLEANING, "select * from silver"),
+    "silver_from_changes": _with(CLEANING, "select * from silver"),
     "staging_replace": _with(CLEANING, f"select {_q(COMPLAINT_COLUMNS)} from silver"),
     "upsert_customers": _with([*RESOLVED, _EARLIER_CUSTOMERS], """
         select * from later_customers union all select * from earlier_customers
         where "customerId" not in (select "customerId" from later_customers)"""),
+    "upsert_touched_parts": _with([*RESOLVED, f"""parted as (select *, lpad(
+          (('0x' || substr(md5("customerId"), 1, 8))::bigint % 256)::varchar, 6, '0') as part from identified),
+        early as (select {_q(CUSTOMER_TABLE)}, part from parted where sheet < (select max(sheet) from parted)
+          qualify row_number() over (partition by "customerId" order by sheet, row_idx) = 1),
+        late as (select {_q(CUSTOMER_TABLE)}, part from parted where sheet = (select max(sheet) from parted)
+          qualify row_number() over (partition by "customerId" order by row_idx) = 1),
+        merged as (select * from late union all select * from early
+          where "customerId" not in (select "customerId" from late))"""],
+        "select *, part in (select part from late) as rewritten from merged"),
     "replace_complaints": _with(RESOLVED, f"""
         select {_q(COMPLAINT_TABLE)} from identified where not {_EARLIER}"""),
     "gold_load_counts": _with([*RESOLVED, _EARLIER_CUSTOMERS], f"""
@@ -155,6 +177,9 @@ CHECKS: dict[str, str] = {
         (select count(*) from complaints) as complaints"""),
     # Reports
     **{name: _with(RESOLVED, text) for name, text in REPORTS.items()},
+    "regional_stats_kept_up": _of_changed("regional_stats"),
+    "monthly_trends_kept_up": _of_changed("monthly_trends"),
+    "monthly_summary_kept_up": _of_changed("monthly_summary_mv"),
     "regional_stats_of_orders": _with([_ORDERS], REPORTS["regional_stats"]),
     "status_share_of_orders": _with([_ORDERS], REPORTS["status_share"]),
     "monthly_trends_of_orders": _with([_ORDERS], REPORTS["monthly_trends"]),

@@ -312,10 +312,11 @@ REPORTS = {
                when "turnaroundTime" > 24 then 'Within 3 days' else 'Within 1 day' end
             as "turnaroundCategory"
         from people join told using ("customerId")""",
-    "regional_stats": f"""select {_share("status = 'Resolved'")} as "resolutionRate",
-          count(*) filter (status = 'Resolved') as "resolvedCount", region,
-          count(*) as "totalComplaints", count(distinct "customerId") as "uniqueCustomers",
-          avg("turnaroundTime") as "avgTurnaroundTime"
+    "regional_stats": f"""select region, count(*) as "totalComplaints",
+          count(distinct "customerId") as "uniqueCustomers",
+          avg("turnaroundTime") as "avgTurnaroundTime",
+          count(*) filter (status = 'Resolved') as "resolvedCount",
+          {_share("status = 'Resolved'")} as "resolutionRate"
         from complaints where coalesce(region, 'Unknown') <> 'Unknown' group by region""",
     "status_share": f"""with per_status as (
           select status, count(*) as n, avg("turnaroundTime") as mean, min("logDate") as low,
