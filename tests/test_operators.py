@@ -26,6 +26,7 @@ from caseloom.sources.csv_splits import ends_inside, list_files, records
 from caseloom.sources.sheets import read_bronze, scan_sheets, write_sheets
 from caseloom.sources.store import TableStore
 from caseloom.streaming.landing import follow_sheets
+from workloads.catalogue import deliver_in_order
 
 
 @pytest.fixture
@@ -421,3 +422,26 @@ def test_arriving_sheets_start_runs(spark, root):
     assert follow() == 1
     write_sheets(sheet(spark, "February", complaint("kofi", "0277000001", 4)), source)
     assert follow() == 2
+
+
+def test_a_large_sheet_is_written_by_many_tasks_in_order(spark, root):
+    """No task holds all rows of it, and the rows count through its files."""
+    rows = spark.range(0, 4000, 1, 4).select(
+        F.concat(F.lit("s"), F.col("id") % 3).alias("sheet"), F.col("id").alias("row_idx"),
+        F.concat(F.lit('told "'), F.col("id"), F.lit('",\n\nthen')).alias("TOLD"))
+    before = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for key, value in zip(before, ("4", "false")):
+        spark.conf.set(key, value)
+    try:
+        deliver_in_order(rows, root, "ALL")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    sizes = [os.path.getsize(f"{root}/sheet=ALL/{f}") for f in os.listdir(f"{root}/sheet=ALL")
+             if f.startswith("part-")]
+    assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+    got = scan_sheets(spark, root, "csv").orderBy("row_idx").collect()
+    assert [(r["ORIGIN"], int(r["PLACE"])) for r in got] == sorted((f"s{i % 3}", i) for i in range(4000))
+    assert [r["row_idx"] for r in got] == list(range(4000))
+    assert got[1]["TOLD"] == 'told "3",\n\nthen'

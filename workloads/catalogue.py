@@ -186,13 +186,20 @@ def scan_multiline_cells(spark, sf_dir):
     return scan_sheets(spark, root, "csv", position="row_idx")
 
 
+def deliver_in_order(rows: DataFrame, root: str, sheet: str) -> None:
+    """All rows as one CSV sheet in the order of ``sheet`` and ``row_idx``, which become cells. The sheet is
+    cut into files of consecutive rows, as many as there are ranges to sort: no task writes all of it."""
+    one = rows.sort("sheet", "row_idx").withColumnsRenamed({"sheet": "ORIGIN", "row_idx": "PLACE"})
+    one.write.options(**CSV_WRITE_OPTIONS).csv(f"{root}/sheet={sheet}")
+
+
 @query
 def scan_large_csv(spark, sf_dir):
-    """All rows as one file with line breaks in cells, read in splits far smaller than the file."""
+    """All rows as one sheet of large files with line breaks in cells, read in splits far smaller than
+    the files."""
     root = scratch_path(spark, SOURCE_FILE)
     rows = bronze(spark, sf_dir).withColumn("DETAILS OF COMPLAINT", _told_in_lines())
-    one = rows.sort("sheet", "row_idx").withColumnsRenamed({"sheet": "ORIGIN", "row_idx": "PLACE"})
-    write_sheets(one.withColumn("sheet", F.lit("ALL")).coalesce(1), root, "csv")
+    deliver_in_order(rows, root, "ALL")
     size = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(size)
     spark.conf.set(size, "200k")
