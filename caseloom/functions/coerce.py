@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -20,6 +21,23 @@ _ISO = (r"^[+-]?[0-9]{1,6}(-[0-9]{1,2}(-[0-9]{1,2}([T ]([0-9]{1,2}:[0-9]{1,2}(:[
 DATE_FORMATS = ("M/d/yyyy", "d-MMM-yyyy", "d MMM yyyy", "d MMMM yyyy", "MMMM d, yyyy")
 
 
+def format_shape(pattern: str) -> str:
+    """Regular expression that every text fits which a date pattern can read, and few others do.
+
+    Numbers of day, month and year are digits with or without a sign, names of months have no digit,
+    and separators stand as they are. A pattern with anything else fits every text.
+    """
+    shape = []
+    for run, other in re.findall(r"(M+|d+|y+|[-/., ])|(.)", pattern, re.DOTALL):
+        if other:
+            return ""
+        if run[0] in "Mdy":
+            shape.append("[^0-9]+" if run.startswith("MMM") else "[+-]?[0-9]+")
+        else:
+            shape.append(re.escape(run))
+    return f"^{''.join(shape)}$"
+
+
 def to_int(text: Column) -> Column:
     """Whole number written as an integer, a decimal or in E notation; all else is null."""
     trimmed = strip(text)
@@ -30,8 +48,10 @@ def to_int(text: Column) -> Column:
 def to_calendar_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Calendar date of an ISO date or timestamp text, or of any of the listed formats."""
     trimmed = strip(text)
-    readings = [F.try_to_timestamp(trimmed, F.lit(f)).cast("date") for f in formats]
-    # Every failed reading is an exception inside Spark: spare texts such as "N/A" from it.
+    # Every failed reading is an exception inside Spark: only texts of a format's shape are read by it.
+    readings = [F.when(trimmed.rlike(format_shape(f)), F.try_to_timestamp(trimmed, F.lit(f)).cast("date"))
+                for f in formats]
+    # A text without a digit, such as "N/A", is of no shape.
     other = F.when(trimmed.rlike("[0-9]"), F.coalesce(*readings)) if readings else F.lit(None)
     iso = F.when(trimmed.rlike(_ISO), trimmed.try_cast("date"))
     return F.coalesce(iso, other)

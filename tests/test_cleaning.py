@@ -1,12 +1,18 @@
 """Scalar cleaning against examples and against plain Python."""
 
+import re
+from datetime import date
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from caseloom.functions.coerce import rounded_percentage, to_calendar_date, to_int
+from caseloom.functions.coerce import (
+    DATE_FORMATS, format_shape, rounded_percentage, to_calendar_date, to_int,
+)
 from caseloom.functions.phone import e164
 from caseloom.functions.similarity import best_choice, exact_choice
+from caseloom.functions import text as text_functions
 from caseloom.functions.text import WHITESPACE, default_name, lower_camel, strip, title_case
 from caseloom.operators.canonical import canonicalise
 from caseloom.operators.dedupe import distinct_rows, drop_blank_rows
@@ -210,3 +216,25 @@ def test_absent_columns_are_skipped(spark):
     full = df.selectExpr("*", "'2025-01-01' as `LOG DATE`", "'2025-01-03' as `RESOLUTION DATE`",
                          "'x' as TAT")
     assert to_silver(full).first()["turnaroundTime"] == 2
+
+
+def test_only_texts_of_a_shape_are_read_by_its_date_format(spark):
+    """A failed reading is an exception, so texts that no format can read must fit no shape."""
+    written = ["3/7/1988", "5-Jan-1990", "8 Feb 1991", "7 January 1992", "January 9, 1993", "+3/+7/1988"]
+    fits = [[f for f in DATE_FORMATS if re.match(format_shape(f), text)] for text in written]
+    assert fits == [["M/d/yyyy"], ["d-MMM-yyyy"], ["d MMM yyyy", "d MMMM yyyy"],
+                    ["d MMM yyyy", "d MMMM yyyy"], ["MMMM d, yyyy"], ["M/d/yyyy"]]
+    odd = ["1985-03-10 junk", "1985-03-10Tzzz", "3/7", "5-Jan", "1 2 1990", "3/7/1988 x"]
+    assert not [(f, x) for f in DATE_FORMATS for x in odd if re.match(format_shape(f), x)]
+    assert format_shape("E d M yyyy") == ""  # a weekday: anything may fit
+    assert column(spark, [*written[:5], *odd], to_calendar_date) == [
+        date(1988, 3, 7), date(1990, 1, 5), date(1991, 2, 8), date(1992, 1, 7), date(1993, 1, 9),
+        *[None] * len(odd)]
+
+
+def test_title_case_of_ascii_and_other_texts(spark):
+    """The patterns that every text meets have no class of ranges, which is slow for each character."""
+    assert not re.search(r"[A-Za-z]-[A-Za-z]", text_functions._MAYBE_WORD_START + text_functions._ASCII_WORD_START)
+    values = ["walk-in", "3rd x_y", "customer#000a", "a.b,c d", "é-é x", "x-é", "ß-a", "\U0001d4aa-b a-\U00010428",
+              "o'neil", "UPPER-lower", "#1 2", "-", "", None]
+    assert column(spark, values, title_case) == [None if v is None else v.title() for v in values]
