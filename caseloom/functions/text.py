@@ -21,7 +21,7 @@ MISSING_NAMES = ("nan", "none", "null", "")
 # Letters that have a case. A word starts at each of these that follows anything else.
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _WORD_START_AFTER_NON_SPACE = f"([^ {_CASED}])(?=[{_CASED}])"
-# Java tests a class of single characters by a table, but one of several ranges by calls that cost tens of
+# Java tests a class of single characters by a table, but one of several ranges by calls that cost over ten
 # times as much for each character of a text. So the patterns that every text meets list theirs.
 _LETTERS = string.ascii_letters
 _ASCII_OTHERS = "".join(rf"\x{c:02x}" for c in range(128) if chr(c) not in _LETTERS)
