@@ -52,8 +52,9 @@ def cleaned_copies(bronze: DataFrame) -> DataFrame:
     business = [c for c in rows.columns if c not in LINEAGE]
     telling = [c for c in business if c not in ALWAYS_FILLED]
     groups = rows.groupBy(*business, sheet).agg(F.min(row).alias(row), F.count(F.lit(1)).alias("n"))
-    # Tied to the aggregate, as a condition on many columns is costly to plan below it.
-    kept = groups.filter(F.when(F.col("n").isNotNull(), has_value(telling)))
+    # Tied to the aggregate, as a condition on many columns is costly to plan below it, and there repeats
+    # the cleaning of these columns. That a count is not null would be known, so it ties nothing.
+    kept = groups.filter(F.when(F.col("n") > 0, has_value(telling)))
     return validate_turnaround(kept.withColumn(DIGEST, row_digest(business)))
 
 
@@ -74,6 +75,16 @@ def _first_places(places: DataFrame, name: str) -> DataFrame:
     return places.groupBy(DIGEST).agg(F.min(F.struct(*LINEAGE)).alias(name))
 
 
+def _of_first_places(rows: DataFrame) -> DataFrame:
+    """Of each digest the row of the first place. Only digests with several rows are looked up, so where
+    they are few the wide rows are not shuffled."""
+    shared = _stored(rows.groupBy(DIGEST).agg(
+        F.min(F.struct(*LINEAGE)).alias("home"), F.count(F.lit(1)).alias("__rows"),
+    ).filter(F.col("__rows") > 1).drop("__rows"), "shared-digests")
+    return rows.join(shared, DIGEST, "left").filter(
+        F.col("home").isNull() | (F.struct(*LINEAGE) == F.col("home"))).drop("home")
+
+
 def refresh_silver(store: TableStore, bronze: DataFrame, changed: Sequence[str]) -> list[str]:
     """Take in the changed sheets, of which ``bronze`` has all rows and no others. Returns the parts
     of silver that were written."""
@@ -83,11 +94,11 @@ def refresh_silver(store: TableStore, bronze: DataFrame, changed: Sequence[str])
     of_changed = sorted({part_of(s) for s in changed})
 
     def parted(df: DataFrame) -> DataFrame:
-        return df.withColumn(PART, key_part(F.col(sheet), SHEET_PARTS)).repartition(PART)
+        # Rebalanced, so that a part with many rows, or several parts of one task, are cut at run time.
+        return df.withColumn(PART, key_part(F.col(sheet), SHEET_PARTS)).hint("rebalance", F.col(PART))
 
     if not store.exists(SILVER) or not store.exists(PLACES):
-        first = _first_places(new, "home")
-        rows = fresh.drop("n").join(first, DIGEST).filter(F.struct(*LINEAGE) == F.col("home")).drop("home")
+        rows = _of_first_places(fresh.drop("n"))
         store.replace({}, {SILVER: (parted(rows), of_changed), PLACES: (parted(new), of_changed)})
         return of_changed
 

@@ -14,7 +14,9 @@ from caseloom.operators.parts import key_part, upsert_parts
 from caseloom.plans.clean import to_silver
 from caseloom.plans.kept import KeptReports
 from caseloom.plans.reports import monthly_summary, monthly_trends, regional_stats, trend_counts
-from caseloom.plans.silver import part_of, read_silver, refresh_silver
+from caseloom.plans.silver import (
+    DIGEST, _of_first_places, cleaned_copies, part_of, read_silver, refresh_silver,
+)
 from caseloom.sources.sheets import read_bronze, write_sheets
 from caseloom.sources.store import PART, TableStore
 
@@ -167,3 +169,20 @@ def test_silver_from_changed_sheets_equals_a_rebuild(spark, root):
     again = TableStore(spark, f"{root}/store")
     assert rows(read_silver(again)) == rows(want)
 
+
+
+def test_first_silver_moves_only_rows_with_copies_elsewhere(spark):
+    """Rows of digests that one sheet has alone are not shuffled."""
+    data = [(b"a", "s2", 1, "x"), (b"a", "s1", 5, "x"), (b"b", "s2", 2, "y"), (b"c", None, None, "z")]
+    rows_of = spark.createDataFrame(data, f"{DIGEST} binary, sheet string, row_idx long, value string")
+    found = _of_first_places(rows_of)
+    assert sorted((tuple(r) for r in found.select("sheet", "row_idx", "value").collect()), key=repr) == sorted(
+        [("s1", 5, "x"), ("s2", 2, "y"), (None, None, "z")], key=repr)
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_blank_rows_of_sheets_go_after_the_aggregate(spark):
+    """The condition is not pushed below the cleaning, where it would repeat it."""
+    bronze = spark.createDataFrame(sheet(random.Random(1), "a", 5), BRONZE)
+    plan = cleaned_copies(bronze)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Aggregate")
