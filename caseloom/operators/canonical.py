@@ -15,11 +15,15 @@ from caseloom.session import scratch_path
 
 def score_variants(values: DataFrame, column: str, choices: Sequence[str],
                    threshold: float) -> DataFrame:
-    """(column, __choice): distinct values that are no reference entry, scored once each."""
-    variants = values.select(column).filter(
-        (F.length(strip(F.col(column))) > 0) & ~F.col(column).isin(list(choices))
-    ).distinct()
-    return variants.withColumn(
+    """(column, __choice): distinct values that are no reference entry, scored once each.
+
+    The condition is tied to the aggregate's result, so the optimiser leaves it there: pushed below the
+    projections that clean the column, it would repeat their expressions for every row, once for each use.
+    """
+    distinct = values.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    telling = (F.length(strip(F.col(column))) > 0) & ~F.col(column).isin(list(choices))
+    variants = distinct.filter(F.when(F.col("__n") > 0, telling))
+    return variants.select(column).withColumn(
         "__choice", best_choice(F.col(column), choices, threshold)["choice"]
     )
 

@@ -14,7 +14,7 @@ from caseloom.functions.phone import e164
 from caseloom.functions.similarity import best_choice, exact_choice
 from caseloom.functions import text as text_functions
 from caseloom.functions.text import WHITESPACE, default_name, lower_camel, strip, title_case
-from caseloom.operators.canonical import canonicalise
+from caseloom.operators.canonical import canonicalise, score_variants
 from caseloom.operators.dedupe import distinct_rows, drop_blank_rows
 from caseloom.operators.turnaround import validate_turnaround
 from caseloom.plans.clean import clean, to_silver
@@ -238,3 +238,14 @@ def test_title_case_of_ascii_and_other_texts(spark):
     values = ["walk-in", "3rd x_y", "customer#000a", "a.b,c d", "é-é x", "x-é", "ß-a", "\U0001d4aa-b a-\U00010428",
               "o'neil", "UPPER-lower", "#1 2", "-", "", None]
     assert column(spark, values, title_case) == [None if v is None else v.title() for v in values]
+
+
+def test_cleaning_is_evaluated_once_for_each_value_of_a_scored_column(spark):
+    """The condition on variants stays above the aggregate that makes them distinct."""
+    raw = spark.createDataFrame([("volta",), ("volta",), (" ",), (None,), ("Volta Region",)], "region string")
+    cleaned = raw.select(title_case(F.upper("region")).alias("region"))
+    scored = score_variants(cleaned, "region", REGIONS, 80.0)
+    assert [tuple(r) for r in scored.collect()] == [("Volta", "Volta Region")]
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Aggregate"):]
+    assert "Filter" not in below
