@@ -44,17 +44,18 @@ class LineageOrder:
         return [F.get(sheets, rank).alias(self.sheet), F.nullif(place, missing).alias(self.row)]
 
 
-def distinct_rows(df: DataFrame, lineage: Sequence[str] = (),
-                  having: Column | None = None) -> DataFrame:
+def distinct_rows(df: DataFrame, lineage: Sequence[str] = (), having: Column | None = None,
+                  listed: DataFrame | None = None) -> DataFrame:
     """Distinct rows over all columns but the lineage (sheet, row), which is that of the first copy.
 
     Null equals null. Copies combine before the shuffle, however many there are. ``having``
     keeps the distinct rows for which it is true. It is tied to the aggregate's result, so the
     optimiser leaves it there: pushed below projections of many columns, a condition on all of
-    them makes its constraint propagation take exponential time.
+    them makes its constraint propagation take exponential time. ``listed`` is a frame with the same
+    sheets that is cheaper to read.
     """
     business = [c for c in df.columns if c not in lineage]
-    order = LineageOrder(df, *lineage) if lineage else None
+    order = LineageOrder(df if listed is None else listed, *lineage) if lineage else None
     first = F.min(order.number()) if order else F.count(F.lit(1))
     groups = df.groupBy(*business).agg(first.alias("__first"))
     if having is not None:

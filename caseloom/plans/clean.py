@@ -67,14 +67,14 @@ def clean_values(df: DataFrame, lineage: Sequence[str] = LINEAGE,
 def clean(df: DataFrame, lineage: Sequence[str] = LINEAGE) -> DataFrame:
     """Cleaned rows, distinct across all sheets."""
     rows = clean_values(df, lineage)
-    return distinct_rows(rows, [c for c in lineage if c in rows.columns])
+    return distinct_rows(rows, [c for c in lineage if c in rows.columns], listed=df)
 
 
 def meaningful_rows(df: DataFrame, lineage: Sequence[str] = LINEAGE) -> DataFrame:
     """Cleaned distinct rows that hold more than defaults."""
     rows = clean_values(df, lineage)
     telling = [c for c in rows.columns if c not in (*ALWAYS_FILLED, *lineage)]
-    return distinct_rows(rows, [c for c in lineage if c in rows.columns], has_value(telling))
+    return distinct_rows(rows, [c for c in lineage if c in rows.columns], has_value(telling), df)
 
 
 def to_silver(bronze: DataFrame, lineage: Sequence[str] = LINEAGE) -> DataFrame:

@@ -249,3 +249,14 @@ def test_cleaning_is_evaluated_once_for_each_value_of_a_scored_column(spark):
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Aggregate"):]
     assert "Filter" not in below
+
+
+def test_sheets_are_listed_from_the_frame_that_is_cheaper_to_read(spark):
+    """Listing the sheets does not evaluate what the rows were cleaned with."""
+    raw = spark.createDataFrame([("b", 1, "x"), ("a", 7, "x"), (None, 2, "y")], "sheet string, row_idx long, v string")
+    costly = raw.join(raw.select(F.raise_error("listed from the cleaned rows").cast("string").alias("w"),
+                                 F.col("v").alias("u")), F.col("v") == F.col("w"), "left").drop("w", "u")
+    groups = distinct_rows(costly, ["sheet", "row_idx"], listed=raw)  # lists, but does not read the rows
+    assert groups.columns == ["v", "sheet", "row_idx"]
+    got = distinct_rows(raw, ["sheet", "row_idx"], listed=raw)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [("x", "a", 7), ("y", None, 2)]))
