@@ -39,7 +39,7 @@ def load_gold(store: TableStore, customers: DataFrame, complaints: DataFrame,
     upserted = customers.count()
     written = store.replace(
         {"complaints": refreshed_complaints(complaints)},
-        {"customers": (merged.repartition(PART), touched)},
+        {"customers": (merged.hint("rebalance", F.col(PART)), touched)},
     )
     return upserted, written["complaints"]
 
