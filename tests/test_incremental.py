@@ -186,3 +186,22 @@ def test_blank_rows_of_sheets_go_after_the_aggregate(spark):
     bronze = spark.createDataFrame(sheet(random.Random(1), "a", 5), BRONZE)
     plan = cleaned_copies(bronze)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter") < plan.index("Aggregate")
+
+
+def test_a_large_part_of_customers_is_written_by_several_tasks(spark, root):
+    from caseloom.plans.gold import load_gold
+    from caseloom.plans.schema import COMPLAINTS as COMPLAINT_TABLE, CUSTOMERS
+
+    customers = spark.range(0, 4000, 1, 8).select(*[
+        (F.current_date() if c.name == "dateOfBirth" else F.substring(F.sha2(F.concat(F.col("id"), F.lit(c.name)), 256), 1, 20))
+        .alias(c.name) for c in CUSTOMERS.columns])
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "20k")
+    try:
+        store = TableStore(spark, root)
+        load_gold(store, customers, spark.createDataFrame([], COMPLAINT_TABLE.schema), parts=1)
+    finally:
+        spark.conf.set(size, before)
+    assert store.read("customers").count() == 4000
+    assert len([f for f, _ in files(store, "customers")["000000"] if f.endswith(".parquet")]) > 1
