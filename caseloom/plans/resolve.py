@@ -30,7 +30,7 @@ def split_complaints(silver: DataFrame) -> DataFrame:
 def customers_by_number(silver: DataFrame) -> DataFrame:
     """First silver row of each number, with its lineage: one row per number."""
     rows = split_columns(silver, [*CUSTOMER_COLUMNS, *LINEAGE])
-    return first_per_key(drop_unidentified(rows, ["number"]), "number", LINEAGE)
+    return first_per_key(drop_unidentified(rows, ["number"]), "number", LINEAGE, silver)
 
 
 def resolve_numbers(numbers: DataFrame, client: DataFrame) -> DataFrame:
@@ -41,24 +41,24 @@ def resolve_numbers(numbers: DataFrame, client: DataFrame) -> DataFrame:
     )
 
 
-def resolved_customers(numbers: DataFrame, identity_map: DataFrame) -> DataFrame:
+def identify(numbers: DataFrame, identity_map: DataFrame) -> DataFrame:
+    """Numbers with the customerId that the crosswalk has for their resolution key. Staging customers
+    and complaints both use it, so a run stores it once."""
+    ids = identity_map.select("resolution_key", F.col("customer_id").alias("customerId"))
+    return numbers.join(ids, "resolution_key", "inner").drop("resolution_key")
+
+
+def resolved_customers(identified: DataFrame) -> DataFrame:
     """One row per customerId: the earliest row of any of the customer's numbers.
 
     A profile has few numbers, so no key is hot here.
     """
-    ids = identity_map.select("resolution_key", F.col("customer_id").alias("customerId"))
-    identified = numbers.join(ids, "resolution_key", "inner").drop("resolution_key")
     return first_per_key(identified, "customerId", LINEAGE).select(*CUSTOMERS.column_names)
 
 
-def resolved_complaints(silver: DataFrame, numbers: DataFrame,
-                        identity_map: DataFrame) -> DataFrame:
+def resolved_complaints(silver: DataFrame, identified: DataFrame) -> DataFrame:
     """Complaints with their customerId; those without a number belong to nobody and go."""
-    ids = identity_map.select("resolution_key", F.col("customer_id").alias("customerId"))
-    identity = (
-        numbers.select("number", "profileId", "number2", "resolution_key")
-        .join(ids, "resolution_key", "inner").drop("resolution_key")
-    )
+    identity = identified.select("number", "profileId", "number2", "customerId")
     complaints = drop_unidentified(split_complaints(silver), ["number"])
     return lookup_join(complaints, identity, "number", "inner").select(
         *COMPLAINTS.column_names
@@ -77,8 +77,5 @@ def resolve(silver: DataFrame, client: DataFrame, identity_map: DataFrame,
     numbers = resolve_numbers(customers_by_number(silver), client)
     known = identity_map.select(*IDENTITY_MAP.column_names)
     crosswalk = known.unionByName(extend_identity_map(numbers, known, run_millis))
-    return (
-        resolved_customers(numbers, crosswalk),
-        resolved_complaints(silver, numbers, crosswalk),
-        crosswalk,
-    )
+    identified = identify(numbers, crosswalk)
+    return resolved_customers(identified), resolved_complaints(silver, identified), crosswalk

@@ -7,7 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import quality
+from caseloom.operators import dedupe, quality
 from caseloom.operators.constraints import ConstraintViolation, violations
 from caseloom.operators.dedupe import drop_unidentified, first_per_key
 from caseloom.operators.fingerprint import changed_sheets, last_known_hash, sheet_fingerprints
@@ -18,7 +18,9 @@ from caseloom.operators.joins import hot_keys, sliced_join
 from caseloom.operators.merge import insert_if_absent, upsert
 from caseloom.plans.gold import load_gold
 from caseloom.plans.reports import monthly_trends
-from caseloom.plans.resolve import split_complaints, split_customers
+from caseloom.plans.resolve import (
+    identify, resolved_complaints, resolved_customers, split_complaints, split_customers,
+)
 from caseloom.plans.run import run
 from caseloom.plans.schema import COMPLAINTS, CUSTOMERS
 from caseloom.sources import csv_splits
@@ -143,6 +145,38 @@ def test_first_per_key(spark):
     assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
 
 
+def test_first_per_key_lists_sheets_from_a_cheaper_frame(spark, monkeypatch):
+    schema = "k string, s string, o long"
+    df = spark.createDataFrame([("a", "s", 2), ("a", "r", 5), ("b", None, 5), ("b", "r", 1)], schema)
+    listed = df.unionByName(spark.createDataFrame([("c", "q", 1), (None, "z", 1)], schema))
+    seen, order = [], dedupe.LineageOrder
+    monkeypatch.setattr(dedupe, "LineageOrder", lambda d, *names: seen.append(d) or order(d, *names))
+    assert rows(first_per_key(df, "k", ["s", "o"], listed)) == [("a", "r", 5), ("b", None, 5)]
+    assert seen == [listed]
+
+
+def test_staging_from_identified_numbers(spark):
+    numbers = spark.createDataFrame(
+        [("1", "p", None, "p", "S2", 1, "Ann"), ("2", "p", None, "p", "S1", 9, "Bob"),
+         ("3", None, None, "number:3", "S1", 2, None), ("4", None, None, "number:4", "S1", 3, "Dan")],
+        "number string, profileId string, number2 string, resolution_key string, sheet string, row_idx long, "
+        "name string")
+    for c in ("gender", "accountType", "branch"):
+        numbers = numbers.withColumn(c, F.lit(None).cast("string"))
+    numbers = numbers.withColumn("dateOfBirth", F.lit(None).cast("date"))
+    crosswalk = spark.createDataFrame([("p", "P"), ("number:3", "N")], "resolution_key string, customer_id string")
+    identified = identify(numbers, crosswalk)
+    assert rows(identified.select("number", "customerId")) == [("1", "P"), ("2", "P"), ("3", "N")]
+    assert rows(resolved_customers(identified).select("customerId", "number", "name")) == [
+        ("N", "3", None), ("P", "2", "Bob")]
+    silver = spark.createDataFrame([(n, "x") for n in ("1", "2", "2", "4", None)], "number string, status string")
+    for column in COMPLAINTS.columns:
+        if column.name not in (*silver.columns, "customerId", "profileId", "number2"):
+            silver = silver.withColumn(column.name, F.lit(None).cast(column.type))
+    assert rows(resolved_complaints(silver, identified).select("customerId", "number", "profileId")) == [
+        ("P", "1", "p"), ("P", "2", "p"), ("P", "2", "p")]
+
+
 def test_merges(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     source = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")

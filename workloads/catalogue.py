@@ -36,7 +36,7 @@ from caseloom.plans.clean import (
 from caseloom.plans.gold import SUMMARY, load_gold, refresh_summary
 from caseloom.plans.kept import KeptReports
 from caseloom.plans.resolve import (
-    customers_by_number, extend_identity_map, resolve_numbers, resolved_complaints,
+    customers_by_number, extend_identity_map, identify, resolve_numbers, resolved_complaints,
     resolved_customers, split_complaints, split_customers,
 )
 from caseloom.plans.run import fingerprint_log, run
@@ -99,10 +99,11 @@ def stage(spark: SparkSession, silver: DataFrame, sf_dir: str,
     """Customers and complaints of a first run, written as a run does."""
     store.replace({"numbers": resolve_numbers(customers_by_number(silver), client(spark, sf_dir))})
     numbers = store.read("numbers")
-    crosswalk = crosswalk_of(numbers)
+    store.replace({"identified": identify(numbers, crosswalk_of(numbers))})
+    identified = store.read("identified")
     store.replace({
-        "staging_customers": resolved_customers(numbers, crosswalk),
-        "staging_complaints": resolved_complaints(silver, numbers, crosswalk),
+        "staging_customers": resolved_customers(identified),
+        "staging_complaints": resolved_complaints(silver, identified),
     })
     return store.read("staging_customers"), store.read("staging_complaints")
 
