@@ -33,12 +33,13 @@ def is_broadcastable(df: DataFrame) -> bool:
     return size is not None and size <= int(limit)
 
 
-def rows_per_slice(df: DataFrame) -> int:
-    """Rows that make a slice, by the optimiser's estimate of their width."""
+def rows_per_slice(df: DataFrame, rows: int | None = None) -> int:
+    """Rows that make a slice, by the optimiser's estimate of their width. ``rows`` is how many there
+    are, where that is known already."""
     size = estimated_bytes(df)
     if size is None:
         return SLICE_ROWS
-    width = max(1, size // max(1, df.count()))
+    width = max(1, size // max(1, df.count() if rows is None else rows))
     return max(1, min(SLICE_ROWS, SLICE_BYTES // width))
 
 
@@ -89,11 +90,13 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
     """Join a large frame to its lookup table on one column.
 
     A lookup of checked small size is broadcast, and left rows do not move. Otherwise hot left
-    keys, if there are any, are sliced; without any it is the plain shuffle join.
+    keys, if there are any, are sliced; without any it is the plain shuffle join. One job over the key
+    column tells whether there are any, and only then they are listed.
     """
     if is_broadcastable(right):
         return left.join(F.broadcast(right), key, how)
-    hot = hot_keys(left, key, slice_rows or rows_per_slice(left))
-    if hot.isEmpty():
+    rows, most = left.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+    slice_rows = slice_rows or rows_per_slice(left, rows or 0)
+    if (most or 0) <= slice_rows:
         return left.join(right, key, how)
-    return sliced_join(left, right, key, how, hot)
+    return sliced_join(left, right, key, how, hot_keys(left, key, slice_rows))

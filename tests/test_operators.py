@@ -7,14 +7,14 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import dedupe, quality
+from caseloom.operators import dedupe, joins, quality
 from caseloom.operators.constraints import ConstraintViolation, violations
 from caseloom.operators.dedupe import drop_unidentified, first_per_key
 from caseloom.operators.fingerprint import changed_sheets, last_known_hash, sheet_fingerprints
 from caseloom.operators.identity import (
     attach_profile, keep_known, mint_ids, phone_lookup, resolution_key,
 )
-from caseloom.operators.joins import hot_keys, sliced_join
+from caseloom.operators.joins import hot_keys, lookup_join, sliced_join
 from caseloom.operators.merge import insert_if_absent, upsert
 from caseloom.plans.gold import load_gold
 from caseloom.plans.reports import monthly_trends
@@ -136,6 +136,26 @@ def test_every_hot_key_is_sliced(spark):
     assert rows(sliced_join(left, right, "k", "inner", hot)) == rows(left.join(right, "k"))
 
 
+@pytest.fixture
+def nothing_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_lookup_join_lists_hot_keys_only_where_there_are_any(spark, nothing_broadcast, monkeypatch):
+    left = spark.range(100).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
+    left = left.unionByName(spark.createDataFrame([(None, -1)], left.schema))
+    right = spark.range(9).select(F.col("id").alias("k"), (-F.col("id")).alias("w"))
+    want, found = rows(left.join(right, "k", "left")), []
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: found.append(hot_keys(*a)) or found[-1])
+    assert rows(lookup_join(left, right, "k", slice_rows=10)) == want and not found
+    assert rows(lookup_join(left, right, "k", slice_rows=9)) == want and found[0].count() == 10
+    assert rows(lookup_join(left.filter("v > 200"), right, "k")) == []
+
+
 def test_first_per_key(spark):
     df = spark.createDataFrame(
         [("a", "s", 2, "x"), ("a", "s", 1, "y"), ("a", "t", 0, "z"), ("b", None, 5, None),
