@@ -228,8 +228,9 @@ def read_bronze(spark: SparkSession, root: str, sheets: Sequence[str] | None = N
         return spark.read.option("mergeSchema", "true").option("basePath", root).parquet(*folders)
 
 
-def spread_scan(scan: DataFrame, *keys: str) -> DataFrame:
+def spread_scan(scan: DataFrame, *keys: str, tasks_per_core: int = 1) -> DataFrame:
     """A file scan with fewer splits than the session has cores, spread over all of them by
-    hash of the keys. Any larger scan stays as it is."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
+    hash of the keys. Any larger scan stays as it is. Rows that are narrow to read but costly to work on
+    take several tasks for each core: with a few more tasks than cores most cores wait for the last ones."""
+    tasks = tasks_per_core * scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= tasks else scan.repartition(tasks, *keys)

@@ -260,3 +260,15 @@ def test_sheets_are_listed_from_the_frame_that_is_cheaper_to_read(spark):
     assert groups.columns == ["v", "sheet", "row_idx"]
     got = distinct_rows(raw, ["sheet", "row_idx"], listed=raw)
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [("x", "a", 7), ("y", None, 2)]))
+
+
+def test_only_texts_with_other_ends_are_stripped_by_the_list(spark, monkeypatch):
+    """The list of white space is looked through for a text that starts or ends with anything but visible
+    ASCII once its spaces are off, and for no other."""
+    unlisted = lambda text, _: F.raise_error("looked through the list").cast("string")
+    plain = ["a", " ab ", "  a b", "!", "~ ~   ", "a\u2003b", "a\tb"]
+    other = [None, "", "   ", "\ta", "a \n ", "\u3000 x", "x\u2029", "\x7f", "é", " aé ", "\x85", " \x1f z \xa0"]
+    with monkeypatch.context() as patched:
+        patched.setattr(F, "btrim", unlisted)
+        assert column(spark, plain, strip) == [v.strip() for v in plain]
+    assert column(spark, other, strip) == [v and v.strip() for v in other]

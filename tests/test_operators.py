@@ -25,10 +25,11 @@ from caseloom.plans.run import run
 from caseloom.plans.schema import COMPLAINTS, CUSTOMERS
 from caseloom.sources import csv_splits
 from caseloom.sources.csv_splits import ends_inside, list_files, records
-from caseloom.sources.sheets import read_bronze, scan_sheets, write_sheets
+from caseloom.sources.sheets import read_bronze, scan_sheets, spread_scan, write_sheets
 from caseloom.sources.store import TableStore
 from caseloom.streaming.landing import follow_sheets
 from workloads.catalogue import deliver_in_order
+from workloads.fixture import raw_complaints
 
 
 @pytest.fixture
@@ -499,3 +500,26 @@ def test_a_large_sheet_is_written_by_many_tasks_in_order(spark, root):
     assert [(r["ORIGIN"], int(r["PLACE"])) for r in got] == sorted((f"s{i % 3}", i) for i in range(4000))
     assert [r["row_idx"] for r in got] == list(range(4000))
     assert got[1]["TOLD"] == 'told "3",\n\nthen'
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_orders_are_joined_once_and_cleaned_by_many_tasks(spark, root):
+    spark.createDataFrame(
+        [(k, c, "F", "2000-0%d-01 00:00:00" % (1 + k % 2), "1-URGENT")
+         for k, c in enumerate([1, 1, None, 2, 7, 2])],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string, o_orderpriority string",
+    ).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).write.parquet(f"{root}/orders.parquet")
+    spark.createDataFrame([(1, "ama", "BUILDING"), (2, "esi", "x"), (2, "esi", "x")],
+                          "c_custkey long, c_name string, c_mktsegment string",
+                          ).write.parquet(f"{root}/customer.parquet")
+    raw = raw_complaints(spark, root)
+    assert "Join" not in optimized(raw)
+    assert rows(raw.select("sheet", "row_idx")) == sorted([
+        ("S200001", -1), ("S200002", -1), ("S200001", 0), ("S200002", 1), ("S200002", 3), ("S200002", 3),
+        ("S200002", 3 + 10 ** 9), ("S200002", 3 + 10 ** 9), ("S200002", 5), ("S200002", 5)], key=repr)
+    scan = spark.read.parquet(f"{root}/orders.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    assert spread_scan(scan, "o_orderkey", tasks_per_core=4).rdd.getNumPartitions() == 4 * cores

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseloom.operators.joins import lookup_join
 from caseloom.plans.schema import REGIONS
+from caseloom.session import stored
 from caseloom.sources.sheets import spread_scan
 
 # The same expression text serves Spark and the check engine; only identifier quotes differ.
@@ -79,13 +80,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets as delivered: typed dates, messy text, exact copies and a blank row per sheet."""
-    orders = spread_scan(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"
     )
     names = F.array(*[F.lit(r) for r in REGIONS])
+    # Stored, as the sheets, their regions and their rows are read by jobs of their own.
+    placed = stored(lookup_join(orders, customer, "o_custkey", "inner"), "orders-of-customers")
     joined = (
-        lookup_join(orders, customer, "o_custkey", "inner")
+        spread_scan(placed, "o_orderkey", tasks_per_core=4)
         .withColumn("d", F.expr(DIGITS))
         .withColumn("rname", F.element_at(names, (F.col("o_custkey") % 16 + 1).cast("int")))
     )
@@ -96,10 +100,7 @@ def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         *[F.expr(text).alias(name) for name, text in COLUMNS.items()],
     ).select("sheet", (F.col("o_orderkey") + F.col("copy")).alias("row_idx"), *COLUMNS)
-    sheets = lookup_join(
-        table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate"), customer.select("o_custkey"),
-        "o_custkey", "left_semi",
-    ).select(F.expr(SHEET).alias("sheet")).distinct()
+    sheets = placed.select(F.expr(SHEET).alias("sheet")).distinct()
     blank = sheets.withColumn("row_idx", F.lit(-1).cast("long"))
     return filled.unionByName(blank, allowMissingColumns=True)
 
