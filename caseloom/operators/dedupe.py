@@ -68,14 +68,14 @@ def first_per_key(df: DataFrame, key: str, lineage: Sequence[str],
     """The first row of each key by its lineage (sheet, row), which no two rows share.
 
     The first place of each key is found over numbers, rows of a hot key combining in the map
-    tasks; then the rows are fetched by key and place, which spreads a hot key's rows evenly. ``listed``
-    is a frame that has all sheets of ``df``, or more, and is cheaper to read.
+    tasks; then the rows are fetched by place and key, which spreads a hot key's rows evenly and sorts them
+    by a number first. ``listed`` is a frame that has all sheets of ``df``, or more, and is cheaper to read.
     """
     order = LineageOrder(df if listed is None else listed, *lineage)
     numbered = df.withColumn("__place", order.number())
     first = numbered.groupBy(F.col(key).alias("__key")).agg(F.min("__place").alias("__first"))
     return numbered.join(
-        first, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__place") == F.col("__first")),
+        first, (F.col("__place") == F.col("__first")) & F.col(key).eqNullSafe(F.col("__key")),
         "left_semi",
     ).drop("__place")
 

@@ -506,6 +506,16 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_first_rows_are_matched_by_number_first(spark):
+    """The place is one number and no two rows share it; keys alike at their start are slow to sort by."""
+    df = spark.createDataFrame([("a", "s", 2), ("a", "s", 1), (None, "r", 1), (None, "r", None)],
+                               "k string, s string, o long")
+    first = first_per_key(df, "k", ["s", "o"])
+    assert rows(first) == [("a", "s", 1), (None, "r", None)]
+    join = next(line for line in optimized(first).splitlines() if "Join LeftSemi" in line)
+    assert 0 <= join.index("__place") < join.index("__key")
+
+
 def test_orders_are_joined_once_and_cleaned_by_many_tasks(spark, root):
     spark.createDataFrame(
         [(k, c, "F", "2000-0%d-01 00:00:00" % (1 + k % 2), "1-URGENT")
