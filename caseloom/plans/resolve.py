@@ -17,6 +17,7 @@ from caseloom.operators.joins import lookup_join
 from caseloom.plans.schema import (
     COMPLAINT_COLUMNS, COMPLAINTS, CUSTOMER_COLUMNS, CUSTOMERS, IDENTITY_MAP, LINEAGE,
 )
+from caseloom.session import stored
 
 
 def split_customers(silver: DataFrame) -> DataFrame:
@@ -34,8 +35,11 @@ def customers_by_number(silver: DataFrame) -> DataFrame:
 
 
 def resolve_numbers(numbers: DataFrame, client: DataFrame) -> DataFrame:
-    """Add profileId, number2 and resolution_key to a frame with one row per number."""
-    known = lookup_join(numbers, phone_lookup(client), "number", "left")
+    """Add profileId, number2 and resolution_key to a frame with one row per number.
+
+    The frame is stored first, as the join asks for its hot keys in a job of its own.
+    """
+    known = lookup_join(stored(numbers, "first-rows"), phone_lookup(client), "number", "left")
     return known.withColumn(
         "resolution_key", resolution_key(F.col("profileId"), F.col("number"))
     )
@@ -73,7 +77,7 @@ def extend_identity_map(numbers: DataFrame, identity_map: DataFrame,
 
 def resolve(silver: DataFrame, client: DataFrame, identity_map: DataFrame,
             run_millis: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(customers, complaints, crosswalk after the run), without writing anything."""
+    """(customers, complaints, crosswalk after the run), without writing any table."""
     numbers = resolve_numbers(customers_by_number(silver), client)
     known = identity_map.select(*IDENTITY_MAP.column_names)
     crosswalk = known.unionByName(extend_identity_map(numbers, known, run_millis))

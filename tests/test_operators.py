@@ -19,7 +19,7 @@ from caseloom.operators.merge import insert_if_absent, upsert
 from caseloom.plans.gold import load_gold
 from caseloom.plans.reports import monthly_trends
 from caseloom.plans.resolve import (
-    identify, resolved_complaints, resolved_customers, split_complaints, split_customers,
+    identify, resolve_numbers, resolved_complaints, resolved_customers, split_complaints, split_customers,
 )
 from caseloom.plans.run import run
 from caseloom.plans.schema import COMPLAINTS, CUSTOMERS
@@ -516,6 +516,18 @@ def test_first_rows_are_matched_by_number_first(spark):
     assert 0 <= join.index("__place") < join.index("__key")
 
 
+def test_first_rows_are_found_once_for_a_lookup(spark):
+    """The lookup's hot keys, the lookup itself and what reads its result work on stored rows."""
+    df = spark.createDataFrame([("+2331", "ama", "s", 2), ("+2331", "esi", "s", 1), ("+2332", "kofi", "r", 1)],
+                               "number string, name string, sheet string, row_idx long")
+    client = spark.createDataFrame([("p1", "+2331", "+2339")],
+                                   "profileId string, phoneNumber string, phoneNumber2 string")
+    got = resolve_numbers(first_per_key(df, "number", ["sheet", "row_idx"]), client)
+    assert "LeftSemi" not in optimized(got)
+    assert rows(got.select("name", "profileId", "number2", "resolution_key")) == [
+        ("esi", "p1", "+2339", "p1"), ("kofi", None, None, "number:+2332")]
+
+
 def test_orders_are_joined_once_and_cleaned_by_many_tasks(spark, root):
     spark.createDataFrame(
         [(k, c, "F", "2000-0%d-01 00:00:00" % (1 + k % 2), "1-URGENT")
